@@ -17,13 +17,14 @@ The searches are a bounded driver loop (at most ``max_levels`` levels, 10
 by default) over DataFrames.  Each level is written as a Parquet folder
 ``dist=<k>`` below a fresh folder in the session's checkpoint directory,
 which both cuts the lineage and makes the visited set a partitioned table
-(``id, dist``) that Spark reads back with exact sizes.  Each level costs a
-couple of small jobs; no level re-reads more than the graph once.
+(``id, dist``) that Spark reads back with exact sizes.  Each level is one
+Spark job (its size and hit count are observed metrics of that job); no
+level reads more than the graph once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.aggregates import arg_max
@@ -69,15 +70,23 @@ class EdgeGraph:
             self.edges.select(F.col("dst").alias("id")))
         return ends.groupBy("id").agg(F.count(F.lit(1)).alias("deg"))
 
-    def expand(self, frontier: DataFrame, frontier_rows: int | None) -> DataFrame:
+    def expand(self, frontier: DataFrame, frontier_rows: int | None,
+               hits: Observation | None = None, target=None) -> DataFrame:
+        """Distinct heads of the edges leaving the frontier.  With ``hits``,
+        the number of those edges that end at ``target`` is observed in the
+        same job."""
         e = self.stored()
         f = _maybe_broadcast(frontier.select(F.col("id").alias("src")), frontier_rows)
-        return e.join(f, "src", "left_semi").select(F.col("dst").alias("id")).distinct()
+        out = e.join(f, "src", "left_semi")
+        if hits is not None:
+            out = out.observe(hits, F.count_if(F.col("dst") == F.lit(target)).alias("hits"))
+        return out.select(F.col("dst").alias("id")).distinct()
 
-    def hits(self, frontier: DataFrame, frontier_rows: int | None, target) -> DataFrame:
+    def hits(self, frontier: DataFrame, frontier_rows: int | None, target) -> int:
+        """Edges from the frontier into ``target`` (separate job)."""
         e = self.stored().where(F.col("dst") == F.lit(target))
         f = _maybe_broadcast(frontier.select(F.col("id").alias("src")), frontier_rows)
-        return e.join(f, "src", "left_semi").agg(F.count(F.lit(1)).alias("hits"))
+        return e.join(f, "src", "left_semi").count()
 
 
 class CoMemberGraph:
@@ -115,25 +124,44 @@ class CoMemberGraph:
         """Every edge has its reverse, so in-degree equals out-degree."""
         return self.out_degree().select("id", (F.col("n") * 2).alias("deg"))
 
-    def _groups_of(self, frontier: DataFrame, frontier_rows: int | None) -> DataFrame:
+    def expand(self, frontier: DataFrame, frontier_rows: int | None,
+               hits: Observation | None = None, target=None) -> DataFrame:
+        """Distinct members of the groups that hold a frontier member.
+
+        ``a`` = frontier rows per group; every row of the target in such a
+        group closes ``a * c`` edges from the frontier, so with ``hits`` the
+        edge count into ``target`` is observed in the same job.
+        """
         e = self.stored()
         f = _maybe_broadcast(frontier.select(F.col("id").alias("m")), frontier_rows)
-        return e.join(f, "m", "left_semi")
-
-    def expand(self, frontier: DataFrame, frontier_rows: int | None) -> DataFrame:
+        groups = e.join(f, "m", "left_semi").groupBy("g").agg(F.sum("c").alias("a"))
+        out = e.join(groups, "g")
+        if hits is not None:
+            out = out.observe(hits, F.sum(
+                F.when(F.col("m") == F.lit(target), F.col("a") * F.col("c"))
+                .otherwise(F.lit(0))).alias("hits"))
+        return out.select(F.col("m").alias("id")).distinct()
+
+    def hits(self, frontier: DataFrame, frontier_rows: int | None, target) -> int:
+        """Edges from the frontier into ``target`` (separate job)."""
         e = self.stored()
-        groups = self._groups_of(frontier, frontier_rows).select("g").distinct()
-        return e.join(groups, "g", "left_semi").select(F.col("m").alias("id")).distinct()
+        f = _maybe_broadcast(frontier.select(F.col("id").alias("m")), frontier_rows)
+        a = (e.join(f, "m", "left_semi").where(F.col("m") != F.lit(target))
+             .groupBy("g").agg(F.sum("c").alias("a")))
+        t = e.where(F.col("m") == F.lit(target)).select("g", F.col("c").alias("ct"))
+        row = a.join(t, "g").agg(F.sum(F.col("a") * F.col("ct")).alias("h")).collect()[0]
+        return int(row["h"] or 0)
 
-    def hits(self, frontier: DataFrame, frontier_rows: int | None, target) -> DataFrame:
-        e = self.stored()
-        from_frontier = (self._groups_of(frontier, frontier_rows)
-                         .where(F.col("m") != F.lit(target))
-                         .groupBy("g").agg(F.sum("c").alias("a")))
-        at_target = e.where(F.col("m") == F.lit(target)).select("g", F.col("c").alias("ct"))
-        return (from_frontier.join(at_target, "g")
-                .agg(F.coalesce(F.sum(F.col("a") * F.col("ct")), F.lit(0)).cast("bigint")
-                     .alias("hits")))
+
+def _observed(obs: Observation, key: str, fallback):
+    """An observed metric of the last action; when the observed branch was
+    optimised away (e.g. an empty frontier) the value is computed by
+    ``fallback`` instead."""
+    try:
+        v = obs.get.get(key)
+    except Exception:  # metrics row missing
+        v = None
+    return fallback() if v is None else v
 
 
 # ---------------------------------------------------------------- measures
@@ -166,9 +194,17 @@ def _spark(graph) -> SparkSession:
     return graph.spark
 
 
+LEVEL_SCHEMA = "id bigint, dist int"
+
+
 def _level_loop(graph, start, target=None, max_levels: int = DEFAULT_MAX_LEVELS):
     """Breadth-first levels from ``start``.  Returns (levels_path, found)
-    where ``found`` is (level, hits) when a target was given and reached."""
+    where ``found`` is (level, hits) when a target was given and reached.
+
+    One Spark job per level: expand the frontier, anti-join the visited
+    set, write the level.  The level size and the hit count are observed
+    metrics of that job (no extra counting pass).
+    """
     spark = _spark(graph)
     base = scratch_path(spark, "levels")
     spark.range(1).select(F.lit(start).cast("bigint").alias("id")) \
@@ -177,15 +213,22 @@ def _level_loop(graph, start, target=None, max_levels: int = DEFAULT_MAX_LEVELS)
         return base, (0, 0)
     rows, visited_rows = 1, 1
     for level in range(1, max_levels + 1):
-        frontier = spark.read.parquet(f"{base}/dist={level - 1}")
-        if target is not None:
-            hits = graph.hits(frontier, rows, target).collect()[0]["hits"]
-            if hits:
-                return base, (level, int(hits))
-        visited = _maybe_broadcast(spark.read.parquet(base).select("id"), visited_rows)
-        nxt = graph.expand(frontier, rows).join(visited, "id", "left_anti")
-        nxt.write.parquet(f"{base}/dist={level}")
-        rows = spark.read.parquet(f"{base}/dist={level}").count()
+        frontier = spark.read.schema("id bigint").parquet(f"{base}/dist={level - 1}")
+        visited = _maybe_broadcast(
+            spark.read.schema(LEVEL_SCHEMA).parquet(base).select("id"), visited_rows)
+        hits = Observation() if target is not None else None
+        counted = Observation()
+        nxt = graph.expand(frontier, rows, hits, target).join(visited, "id", "left_anti")
+        nxt.observe(counted, F.count(F.lit(1)).alias("rows")) \
+            .write.parquet(f"{base}/dist={level}")
+        if hits is not None:
+            h = _observed(hits, "hits",
+                          lambda: graph.hits(frontier, rows, target))
+            if h:
+                return base, (level, int(h))
+        path = f"{base}/dist={level}"
+        rows = int(_observed(counted, "rows",
+                             lambda: spark.read.schema("id bigint").parquet(path).count()))
         visited_rows += rows
         if rows == 0:
             break
@@ -199,7 +242,7 @@ def hop_distance(graph, root, max_levels: int = DEFAULT_MAX_LEVELS,
     With ``names``, an inner join attaches them (E6)."""
     spark = _spark(graph)
     base, _ = _level_loop(graph, root, None, max_levels)
-    dist = spark.read.parquet(base).select("id", F.col("dist").cast("int").alias("dist"))
+    dist = spark.read.schema(LEVEL_SCHEMA).parquet(base)
     if names is not None:
         dist = dist.join(names.select("id", name_col), "id")
     return dist

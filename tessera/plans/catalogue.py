@@ -33,7 +33,7 @@ from tessera.operators import relational as rel
 from tessera.operators import similarity as sim
 from tessera.operators import text
 from tessera.functions.expressions import tenths_celsius_to_fahrenheit_f32
-from tessera.sources.tables import Tables
+from tessera.sources.tables import Tables, widen
 
 # Query parameters (fixed values of the catalogue).
 TOP_ITEMS = 100
@@ -130,12 +130,12 @@ def q_reading_filter_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_word_count(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
-    return text.word_count(t.documents, "text")
+    return text.word_count(widen(t.documents.select("text")), "text")
 
 
 def q_word_count_top(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
-    return text.top_words(t.documents, TOP_WORDS, "text")
+    return text.top_words(widen(t.documents.select("text")), TOP_WORDS, "text")
 
 
 def q_most_connected(spark: SparkSession, sf: str) -> DataFrame:
