@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.aggregates import arg_max
-from tessera.session import scratch_path
+from tessera.session import materialize, scratch_path
 
 DEFAULT_MAX_LEVELS = 10
 # Sides of a join are broadcast only below this many rows, and only when the
@@ -55,9 +55,7 @@ class EdgeGraph:
         """Edges written once to the checkpoint folder (the level loop reads
         them every level; this keeps it from re-running their lineage)."""
         if self._stored is None:
-            path = scratch_path(self.spark, "edges")
-            self.edges.write.parquet(path)
-            self._stored = self.spark.read.parquet(path)
+            self._stored = materialize(self.edges, "edges")
         return self._stored
 
     def out_degree(self) -> DataFrame:
@@ -105,9 +103,7 @@ class CoMemberGraph:
 
     def stored(self) -> DataFrame:
         if self._stored is None:
-            path = scratch_path(self.spark, "membership")
-            self.counted().write.parquet(path)
-            self._stored = self.spark.read.parquet(path)
+            self._stored = materialize(self.counted(), "membership")
         return self._stored
 
     def out_degree(self) -> DataFrame:

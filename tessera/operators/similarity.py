@@ -15,6 +15,8 @@ Plan shape (all pairs):
    The combination sums then factor per user:
    ``xx += s2(i1)*c(i2)``, ``yy += c(i1)*s2(i2)``, ``xy += s1(i1)*s1(i2)``,
    ``n += c(i1)*c(i2)``.
+   This table is written once to the checkpoint folder (lineage cut) and
+   read by both sides of the self-join.
 2. Self-join on the user with ``i1 < i2`` in the join condition.  A user's
    items are hashed into ``S = ceil(items / block_items)`` buckets and the
    join key is ``(user, bucket of i1, bucket of i2)``: every row is
@@ -35,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.expressions import cosine_score
+from tessera.session import materialize
 
 DEFAULT_BLOCK_ITEMS = 1024
 
@@ -57,10 +60,13 @@ def user_item_stats(ratings: DataFrame, user: str = "user_id", item: str = "item
 def pair_sums(ratings: DataFrame, user: str = "user_id", item: str = "item_id",
               rating: str = "rating", block_items: int = DEFAULT_BLOCK_ITEMS) -> DataFrame:
     """(i1, i2, xx, yy, xy, n) for every pair of items rated by a common user."""
-    ui = user_item_stats(ratings, user, item, rating)
+    # the stats feed the per-user count and both join sides: write them once
+    # instead of re-running the ratings lineage for every consumer
+    ui = materialize(user_item_stats(ratings, user, item, rating), "user-item")
     per_user = ui.groupBy("u").agg(F.count(F.lit(1)).alias("n_items"))
     ui = (ui.join(per_user, "u")
-          .withColumn("S", F.ceil(F.col("n_items") / F.lit(block_items)).cast("int"))
+          .select("u", "i", "c", "s1", "s2",
+                  F.ceil(F.col("n_items") / F.lit(block_items)).cast("int").alias("S"))
           .withColumn("b", F.pmod(F.xxhash64("i"), F.col("S")).cast("int")))
     fan = F.explode(F.sequence(F.lit(0), F.col("S") - 1))
     left = ui.select("u", F.col("i").alias("i1"), F.col("c").alias("c1"),

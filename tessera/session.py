@@ -18,6 +18,7 @@ DEFAULT_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -70,5 +71,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df, name: str):
+    """Cut the lineage of ``df``: write it once as Parquet below the shared
+    checkpoint folder and return a DataFrame reading it back.
+
+    Used where a result feeds several consumers (each would otherwise
+    re-run the whole lineage) or feeds a driver loop.  The files live in
+    the cluster's shared folder, so a lost executor costs a re-read, not a
+    recomputation; the read-back plan also carries exact file sizes for the
+    join planner.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def default_parallelism(spark: SparkSession) -> int:
     return int(spark.sparkContext.defaultParallelism or os.cpu_count() or 1)
