@@ -54,8 +54,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    # initial shuffle width; AQE coalesces small partitions at run time
+    shuffle = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus)))
     names = sys.argv[1:] or HEADLINE
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus,
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=shuffle,
                           extra={"spark.driver.memory": "8g"})
     run(spark, "rating_histogram", sf_dir)  # warm-up
     times = {}

@@ -162,6 +162,27 @@ def _observed(obs: Observation, key: str, fallback):
 
 # ---------------------------------------------------------------- measures
 
+DEFAULT_VERTEX_NAME = "Nobody"
+
+
+def node_ids(graph) -> DataFrame:
+    """Every node that has at least one edge (either end)."""
+    if isinstance(graph, EdgeGraph):
+        ends = graph.edges.select(F.col("src").alias("id")).unionAll(
+            graph.edges.select(F.col("dst").alias("id")))
+        return ends.distinct()
+    return graph.out_degree().select("id")
+
+
+def named_vertices(graph, names: DataFrame, name_col: str = "name",
+                   default: str = DEFAULT_VERTEX_NAME) -> DataFrame:
+    """G1: the graph's nodes with their names; nodes missing from ``names``
+    get ``default`` (one name per id: the smallest, if repeated)."""
+    one = names.groupBy("id").agg(F.min(name_col).alias(name_col))
+    return (node_ids(graph).join(one, "id", "left")
+            .select("id", F.coalesce(F.col(name_col), F.lit(default)).alias(name_col)))
+
+
 def most_connected(graph, names: DataFrame | None = None, name_col: str = "name") -> DataFrame:
     """The node with the most connections (ties: larger id), with its
     name when ``names (id, name_col)`` is given (first name if repeated)."""
@@ -244,6 +265,11 @@ def hop_distance(graph, root, max_levels: int = DEFAULT_MAX_LEVELS,
     return dist
 
 
+def distance_to(graph, root, target, max_levels: int = DEFAULT_MAX_LEVELS) -> DataFrame:
+    """The hop distance row of one node (empty when unreached)."""
+    return hop_distance(graph, root, max_levels).where(F.col("id") == F.lit(target))
+
+
 def hop_distance_all(graph, root, nodes: DataFrame,
                      max_levels: int = DEFAULT_MAX_LEVELS) -> DataFrame:
     """G5 with every node of ``nodes (id)``: unreached ones get +Infinity

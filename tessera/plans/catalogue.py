@@ -148,6 +148,19 @@ def q_degree_top(spark: SparkSession, sf: str) -> DataFrame:
     return gr.degree_top(co_purchase_graph(t), part_names(t), DEGREE_TOP, "p_name")
 
 
+def q_part_connections(spark: SparkSession, sf: str) -> DataFrame:
+    return co_purchase_graph(Tables(spark, sf)).out_degree()
+
+
+def q_part_degrees(spark: SparkSession, sf: str) -> DataFrame:
+    return co_purchase_graph(Tables(spark, sf)).degree()
+
+
+def q_hop_distance_named(spark: SparkSession, sf: str) -> DataFrame:
+    t = Tables(spark, sf)
+    return gr.hop_distance(co_purchase_graph(t), GRAPH_ROOT, names=part_names(t), name_col="p_name")
+
+
 def q_hop_distance(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
     return gr.hop_distance(co_purchase_graph(t), GRAPH_ROOT)
@@ -233,7 +246,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "word_count_top": q_word_count_top,
     "most_connected": q_most_connected,
     "degree_top": q_degree_top,
+    "part_connections": q_part_connections,
+    "part_degrees": q_part_degrees,
     "hop_distance": q_hop_distance,
+    "hop_distance_named": q_hop_distance_named,
     "bfs_hits": q_bfs_hits,
     "item_similarity": q_item_similarity,
     "similar_items": q_similar_items,
@@ -324,8 +340,16 @@ ORACLE_SQL: dict[str, str] = {
         "(SELECT src AS id FROM edges UNION ALL SELECT dst AS id FROM edges) GROUP BY 1)\n"
         "SELECT d.id, d.deg, p.p_name FROM d JOIN part p ON p.p_partkey = d.id "
         f"ORDER BY deg DESC, id LIMIT {DEGREE_TOP}",
+    "part_connections":
+        f"WITH {_EDGES}\nSELECT src AS id, count(*) AS n FROM edges GROUP BY 1",
+    "part_degrees":
+        f"WITH {_EDGES}\nSELECT id, count(*) AS deg FROM "
+        "(SELECT src AS id FROM edges UNION ALL SELECT dst AS id FROM edges) GROUP BY 1",
     "hop_distance":
         f"WITH RECURSIVE {_EDGES},{_DIST}\nSELECT id, dist FROM dist",
+    "hop_distance_named":
+        f"WITH RECURSIVE {_EDGES},{_DIST}\n"
+        "SELECT dist.id, dist.dist, part.p_name FROM dist JOIN part ON part.p_partkey = dist.id",
     "bfs_hits":
         f"WITH RECURSIVE {_EDGES},{_BFS_DIST}\n"
         "SELECT CAST(t.dist AS INTEGER) AS level, CAST(count(*) AS BIGINT) AS hits "

@@ -240,3 +240,15 @@ def test_write_pairs_sorted(spark, write_text, tmp_path):
     back = spark.read.option("header", "true").csv(out).collect()
     keys = [(int(x.i1), int(x.i2)) for x in back]
     assert keys == sorted(keys) and len(keys) == 2
+
+
+def test_named_vertices_and_distance_to(spark, marvel, write_text):
+    g, _ = marvel
+    names = files.read_names(spark, write_text("names2.txt", NAMES), cut_alias=False, max_id=6487)
+    got = kv(gr.named_vertices(g, names), "id", "name")
+    assert got == {1: "SPIDER/PETER", 2: "TWO", 3: "THREE", 4: "FOUR", 5: "FIVE/X",
+                   6: "Nobody", 7: "Nobody"}
+    assert [(r.id, r.dist) for r in gr.distance_to(g, 1, 5).collect()] == [(5, 3)]
+    assert gr.distance_to(g, 7, 5).count() == 0
+    named = gr.hop_distance(g, 1, names=names)
+    assert sorted(r.id for r in named.collect()) == [1, 2, 3, 4, 5]   # 6, 7 have no name
