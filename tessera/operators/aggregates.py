@@ -45,6 +45,26 @@ def popularity_named(facts: DataFrame, fact_key: str, dim: DataFrame, dim_key: s
     return counts.join(titles, fact_key, "left").select(title, fact_key, name)
 
 
+def lookup(bounded: DataFrame, dim: DataFrame, key: str, max_rows: int) -> DataFrame:
+    """Attach dimension columns to a result whose row count has a
+    proven bound ``max_rows`` (a top-k report, a one-row arg-max).
+
+    The bounded result is computed once and its rows (at most ``max_rows``,
+    checked) come back as the report itself; their keys become an ``IN``
+    filter pushed into the dimension's scan, so the dimension is streamed
+    and filtered at the source, never shuffled or broadcast however large it
+    grows.  Result rows without a match keep nulls.
+    """
+    rows = bounded.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"lookup side exceeds its bound of {max_rows} rows")
+    spark = bounded.sparkSession
+    local = spark.createDataFrame(rows, bounded.schema)
+    keys = sorted({r[key] for r in rows if r[key] is not None})
+    matched = dim.where(F.col(key).isin(keys))
+    return local.join(matched, key, "left")
+
+
 def require_titles(df: DataFrame, title: str) -> DataFrame:
     """``strict`` variant of E2: fail the job when a key has no title."""
     return df.withColumn(

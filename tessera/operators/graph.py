@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.aggregates import arg_max
+from tessera.operators.aggregates import arg_max, lookup
 from tessera.session import materialize, scratch_path
 
 DEFAULT_MAX_LEVELS = 10
@@ -189,11 +189,8 @@ def most_connected(graph, names: DataFrame | None = None, name_col: str = "name"
     best = arg_max(graph.out_degree(), "n", "id")
     if names is None:
         return best
-    one_name = names.join(F.broadcast(best.select("id")), "id", "left_semi") \
-        .groupBy("id").agg(F.min(name_col).alias(name_col))
-    # ``best`` is one row: broadcasting it (a proven bound) keeps the name
-    # table streamed, never shuffled.
-    return F.broadcast(best).join(one_name, "id", "left")
+    # one name per id (the smallest if repeated), looked up for one row
+    return lookup(best, names.groupBy("id").agg(F.min(name_col).alias(name_col)), "id", 1)
 
 
 def degree_top(graph, names: DataFrame | None = None, k: int = 10,

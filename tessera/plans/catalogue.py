@@ -181,10 +181,9 @@ def q_similar_items(spark: SparkSession, sf: str) -> DataFrame:
     top = sim.similar_items(ratings(t), SIMILAR_ITEM, min_score=SIMILAR_MIN_SCORE,
                             min_strength=SIMILAR_MIN_STRENGTH, k=SIMILAR_TOP)
     names = t.supplier.select(F.col("s_suppkey").alias("other"), "s_name")
-    # ``top`` holds at most SIMILAR_TOP rows: a proven bound, so it is the
-    # broadcast side and the dimension is only streamed.
-    return F.broadcast(top).join(names, "other", "left") \
-        .select("other", "score", "n", "s_name")
+    # ``top`` holds at most SIMILAR_TOP rows: its keys filter the streamed
+    # dimension at the scan
+    return agg.lookup(top, names, "other", SIMILAR_TOP).select("other", "score", "n", "s_name")
 
 
 def q_people_select(spark: SparkSession, sf: str) -> DataFrame:
@@ -229,9 +228,9 @@ def q_als_recommend(spark: SparkSession, sf: str) -> DataFrame:
         .where(F.col("user") == ALS_USER).distinct()
     recs = ml.recommend(model, users, ml.ALS_TOP)
     names = t.supplier.select(F.col("s_suppkey").cast("int").alias("item"), "s_name")
-    # recs: |users| x ALS_TOP rows, bounded -> broadcast side
-    return F.broadcast(recs).join(names, "item", "left") \
-        .select("user", "rank", "item", "rating", "s_name")
+    # recs: |users| x ALS_TOP rows, a proven bound
+    return agg.lookup(recs, names, "item", ml.ALS_TOP).select(
+        "user", "rank", "item", "rating", "s_name")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
