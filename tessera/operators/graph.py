@@ -68,17 +68,14 @@ class EdgeGraph:
             self.edges.select(F.col("dst").alias("id")))
         return ends.groupBy("id").agg(F.count(F.lit(1)).alias("deg"))
 
-    def expand(self, frontier: DataFrame, frontier_rows: int | None,
-               hits: Observation | None = None, target=None) -> DataFrame:
-        """Distinct heads of the edges leaving the frontier.  With ``hits``,
-        the number of those edges that end at ``target`` is observed in the
-        same job."""
+    def expand(self, frontier: DataFrame, frontier_rows: int | None) -> DataFrame:
+        """Heads of the edges leaving the frontier, one row each:
+        ``(id, h)`` with ``h`` = number of those edges ending at ``id``."""
         e = self.stored()
         f = _maybe_broadcast(frontier.select(F.col("id").alias("src")), frontier_rows)
-        out = e.join(f, "src", "left_semi")
-        if hits is not None:
-            out = out.observe(hits, F.count_if(F.col("dst") == F.lit(target)).alias("hits"))
-        return out.select(F.col("dst").alias("id")).distinct()
+        return (e.join(f, "src", "left_semi")
+                .groupBy(F.col("dst").alias("id"))
+                .agg(F.count(F.lit(1)).alias("h")))
 
     def hits(self, frontier: DataFrame, frontier_rows: int | None, target) -> int:
         """Edges from the frontier into ``target`` (separate job)."""
@@ -120,23 +117,20 @@ class CoMemberGraph:
         """Every edge has its reverse, so in-degree equals out-degree."""
         return self.out_degree().select("id", (F.col("n") * 2).alias("deg"))
 
-    def expand(self, frontier: DataFrame, frontier_rows: int | None,
-               hits: Observation | None = None, target=None) -> DataFrame:
-        """Distinct members of the groups that hold a frontier member.
+    def expand(self, frontier: DataFrame, frontier_rows: int | None) -> DataFrame:
+        """Members of the groups that hold a frontier member, one row each:
+        ``(id, h)`` with ``h`` = edges from the frontier into ``id``.
 
-        ``a`` = frontier rows per group; every row of the target in such a
-        group closes ``a * c`` edges from the frontier, so with ``hits`` the
-        edge count into ``target`` is observed in the same job.
+        ``a`` = frontier rows of a group; each row of a member in that group
+        closes ``a`` edges from the frontier (a frontier member's own rows
+        count too, but frontier members are visited and dropped later).
         """
         e = self.stored()
         f = _maybe_broadcast(frontier.select(F.col("id").alias("m")), frontier_rows)
         groups = e.join(f, "m", "left_semi").groupBy("g").agg(F.sum("c").alias("a"))
-        out = e.join(groups, "g")
-        if hits is not None:
-            out = out.observe(hits, F.sum(
-                F.when(F.col("m") == F.lit(target), F.col("a") * F.col("c"))
-                .otherwise(F.lit(0))).alias("hits"))
-        return out.select(F.col("m").alias("id")).distinct()
+        return (e.join(groups, "g")
+                .groupBy(F.col("m").alias("id"))
+                .agg(F.sum(F.col("a") * F.col("c")).alias("h")))
 
     def hits(self, frontier: DataFrame, frontier_rows: int | None, target) -> int:
         """Edges from the frontier into ``target`` (separate job)."""
@@ -230,18 +224,21 @@ def _level_loop(graph, start, target=None, max_levels: int = DEFAULT_MAX_LEVELS)
         frontier = spark.read.schema("id bigint").parquet(f"{base}/dist={level - 1}")
         visited = _maybe_broadcast(
             spark.read.schema(LEVEL_SCHEMA).parquet(base).select("id"), visited_rows)
-        hits = Observation() if target is not None else None
-        counted = Observation()
-        nxt = graph.expand(frontier, rows, hits, target).join(visited, "id", "left_anti")
-        nxt.observe(counted, F.count(F.lit(1)).alias("rows")) \
-            .write.parquet(f"{base}/dist={level}")
-        if hits is not None:
-            h = _observed(hits, "hits",
-                          lambda: graph.hits(frontier, rows, target))
+        # both metrics sit in the job's result stage, whose accumulator
+        # updates Spark applies exactly once even when tasks are retried
+        metrics = Observation()
+        nxt = graph.expand(frontier, rows).join(visited, "id", "left_anti")
+        hit_expr = (F.coalesce(F.sum(F.when(F.col("id") == F.lit(target), F.col("h"))),
+                               F.lit(0).cast("bigint"))
+                    if target is not None else F.lit(0))
+        path = f"{base}/dist={level}"
+        (nxt.observe(metrics, F.count(F.lit(1)).alias("rows"), hit_expr.alias("hits"))
+         .select("id").write.parquet(path))
+        if target is not None:
+            h = _observed(metrics, "hits", lambda: graph.hits(frontier, rows, target))
             if h:
                 return base, (level, int(h))
-        path = f"{base}/dist={level}"
-        rows = int(_observed(counted, "rows",
+        rows = int(_observed(metrics, "rows",
                              lambda: spark.read.schema("id bigint").parquet(path).count()))
         visited_rows += rows
         if rows == 0:
