@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.expressions import int_mean
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -81,7 +83,7 @@ def int_mean_by_key(df: DataFrame, key: str, value, name: str = "a") -> DataFram
     v = _c(value).cast("int")
     return (df.groupBy(key)
             .agg(F.sum(v).alias("_s"), F.count(F.lit(1)).alias("_n"))
-            .select(key, F.expr("cast(_s div _n as int)").alias(name)))
+            .select(key, int_mean("_s", "_n").alias(name)))
 
 
 def sum_by_key(df: DataFrame, key: str, value, name: str = "total",

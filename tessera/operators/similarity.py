@@ -36,7 +36,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.expressions import cosine_score
+from tessera.functions.expressions import cosine_score, other_item
 from tessera.session import materialize
 
 DEFAULT_BLOCK_ITEMS = 1024
@@ -135,7 +135,6 @@ def similar_items_from_pairs(pairs: DataFrame, item_id, min_score: float = 0.97,
     return (pairs
             .where(((F.col("i1") == t) | (F.col("i2") == t))
                    & (F.col("score") > F.lit(min_score)) & (F.col("n") > F.lit(min_strength)))
-            .select(F.when(F.col("i1") == t, F.col("i2")).otherwise(F.col("i1")).alias("other"),
-                    "score", "n")
+            .select(other_item("i1", "i2", item_id).alias("other"), "score", "n")
             .orderBy(F.desc("score"), F.desc("n"), F.desc("other"))
             .limit(k))
