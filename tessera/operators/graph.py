@@ -45,6 +45,8 @@ def _maybe_broadcast(df: DataFrame, rows: int | None) -> DataFrame:
 class EdgeGraph:
     """Directed multigraph given by explicit edges ``(src, dst)``."""
 
+    symmetric = False
+
     def __init__(self, edges: DataFrame, src: str = "src", dst: str = "dst"):
         self.edges = edges.select(F.col(src).cast("bigint").alias("src"),
                                   F.col(dst).cast("bigint").alias("dst"))
@@ -87,6 +89,9 @@ class EdgeGraph:
 class CoMemberGraph:
     """Graph of members that share a group (see module docstring)."""
 
+    # every edge a -> b has its reverse b -> a
+    symmetric = True
+
     def __init__(self, membership: DataFrame, group: str = "group", member: str = "member"):
         self.rows = membership.select(F.col(group).alias("g"),
                                       F.col(member).cast("bigint").alias("m"))
@@ -219,11 +224,19 @@ def _level_loop(graph, start, target=None, max_levels: int = DEFAULT_MAX_LEVELS)
         .write.parquet(f"{base}/dist=0")
     if target is not None and target == start:
         return base, (0, 0)
-    rows, visited_rows = 1, 1
+    rows, prev_rows, visited_rows = 1, 0, 1
     for level in range(1, max_levels + 1):
         frontier = spark.read.schema("id bigint").parquet(f"{base}/dist={level - 1}")
-        visited = _maybe_broadcast(
-            spark.read.schema(LEVEL_SCHEMA).parquet(base).select("id"), visited_rows)
+        if graph.symmetric:
+            # in a symmetric graph a neighbour of level k-1 lies on level
+            # k-2, k-1 or k: only the last two levels need excluding, so the
+            # anti-join side stays small however many nodes were visited
+            last = [f"{base}/dist={d}" for d in (level - 2, level - 1) if d >= 0]
+            visited = _maybe_broadcast(spark.read.schema("id bigint").parquet(*last),
+                                       rows + prev_rows)
+        else:
+            visited = _maybe_broadcast(
+                spark.read.schema(LEVEL_SCHEMA).parquet(base).select("id"), visited_rows)
         # both metrics sit in the job's result stage, whose accumulator
         # updates Spark applies exactly once even when tasks are retried
         metrics = Observation()
@@ -238,6 +251,7 @@ def _level_loop(graph, start, target=None, max_levels: int = DEFAULT_MAX_LEVELS)
             h = _observed(metrics, "hits", lambda: graph.hits(frontier, rows, target))
             if h:
                 return base, (level, int(h))
+        prev_rows = rows
         rows = int(_observed(metrics, "rows",
                              lambda: spark.read.schema("id bigint").parquet(path).count()))
         visited_rows += rows
