@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -65,10 +66,43 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the checkpoint root for one job run."""
+    """A fresh, unique folder below the checkpoint root for one job run
+    (recorded in the innermost open ``scratch_scope``)."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete, on exit, the intermediate tables written inside the block.
+
+    Query functions return DataFrames that may still read their lineage
+    cuts, so the caller decides when results have been consumed::
+
+        with scratch_scope(spark):
+            rows = hop_distance(graph, 1).collect()
+
+    Only folders created by ``scratch_path`` inside the block are removed,
+    through the Hadoop FileSystem of each path (works for any shared store).
+    """
+    created: list[str] = []
+    _SCOPES.append(created)
+    try:
+        yield created
+    finally:
+        _SCOPES.remove(created)
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for p in created:
+            path = jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(conf).delete(path, True)
 
 
 def materialize(df, name: str):

@@ -70,3 +70,16 @@ def test_lookup_checks_its_bound(spark):
     assert got == [(2, 10.0, "b"), (9, 1.0, None)]
     with pytest.raises(ValueError):
         agg.lookup(small, dim, "k", 1)
+
+
+def test_scratch_scope_removes_only_its_tables(spark):
+    import os
+    keep = sess.materialize(spark.range(3), "keep")
+    with sess.scratch_scope(spark) as created:
+        tmp = sess.materialize(spark.range(5), "tmp")
+        assert tmp.count() == 5
+        paths = list(created)
+    assert len(paths) == 1
+    local = [p.removeprefix("file:") for p in paths]
+    assert not any(os.path.exists(p) for p in local)
+    assert keep.count() == 3
