@@ -10,9 +10,11 @@ from __future__ import annotations
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import materialize
+
 # Fixed solver settings of the original jobs.
 REG_PARAM = 0.3
 ELASTIC_NET = 0.8
@@ -69,25 +71,82 @@ def coefficients(model, spark) -> DataFrame:
         "coef double, intercept double")
 
 
+INT_MAX = 2**31 - 1
+
+
+def dense_index(ids: DataFrame, col: str, out: str) -> DataFrame:
+    """``(col, out)``: the distinct values of ``col`` numbered 0..n-1.
+
+    Distributed: the distinct ids are written once (so partition numbers and
+    in-partition positions are fixed), per-partition counts (one row per
+    partition, a bounded table) are turned into offsets by a running sum,
+    and each id's number is its partition offset plus its position.  No
+    global sort and no single-task window over the ids.
+    """
+    pos = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)
+    d = ids.select(col).distinct().select(
+        col, F.spark_partition_id().alias("_p"), pos.alias("_i"))
+    d = materialize(d, "dense-ids")
+    per_part = d.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = per_part.select(
+        "_p", (F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).alias("_off"))
+    # one row per input partition: a proven bound for the broadcast
+    return d.join(F.broadcast(offsets), "_p").select(
+        col, (F.col("_off") + F.col("_i")).cast("int").alias(out))
+
+
+class ALSFit:
+    """An ALS model plus the id maps used when ids exceed the int range."""
+
+    def __init__(self, model, users: DataFrame | None, items: DataFrame | None):
+        self.model = model
+        self.user_map = users      # (user, user_ix) or None
+        self.item_map = items      # (item, item_ix) or None
+
+
 def fit_als(ratings: DataFrame, user: str, item: str, rating: str,
             max_iter: int = ALS_ITER, reg_param: float = ALS_REG, seed: int = 42,
-            rank: int = 10):
-    """M6: ALS on ``(user int, item int, rating float)``.
+            rank: int = 10, dense_ids: bool | None = None) -> ALSFit:
+    """M6: ALS on ``(user, item, rating)``.
 
-    Ids must fit in an int (ANSI casting fails loudly otherwise).
+    Spark's ALS takes int ids.  With ``dense_ids=None`` one aggregate checks
+    the id range: ids that fit are used as they are, larger ones (e.g. 64-bit
+    keys at scale) are renumbered with ``dense_index`` and mapped back in
+    ``recommend``.
     """
-    data = ratings.select(F.col(user).cast("int").alias("user"),
-                          F.col(item).cast("int").alias("item"),
-                          F.col(rating).cast("float").alias("rating"))
+    r = ratings.select(F.col(user).alias("user"), F.col(item).alias("item"),
+                       F.col(rating).cast("float").alias("rating"))
+    if dense_ids is None:
+        b = r.agg(F.least(F.min("user"), F.min("item")).alias("lo"),
+                  F.greatest(F.max("user"), F.max("item")).alias("hi")).collect()[0]
+        dense_ids = b["lo"] is not None and (b["lo"] < 0 or b["hi"] > INT_MAX)
     als = ALS(maxIter=max_iter, regParam=reg_param, rank=rank, seed=seed,
               userCol="user", itemCol="item", ratingCol="rating")
-    return als.fit(data)
-
-
-def recommend(model, users: DataFrame, k: int = ALS_TOP) -> DataFrame:
+    if not dense_ids:
+        data = r.select(F.col("user").cast("int").alias("user"),
+                        F.col("item").cast("int").alias("item"), "rating")
+        return ALSFit(als.fit(data), None, None)
+    users = dense_index(r, "user", "user_ix")
+    items = dense_index(r, "item", "item_ix")
+    data = (r.join(users, "user").join(items, "item")
+            .select(F.col("user_ix").alias("user"), F.col("item_ix").alias("item"), "rating"))
+    return ALSFit(als.fit(data), users, items)
+
+
+def recommend(fit: ALSFit, users: DataFrame, k: int = ALS_TOP) -> DataFrame:
     """Top ``k`` items for each user of ``users (user)`` as rows
-    ``(user, rank, item, rating)``, rank 1 = best."""
-    recs = model.recommendForUserSubset(users, k)
-    return recs.select("user", F.posexplode("recommendations").alias("pos", "rec")) \
+    ``(user, rank, item, rating)``, rank 1 = best, in the caller's ids."""
+    if fit.user_map is not None:
+        users = users.join(fit.user_map, "user").select(F.col("user_ix").alias("user"))
+    else:
+        users = users.select(F.col("user").cast("int").alias("user"))
+    recs = fit.model.recommendForUserSubset(users, k)
+    out = recs.select("user", F.posexplode("recommendations").alias("pos", "rec")) \
         .select("user", (F.col("pos") + 1).alias("rank"),
                 F.col("rec.item").alias("item"), F.col("rec.rating").alias("rating"))
+    if fit.user_map is not None:
+        out = (out.withColumnRenamed("user", "user_ix").withColumnRenamed("item", "item_ix")
+               .join(fit.user_map, "user_ix").join(fit.item_map, "item_ix")
+               .select("user", "rank", "item", "rating"))
+    return out.select(F.col("user").cast("bigint").alias("user"), "rank",
+                      F.col("item").cast("bigint").alias("item"), "rating")

@@ -224,10 +224,10 @@ def q_regression_rmse(spark: SparkSession, sf: str) -> DataFrame:
 def q_als_recommend(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
     model = ml.fit_als(ratings(t), "user_id", "item_id", "rating")
-    users = ratings(t).select(F.col("user_id").cast("int").alias("user")) \
+    users = ratings(t).select(F.col("user_id").alias("user")) \
         .where(F.col("user") == ALS_USER).distinct()
     recs = ml.recommend(model, users, ml.ALS_TOP)
-    names = t.supplier.select(F.col("s_suppkey").cast("int").alias("item"), "s_name")
+    names = t.supplier.select(F.col("s_suppkey").alias("item"), "s_name")
     # recs: |users| x ALS_TOP rows, a proven bound
     return agg.lookup(recs, names, "item", ml.ALS_TOP).select(
         "user", "rank", "item", "rating", "s_name")

@@ -126,3 +126,28 @@ def test_word_count_totals_and_repartition(spark):
                     sample[w] += 1
     got = {r.word: r.n for r in text.word_count(docs.limit(5), "text").collect()}
     assert got == dict(sample)
+
+
+def test_dense_index_is_a_bijection(spark):
+    from tessera.operators import ml
+    ids = spark.range(0, 5000, 7, numPartitions=6).select(
+        (F.col("id") * 1_000_003 + 3_000_000_000).alias("k"))
+    m = ml.dense_index(ids.union(ids), "k", "ix")
+    rows = m.collect()
+    assert sorted(r.ix for r in rows) == list(range(ids.count()))
+    assert len({r.k for r in rows}) == len(rows)
+
+
+def test_als_with_large_ids_maps_back(spark):
+    from tessera.operators import ml
+    big = 5_000_000_000
+    base = cat.ratings(Tables(spark, SF_SMALL))
+    shifted = base.select((F.col("user_id") + big).alias("user_id"),
+                          (F.col("item_id") + big).alias("item_id"), "rating")
+    fit = ml.fit_als(shifted, "user_id", "item_id", "rating")
+    assert fit.user_map is not None
+    users = spark.createDataFrame([(big + 1,)], "user long")
+    recs = ml.recommend(fit, users, 5).collect()
+    assert 0 < len(recs) <= 5
+    assert all(r.user == big + 1 and r.item >= big for r in recs)
+    assert [r.rank for r in recs] == sorted(r.rank for r in recs)
