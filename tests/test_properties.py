@@ -151,3 +151,41 @@ def test_als_with_large_ids_maps_back(spark):
     assert 0 < len(recs) <= 5
     assert all(r.user == big + 1 and r.item >= big for r in recs)
     assert [r.rank for r in recs] == sorted(r.rank for r in recs)
+
+
+def test_hot_user_third_of_rows_salted(spark):
+    """One user holds a third of the ratings; the salted join (S = 8 buckets
+    for that user, 64 join keys) must give the brute-force sums."""
+    hot = [(0, i, float(i % 5 + 1)) for i in range(60)]
+    rest = [(u, (u * 7) % 60, float(u % 4 + 1)) for u in range(1, 61)]
+    rest += [(u, (u * 11 + 3) % 60, float(u % 3 + 1)) for u in range(1, 61)]
+    rows = hot + rest
+    df = spark.createDataFrame(rows, "user_id int, item_id int, rating double")
+    got = {(r.i1, r.i2): (r.score, r.n) for r in sim.item_similarity(df, block_items=8).collect()}
+    want = brute_pairs(rows)
+    assert set(got) == set(want)
+    for k, (score, n) in want.items():
+        assert got[k][1] == n and abs(got[k][0] - score) < 1e-12
+
+
+def test_hot_group_third_of_rows_implicit_graph(spark):
+    """One order holds a third of the membership rows (with repeated parts);
+    degrees and searches equal those of the explicit clique edges."""
+    rows = [(0, p % 40) for p in range(60)]                      # hot order, copies included
+    rows += [(o, (o * 13 + j) % 97) for o in range(1, 41) for j in range(3)]
+    rows += [(o, 40 + o % 50) for o in range(41, 61)]
+    df = spark.createDataFrame(rows, "group long, member long")
+    implicit = gr.CoMemberGraph(df)
+    a, b = df.alias("a"), df.alias("b")
+    explicit = gr.EdgeGraph(a.join(b, (F.col("a.group") == F.col("b.group"))
+                                   & (F.col("a.member") != F.col("b.member")))
+                            .select(F.col("a.member").alias("src"), F.col("b.member").alias("dst")))
+    assert sorted(implicit.degree().collect()) == sorted(explicit.degree().collect())
+    dist = sorted(gr.hop_distance(implicit, 14).collect())
+    assert len(dist) == 44 and dist == sorted(gr.hop_distance(explicit, 14).collect())
+    found = {}
+    for target in (0, 39, 42, 88):
+        got = gr.bfs_hits(implicit, 14, target).collect()
+        assert got == gr.bfs_hits(explicit, 14, target).collect()
+        found[target] = [tuple(r) for r in got]
+    assert found[0] == [(1, 4)] and found[88] == []   # copies multiply edges
