@@ -378,6 +378,7 @@ ORACLE_SQL: dict[str, str] = {
         f"WITH {_REGRESSION}\nSELECT round(coef, 4) AS coef, round(intercept, 4) AS intercept FROM m",
     "regression_rmse":
         f"WITH {_REGRESSION}\n"
-        "SELECT count(*) AS n, round(sqrt(avg(pow(m.coef * l_quantity + m.intercept - l_extendedprice, 2))), 4) AS rmse "
-        f"FROM lineitem, m WHERE l_orderkey % {TRAIN_MOD} >= {TRAIN_BELOW}",
+        "SELECT count(*) AS n, round(sqrt(avg(pow((SELECT coef FROM m) * l_quantity "
+        "+ (SELECT intercept FROM m) - l_extendedprice, 2))), 4) AS rmse "
+        f"FROM lineitem WHERE l_orderkey % {TRAIN_MOD} >= {TRAIN_BELOW}",
 }
