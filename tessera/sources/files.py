@@ -127,9 +127,16 @@ def read_label_features(spark: SparkSession, path, mode: str = FAILFAST) -> Data
 
 # ---------------------------------------------------------------- text
 
-def read_lines(spark: SparkSession, path) -> DataFrame:
-    """One row per line, column ``value``."""
-    return spark.read.text(path)
+def read_lines(spark: SparkSession, path, repair_utf8: bool = False) -> DataFrame:
+    """One row per line, column ``value``.
+
+    The text source passes bytes through undecoded; ``repair_utf8`` replaces
+    invalid UTF-8 sequences with U+FFFD (A6 for plain text files).
+    """
+    df = spark.read.text(path)
+    if repair_utf8:
+        df = df.select(F.make_valid_utf8("value").alias("value"))
+    return df
 
 
 # ---------------------------------------------------------------- graph

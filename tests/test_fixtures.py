@@ -252,3 +252,11 @@ def test_named_vertices_and_distance_to(spark, marvel, write_text):
     assert gr.distance_to(g, 7, 5).count() == 0
     named = gr.hop_distance(g, 1, names=names)
     assert sorted(r.id for r in named.collect()) == [1, 2, 3, 4, 5]   # 6, 7 have no name
+
+
+def test_read_lines_repairs_utf8(spark, write_text):
+    p = write_text("latin.txt", "caf\xe9 ok\n".encode("iso-8859-1"))
+    fixed = files.read_lines(spark, p, repair_utf8=True).collect()[0].value
+    assert fixed == "caf� ok"
+    words = kv(text.word_count(files.read_lines(spark, p, repair_utf8=True)), "word", "n")
+    assert words == {"ok": 1}
