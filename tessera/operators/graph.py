@@ -18,8 +18,10 @@ by default) over DataFrames.  Each level is written as a Parquet folder
 ``dist=<k>`` below a fresh folder in the session's checkpoint directory,
 which both cuts the lineage and makes the visited set a partitioned table
 (``id, dist``) that Spark reads back with exact sizes.  Each level is one
-Spark job (its size and hit count are observed metrics of that job); no
-level reads more than the graph once.
+action, the write of the level (its size and hit count are observed metrics
+of that action, so no counting pass); it scans the stored graph twice and
+never the source tables.  For symmetric graphs only the last two levels are
+excluded from the next one.
 """
 
 from __future__ import annotations
