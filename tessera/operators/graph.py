@@ -216,9 +216,9 @@ def _level_loop(graph, start, target=None, max_levels: int = DEFAULT_MAX_LEVELS)
     """Breadth-first levels from ``start``.  Returns (levels_path, found)
     where ``found`` is (level, hits) when a target was given and reached.
 
-    One Spark job per level: expand the frontier, anti-join the visited
-    set, write the level.  The level size and the hit count are observed
-    metrics of that job (no extra counting pass).
+    One action per level: expand the frontier, anti-join the visited set,
+    write the level.  The level size and the hit count are observed metrics
+    of that action (no extra counting pass).
     """
     spark = _spark(graph)
     base = scratch_path(spark, "levels")
