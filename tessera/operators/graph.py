@@ -14,8 +14,9 @@ Two graph representations share the algorithms:
   is ``sum over groups of (frontier rows) * (target rows)``.
 
 The searches are a bounded driver loop (at most ``max_levels`` levels, 10
-by default) over DataFrames.  Each level is written as a Parquet folder
-``dist=<k>`` below a fresh folder in the session's checkpoint directory,
+by default) over DataFrames.  Level 0 is the one-row start; every later
+level is written as a Parquet folder ``dist=<k>`` below a fresh folder in
+the session's checkpoint directory,
 which both cuts the lineage and makes the visited set a partitioned table
 (``id, dist``) that Spark reads back with exact sizes.  Each level is one
 action, the write of the level (its size and hit count are observed metrics
@@ -213,8 +214,10 @@ LEVEL_SCHEMA = "id bigint, dist int"
 
 
 def _level_loop(graph, start, target=None, max_levels: int = DEFAULT_MAX_LEVELS):
-    """Breadth-first levels from ``start``.  Returns (levels_path, found)
-    where ``found`` is (level, hits) when a target was given and reached.
+    """Breadth-first levels from ``start``.  Returns (levels_path, seed,
+    found): levels 1.. are Parquet folders ``dist=k`` below levels_path,
+    level 0 is the one-row ``seed``, and ``found`` is (level, hits) when a
+    target was given and reached.
 
     One action per level: expand the frontier, anti-join the visited set,
     write the level.  The level size and the hit count are observed metrics
@@ -222,23 +225,28 @@ def _level_loop(graph, start, target=None, max_levels: int = DEFAULT_MAX_LEVELS)
     """
     spark = _spark(graph)
     base = scratch_path(spark, "levels")
-    spark.range(1).select(F.lit(start).cast("bigint").alias("id")) \
-        .write.parquet(f"{base}/dist=0")
+    seed = spark.range(1).select(F.lit(start).cast("bigint").alias("id"))
     if target is not None and target == start:
-        return base, (0, 0)
+        return base, seed, (0, 0)
+
+    def level_ids(d: int) -> DataFrame:
+        if d == 0:
+            return seed
+        return spark.read.schema("id bigint").parquet(f"{base}/dist={d}")
+
     rows, prev_rows, visited_rows = 1, 0, 1
     for level in range(1, max_levels + 1):
-        frontier = spark.read.schema("id bigint").parquet(f"{base}/dist={level - 1}")
+        frontier = level_ids(level - 1)
         if graph.symmetric:
             # in a symmetric graph a neighbour of level k-1 lies on level
             # k-2, k-1 or k: only the last two levels need excluding, so the
             # anti-join side stays small however many nodes were visited
-            last = [f"{base}/dist={d}" for d in (level - 2, level - 1) if d >= 0]
-            visited = _maybe_broadcast(spark.read.schema("id bigint").parquet(*last),
-                                       rows + prev_rows)
+            recent = frontier if level == 1 else level_ids(level - 2).unionAll(frontier)
+            visited = _maybe_broadcast(recent, rows + prev_rows)
         else:
-            visited = _maybe_broadcast(
-                spark.read.schema(LEVEL_SCHEMA).parquet(base).select("id"), visited_rows)
+            earlier = seed if level == 1 else \
+                spark.read.schema(LEVEL_SCHEMA).parquet(base).select("id").unionAll(seed)
+            visited = _maybe_broadcast(earlier, visited_rows)
         # both metrics sit in the job's result stage, whose accumulator
         # updates Spark applies exactly once even when tasks are retried
         metrics = Observation()
@@ -252,14 +260,14 @@ def _level_loop(graph, start, target=None, max_levels: int = DEFAULT_MAX_LEVELS)
         if target is not None:
             h = _observed(metrics, "hits", lambda: graph.hits(frontier, rows, target))
             if h:
-                return base, (level, int(h))
+                return base, seed, (level, int(h))
         prev_rows = rows
         rows = int(_observed(metrics, "rows",
                              lambda: spark.read.schema("id bigint").parquet(path).count()))
         visited_rows += rows
         if rows == 0:
             break
-    return base, None
+    return base, seed, None
 
 
 def hop_distance(graph, root, max_levels: int = DEFAULT_MAX_LEVELS,
@@ -268,8 +276,10 @@ def hop_distance(graph, root, max_levels: int = DEFAULT_MAX_LEVELS,
     reached within ``max_levels`` hops: ``(id, dist)``; the root has 0.
     With ``names``, an inner join attaches them (E6)."""
     spark = _spark(graph)
-    base, _ = _level_loop(graph, root, None, max_levels)
-    dist = spark.read.schema(LEVEL_SCHEMA).parquet(base)
+    base, seed, _ = _level_loop(graph, root, None, max_levels)
+    # level 1 is always written (possibly empty), so ``base`` exists
+    dist = spark.read.schema(LEVEL_SCHEMA).parquet(base).unionAll(
+        seed.select("id", F.lit(0).alias("dist")))
     if names is not None:
         dist = dist.join(names.select("id", name_col), "id")
     return dist
@@ -298,6 +308,6 @@ def bfs_hits(graph, start, target, max_levels: int = DEFAULT_MAX_LEVELS) -> Data
     target is not reached within ``max_levels``; ``(0, 0)`` when start is
     the target."""
     spark = _spark(graph)
-    _, found = _level_loop(graph, start, target, max_levels)
+    _, _, found = _level_loop(graph, start, target, max_levels)
     rows = [found] if found else []
     return spark.createDataFrame(rows, "level int, hits bigint")
