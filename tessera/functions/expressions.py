@@ -47,9 +47,9 @@ def cosine_score(xy, xx, yy, zero_denominator: float | None = None) -> Column:
     """sum(xy) / (sqrt(sum(xx)) * sqrt(sum(yy))).
 
     A zero denominator gives null (the pair can never pass a ``score >``
-    threshold, as NaN cannot in the 100k job), or ``zero_denominator``
-    (0.0 in the 1M job).  Spark orders NaN above every number, so NaN is
-    never produced.
+    threshold, as NaN could not in the original unguarded job), or
+    ``zero_denominator`` (0.0 in the guarded variant).  Spark orders NaN
+    above every number, so NaN is never produced.
     """
     score = F.try_divide(_col(xy), F.sqrt(_col(xx)) * F.sqrt(_col(yy)))
     if zero_denominator is not None:

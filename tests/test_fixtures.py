@@ -170,7 +170,7 @@ def test_word_count_whole_documents(spark):
 # ---------------------------------------------------------------- graph
 
 @pytest.fixture()
-def marvel(spark, write_text):
+def adjacency_graph(spark, write_text):
     g = gr.EdgeGraph(files.read_adjacency(spark, write_text("graph.txt", GRAPH)))
     names = files.read_names(spark, write_text("names.txt", NAMES))
     return g, names
@@ -184,22 +184,22 @@ def test_names_parsing(spark, write_text):
     assert uncut == {1: "SPIDER/PETER", 2: "TWO", 3: "THREE", 4: "FOUR", 5: "FIVE/X"}
 
 
-def test_connections_and_most_connected(spark, marvel):
-    g, names = marvel
+def test_connections_and_most_connected(spark, adjacency_graph):
+    g, names = adjacency_graph
     assert kv(g.out_degree(), "id", "n") == {1: 3, 2: 2, 3: 2, 4: 3, 5: 1, 6: 1}
     best = gr.most_connected(g, names).collect()
     assert [(x.id, x.n, x.name) for x in best] == [(4, 3, "FOUR")]
 
 
-def test_degrees(spark, marvel):
-    g, names = marvel
+def test_degrees(spark, adjacency_graph):
+    g, names = adjacency_graph
     assert kv(g.degree(), "id", "deg") == {4: 6, 1: 5, 2: 4, 3: 4, 5: 2, 6: 2, 7: 1}
     top = gr.degree_top(g, names, k=10).collect()
     assert [(x.id, x.deg) for x in top] == [(4, 6), (1, 5), (2, 4), (3, 4), (5, 2)]
 
 
-def test_hop_distance(spark, marvel):
-    g, _ = marvel
+def test_hop_distance(spark, adjacency_graph):
+    g, _ = adjacency_graph
     assert kv(gr.hop_distance(g, 1), "id", "dist") == \
         {1: 0, 2: 1, 3: 1, 6: 1, 4: 2, 7: 2, 5: 3}
     nodes = g.edges.select(F.col("src").alias("id")).union(g.edges.select(F.col("dst").alias("id")))
@@ -208,8 +208,8 @@ def test_hop_distance(spark, marvel):
     assert all(math.isinf(v) for k, v in from7.items() if k != 7)
 
 
-def test_bfs_hits(spark, marvel):
-    g, _ = marvel
+def test_bfs_hits(spark, adjacency_graph):
+    g, _ = adjacency_graph
     one = lambda df: [(x.level, x.hits) for x in df.collect()]
     assert one(gr.bfs_hits(g, 1, 5)) == [(3, 1)]
     assert one(gr.bfs_hits(g, 1, 4)) == [(2, 2)]
@@ -242,8 +242,8 @@ def test_write_pairs_sorted(spark, write_text, tmp_path):
     assert keys == sorted(keys) and len(keys) == 2
 
 
-def test_named_vertices_and_distance_to(spark, marvel, write_text):
-    g, _ = marvel
+def test_named_vertices_and_distance_to(spark, adjacency_graph, write_text):
+    g, _ = adjacency_graph
     names = files.read_names(spark, write_text("names2.txt", NAMES), cut_alias=False, max_id=6487)
     got = kv(gr.named_vertices(g, names), "id", "name")
     assert got == {1: "SPIDER/PETER", 2: "TWO", 3: "THREE", 4: "FOUR", 5: "FIVE/X",
