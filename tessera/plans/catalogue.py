@@ -224,8 +224,9 @@ def q_regression_rmse(spark: SparkSession, sf: str) -> DataFrame:
 def q_als_recommend(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
     model = ml.fit_als(ratings(t), "user_id", "item_id", "rating")
-    users = ratings(t).select(F.col("user_id").alias("user")) \
-        .where(F.col("user") == ALS_USER).distinct()
+    # the user's key, read from orders with the filter pushed into the scan
+    users = t.orders.where(F.col("o_custkey") == ALS_USER) \
+        .select(F.col("o_custkey").alias("user")).distinct()
     recs = ml.recommend(model, users, ml.ALS_TOP)
     names = t.supplier.select(F.col("s_suppkey").alias("item"), "s_name")
     # recs: |users| x ALS_TOP rows, a proven bound
