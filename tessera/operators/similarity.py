@@ -17,13 +17,14 @@ Plan shape (all pairs):
    ``n += c(i1)*c(i2)``.
    This table is written once to the checkpoint folder (lineage cut) and
    read by both sides of the self-join.
-2. Self-join on the user with ``i1 < i2`` in the join condition.  A user's
+2. Self-join on the user with ``i1 < i2`` in the join condition.  Hot
+   users (more than ``block_items`` items) are counted first.  A hot user's
    items are hashed into ``S = ceil(items / block_items)`` buckets and the
-   join key is ``(user, bucket of i1, bucket of i2)``: every row is
-   replicated ``S`` times on each side and each pair meets in exactly one
-   key, so one heavy user's pair work is spread over ``S * S`` join keys
-   (tasks) instead of one.  Users with at most ``block_items`` items use a
-   single key and are not replicated.
+   join key becomes ``(user, bucket of i1, bucket of i2)``: the user's rows
+   are replicated ``S`` times on each side and each pair meets in exactly
+   one key, so the user's pair work is spread over ``S * S`` join keys
+   (tasks) instead of one.  Other users keep a single key and are not
+   replicated; with no hot user at all the join is a plain one on the user.
 3. Partial + final aggregation by (i1, i2).
 
 For the similar items of ONE item no pair table is built: the item's
@@ -40,6 +41,8 @@ from tessera.functions.expressions import cosine_score, other_item
 from tessera.session import materialize
 
 DEFAULT_BLOCK_ITEMS = 1024
+# a list of hot users is broadcast only up to this many rows (exact count)
+MAX_BROADCAST_ROWS = 2_000_000
 
 
 def _ratings(ratings: DataFrame, user: str, item: str, rating: str) -> DataFrame:
@@ -60,22 +63,32 @@ def user_item_stats(ratings: DataFrame, user: str = "user_id", item: str = "item
 def pair_sums(ratings: DataFrame, user: str = "user_id", item: str = "item_id",
               rating: str = "rating", block_items: int = DEFAULT_BLOCK_ITEMS) -> DataFrame:
     """(i1, i2, xx, yy, xy, n) for every pair of items rated by a common user."""
-    # the stats feed the per-user count and both join sides: write them once
+    # the stats feed the hot-user count and both join sides: write them once
     # instead of re-running the ratings lineage for every consumer
     ui = materialize(user_item_stats(ratings, user, item, rating), "user-item")
-    per_user = ui.groupBy("u").agg(F.count(F.lit(1)).alias("n_items"))
-    ui = (ui.join(per_user, "u")
-          .select("u", "i", "c", "s1", "s2",
-                  F.ceil(F.col("n_items") / F.lit(block_items)).cast("int").alias("S"))
-          .withColumn("b", F.pmod(F.xxhash64("i"), F.col("S")).cast("int")))
-    fan = F.explode(F.sequence(F.lit(0), F.col("S") - 1))
-    left = ui.select("u", F.col("i").alias("i1"), F.col("c").alias("c1"),
-                     F.col("s1").alias("s1_1"), F.col("s2").alias("s2_1"),
-                     F.col("b").alias("k1"), fan.alias("k2"))
-    right = ui.select("u", F.col("i").alias("i2"), F.col("c").alias("c2"),
-                      F.col("s1").alias("s1_2"), F.col("s2").alias("s2_2"),
-                      fan.alias("k1"), F.col("b").alias("k2"))
-    joined = left.join(right, ["u", "k1", "k2"]).where(F.col("i1") < F.col("i2"))
+    hot = (ui.groupBy("u").agg(F.count(F.lit(1)).alias("n_items"))
+           .where(F.col("n_items") > F.lit(block_items))
+           .select("u", F.ceil(F.col("n_items") / F.lit(block_items)).cast("int").alias("S")))
+    hot_users = hot.count()
+    side = ["u", "i", "c", "s1", "s2"]
+    if hot_users == 0:
+        # no user has more than block_items items: a plain self-join on the
+        # user (both sides share one exchange of the stats)
+        left = ui.select(*_renamed(side, "1"))
+        right = ui.select(*_renamed(side, "2"))
+        keys = ["u"]
+    else:
+        # hot users get S buckets; the list has an exact size, so it is
+        # broadcast only below the bound and shuffle-joined beyond it
+        hot = F.broadcast(hot) if hot_users <= MAX_BROADCAST_ROWS else hot
+        ui = (ui.join(hot, "u", "left")
+              .withColumn("S", F.coalesce(F.col("S"), F.lit(1)))
+              .withColumn("b", F.pmod(F.xxhash64("i"), F.col("S")).cast("int")))
+        fan = F.explode(F.sequence(F.lit(0), F.col("S") - 1))
+        left = ui.select(*_renamed(side, "1"), F.col("b").alias("k1"), fan.alias("k2"))
+        right = ui.select(*_renamed(side, "2"), fan.alias("k1"), F.col("b").alias("k2"))
+        keys = ["u", "k1", "k2"]
+    joined = left.join(right, keys).where(F.col("i1") < F.col("i2"))
     return joined.groupBy("i1", "i2").agg(
         F.sum(F.col("s2_1") * F.col("c2")).alias("xx"),
         F.sum(F.col("c1") * F.col("s2_2")).alias("yy"),
@@ -83,6 +96,12 @@ def pair_sums(ratings: DataFrame, user: str = "user_id", item: str = "item_id",
         F.sum(F.col("c1") * F.col("c2")).alias("n"))
 
 
+def _renamed(cols: list[str], tag: str):
+    """``u`` kept, ``i`` -> ``i<tag>``, ``c``/``s1``/``s2`` -> ``c<tag>``/``s1_<tag>``/``s2_<tag>``."""
+    names = {"u": "u", "i": f"i{tag}", "c": f"c{tag}", "s1": f"s1_{tag}", "s2": f"s2_{tag}"}
+    return [F.col(c).alias(names[c]) for c in cols]
+
+
 def item_similarity(ratings: DataFrame, user: str = "user_id", item: str = "item_id",
                     rating: str = "rating", zero_denominator: float | None = None,
                     block_items: int = DEFAULT_BLOCK_ITEMS) -> DataFrame:
