@@ -116,6 +116,9 @@ def fit_als(ratings: DataFrame, user: str, item: str, rating: str,
     """
     r = ratings.select(F.col(user).alias("user"), F.col(item).alias("item"),
                        F.col(rating).cast("float").alias("rating"))
+    int_typed = {t for c, t in r.dtypes if c in ("user", "item")} <= {"int", "smallint", "tinyint"}
+    if dense_ids is None and int_typed:
+        dense_ids = False              # int columns always fit: no range pass
     if dense_ids is None:
         b = r.agg(F.least(F.min("user"), F.min("item")).alias("lo"),
                   F.greatest(F.max("user"), F.max("item")).alias("hi")).collect()[0]
