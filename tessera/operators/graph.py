@@ -96,8 +96,11 @@ class CoMemberGraph:
     symmetric = True
 
     def __init__(self, membership: DataFrame, group: str = "group", member: str = "member"):
-        self.rows = membership.select(F.col(group).alias("g"),
-                                      F.col(member).cast("bigint").alias("m"))
+        # a row with a null group or member joins no edge (null never equals
+        # anything), so it must not count towards group sizes either
+        self.rows = (membership.select(F.col(group).alias("g"),
+                                       F.col(member).cast("bigint").alias("m"))
+                     .where(F.col("g").isNotNull() & F.col("m").isNotNull()))
         self.spark = membership.sparkSession
         self._stored: DataFrame | None = None
 
