@@ -91,12 +91,15 @@ def read_item_titles(spark: SparkSession, path, sep: str = "|",
            .option("encoding", encoding)
            .schema("line string")
            .csv(path))
-    fields = F.split(F.col("line"), re.escape(sep), 3)
+    # the JVM split drops trailing empty fields: "3|" has one field, not two
+    stripped = F.regexp_replace(F.col("line"), f"(?:{re.escape(sep)})+$", "")
+    fields = F.split(stripped, re.escape(sep), 3)
+    # only lines with a title field are parsed further (as in the original)
     parsed = (raw
-              .select(F.element_at(fields, 1).cast("int").alias("item_id"),
-                      F.when(F.size(fields) > 1, F.element_at(fields, 2)).alias("title"),
-                      F.monotonically_increasing_id().alias("_pos"))
-              .where(F.col("title").isNotNull()))
+              .select(fields.alias("_f"), F.monotonically_increasing_id().alias("_pos"))
+              .where(F.size("_f") > 1)
+              .select(F.element_at("_f", 1).cast("int").alias("item_id"),
+                      F.element_at("_f", 2).alias("title"), "_pos"))
     return (parsed.groupBy("item_id")
             .agg(F.max_by("title", "_pos").alias("title")))
 

@@ -260,3 +260,9 @@ def test_read_lines_repairs_utf8(spark, write_text):
     assert fixed == "caf� ok"
     words = kv(text.word_count(files.read_lines(spark, p, repair_utf8=True)), "word", "n")
     assert words == {"ok": 1}
+
+
+def test_item_titles_trailing_separator(spark, write_text):
+    p = write_text("u2.item", "1|A|x\n3|\n4||x\n5::\n")
+    got = kv(files.read_item_titles(spark, p), "item_id", "title")
+    assert got == {1: "A", 4: ""}          # "3|" has no title field; "5::" is no id
