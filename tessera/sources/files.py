@@ -2,10 +2,11 @@
 weather, free text, adjacency lists, quoted name lists, label/feature CSV)
 and the similarity sink.
 
-Every schema is declared; nothing is inferred.  ``mode='FAILFAST'`` (the
-default) raises on a malformed number as the original jobs do;
-``mode='PERMISSIVE'`` turns unparsable fields into nulls and the row is
-dropped where the field is required.  Any Hadoop URI works as a path
+Every schema is declared; nothing is inferred.  Fields are taken by
+position from split lines, as the original parsers do (extra fields are
+ignored, nothing is quoted).  ``mode='FAILFAST'`` (the default) raises on a
+malformed number or a missing field as the original jobs do;
+``mode='PERMISSIVE'`` turns such fields into nulls.  Any Hadoop URI works as a path
 (local, HDFS, object stores).
 """
 
@@ -24,16 +25,25 @@ PERMISSIVE = "PERMISSIVE"
 _RATING_TYPES = {"int", "double", "float", "string"}
 
 
-def _csv(spark: SparkSession, path, schema: str, sep: str, mode: str,
-         encoding: str = "UTF-8") -> DataFrame:
-    return (spark.read
-            .option("sep", sep)
-            .option("header", "false")
-            .option("quote", "")          # the files carry no quoting
-            .option("mode", mode)
-            .option("encoding", encoding)
-            .schema(schema)
-            .csv(path))
+def _delimited(spark: SparkSession, path, sep: str, fields: list[tuple[str, str]],
+               mode: str) -> DataFrame:
+    """Lines split on ``sep`` with the fields taken by position, as the
+    original parsers do: extra fields are ignored, there is no quoting.
+    FAILFAST casts strictly (a bad number or a missing field fails the job);
+    PERMISSIVE yields nulls instead.  Blank lines are skipped."""
+    parts = F.split(F.col("value"), re.escape(sep))
+    cols = []
+    for idx, (name, dtype) in enumerate(fields):
+        if mode == FAILFAST:
+            c = F.element_at(parts, idx + 1)
+            c = c if dtype == "string" else c.cast(dtype)
+        else:
+            c = F.try_element_at(parts, F.lit(idx + 1))
+            c = c if dtype == "string" else c.try_cast(dtype)
+        cols.append(c.alias(name))
+    return (spark.read.text(path)
+            .where(F.length(F.col("value")) > 0)
+            .select(*cols))
 
 
 def _field_cast(fields, idx: int, dtype: str, mode: str):
@@ -50,8 +60,8 @@ def read_ratings_tsv(spark: SparkSession, path, rating_type: str = "int",
     """A1: ``user<TAB>item<TAB>rating<TAB>ts``."""
     if rating_type not in _RATING_TYPES:
         raise ValueError(rating_type)
-    schema = f"user_id int, item_id int, rating {rating_type}, ts bigint"
-    return _csv(spark, path, schema, "\t", mode)
+    return _delimited(spark, path, "\t", [("user_id", "int"), ("item_id", "int"),
+                                          ("rating", rating_type), ("ts", "bigint")], mode)
 
 
 def read_ratings_whitespace(spark: SparkSession, path, rating_type: str = "double",
@@ -69,7 +79,8 @@ def read_ratings_whitespace(spark: SparkSession, path, rating_type: str = "doubl
 
 def read_ratings_dcolon(spark: SparkSession, path, mode: str = FAILFAST) -> DataFrame:
     """A3: ``user::item::rating::ts`` (multi-character separator)."""
-    return _csv(spark, path, "user_id int, item_id int, rating double, ts bigint", "::", mode)
+    return _delimited(spark, path, "::", [("user_id", "int"), ("item_id", "int"),
+                                          ("rating", "double"), ("ts", "bigint")], mode)
 
 
 # ---------------------------------------------------------------- dimensions
@@ -108,24 +119,25 @@ def read_item_titles(spark: SparkSession, path, sep: str = "|",
 
 def read_people(spark: SparkSession, path, mode: str = FAILFAST) -> DataFrame:
     """``id,name,age,num_friends``."""
-    return _csv(spark, path, "id int, name string, age int, num_friends int", ",", mode)
+    return _delimited(spark, path, ",", [("id", "int"), ("name", "string"),
+                                         ("age", "int"), ("num_friends", "int")], mode)
 
 
 def read_customer_orders(spark: SparkSession, path, mode: str = FAILFAST) -> DataFrame:
     """``customer,item,amount``; the customer key stays a string."""
-    return _csv(spark, path, "customer_id string, item_id string, amount double", ",", mode)
+    return _delimited(spark, path, ",", [("customer_id", "string"), ("item_id", "string"),
+                                         ("amount", "double")], mode)
 
 
 def read_weather(spark: SparkSession, path, mode: str = FAILFAST) -> DataFrame:
     """``station,date,type,value,...`` (value in tenths of a degree C)."""
-    schema = ("station string, date string, entry_type string, value float, "
-              "f4 string, f5 string, f6 string, f7 string")
-    return _csv(spark, path, schema, ",", mode).select("station", "date", "entry_type", "value")
+    return _delimited(spark, path, ",", [("station", "string"), ("date", "string"),
+                                         ("entry_type", "string"), ("value", "float")], mode)
 
 
 def read_label_features(spark: SparkSession, path, mode: str = FAILFAST) -> DataFrame:
     """``label,x``."""
-    return _csv(spark, path, "label double, x double", ",", mode)
+    return _delimited(spark, path, ",", [("label", "double"), ("x", "double")], mode)
 
 
 # ---------------------------------------------------------------- text

@@ -266,3 +266,14 @@ def test_item_titles_trailing_separator(spark, write_text):
     p = write_text("u2.item", "1|A|x\n3|\n4||x\n5::\n")
     got = kv(files.read_item_titles(spark, p), "item_id", "title")
     assert got == {1: "A", 4: ""}          # "3|" has no title field; "5::" is no id
+
+
+def test_positional_fields_ignore_extras(spark, write_text):
+    p = write_text("p.csv", "0,Will,33,385,extra,more\n1,Jean,33,2\n")
+    assert [tuple(r) for r in files.read_people(spark, p).orderBy("id").collect()] == \
+        [(0, "Will", 33, 385), (1, "Jean", 33, 2)]
+    short = write_text("short.csv", "0,Will,33\n")
+    with pytest.raises(Exception):
+        files.read_people(spark, short).collect()
+    assert [tuple(r) for r in files.read_people(spark, short, mode=files.PERMISSIVE).collect()] == \
+        [(0, "Will", 33, None)]
