@@ -19,3 +19,11 @@ def test_bench_prints_one_json_line():
     assert rec["unit"] == "sec" and rec["sf"] == "0.001"
     assert set(rec["queries"]) == {"rating_histogram", "sql_range"}
     assert rec["value"] == round(sum(rec["queries"].values()), 3)
+
+
+def test_explain_cli_prints_plans():
+    out = subprocess.run([sys.executable, "-m", "tessera.plans.explain", SF_SMALL,
+                          "item_popularity", "sql_range"],
+                         capture_output=True, text=True, cwd=ROOT, timeout=600, check=True)
+    assert out.stdout.count("== Physical Plan ==") == 2
+    assert "TakeOrderedAndProject" in out.stdout and "PushedFilters" in out.stdout
