@@ -205,7 +205,7 @@ def q_people_count(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_sql_range(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
-    return rel.sql_range(spark, t.part, "p_size", *SQL_RANGE, view="part_range_src")
+    return rel.sql_range(spark, t.part, "p_size", *SQL_RANGE)
 
 
 def q_linear_regression(spark: SparkSession, sf: str) -> DataFrame:
