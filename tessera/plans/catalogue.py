@@ -223,7 +223,12 @@ def q_regression_rmse(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_als_recommend(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
-    model = ml.fit_als(ratings(t), "user_id", "item_id", "rating")
+    # the ids come from two key columns: their range is checked on those
+    # columns (one-column scans) instead of over the joined ratings
+    bounds = [t.orders.agg(F.min("o_custkey"), F.max("o_custkey")).collect()[0],
+              t.lineitem.agg(F.min("l_suppkey"), F.max("l_suppkey")).collect()[0]]
+    dense = any(b[0] is not None and (b[0] < 0 or b[1] > ml.INT_MAX) for b in bounds)
+    model = ml.fit_als(ratings(t), "user_id", "item_id", "rating", dense_ids=dense)
     # the user's key, read from orders with the filter pushed into the scan
     users = t.orders.where(F.col("o_custkey") == ALS_USER) \
         .select(F.col("o_custkey").alias("user")).distinct()
