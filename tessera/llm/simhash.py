@@ -37,6 +37,7 @@ are ignored by the pair search and kept by ``drop_near_duplicates``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -222,9 +223,10 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
         near.groupBy("component")
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("k"))
         .select(F.col("k.doc_id").alias("_id"), F.col("k.th").alias("_th")), "simhash-kept")
-    rows = docs.withColumn("_row_th", F.xxhash64(text_or_empty(text_col)))
-    joined = rows.join(kept, rows[id_col].cast("bigint").eqNullSafe(kept["_id"])
-                       & (rows["_row_th"] == kept["_th"]))
-    one = Window.partitionBy("_id", "_th").orderBy(F.lit(0))
-    return (joined.withColumn("_n", F.row_number().over(one)).where(F.col("_n") == 1)
-            .select(*[docs[c] for c in docs.columns]))
+    # the rows travel under names that no column of the caller can have
+    tag = uuid.uuid4().hex
+    rows = docs.select(F.struct(*docs.columns).alias(tag), F.col(id_col).cast("bigint").alias(f"{tag}_id"),
+                       F.xxhash64(text_or_empty(text_col)).alias(f"{tag}_th"))
+    joined = rows.join(kept, rows[f"{tag}_id"].eqNullSafe(kept["_id"]) & (rows[f"{tag}_th"] == kept["_th"]))
+    one = Window.partitionBy(f"{tag}_id", f"{tag}_th").orderBy(F.lit(0))
+    return joined.withColumn("_n", F.row_number().over(one)).where(F.col("_n") == 1).select(f"{tag}.*")
