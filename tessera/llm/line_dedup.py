@@ -158,16 +158,18 @@ def _near(lines: DataFrame, firsts: DataFrame, texts: DataFrame) -> DataFrame:
     shared = materialize(keyed.select("h1", side).groupBy("key")
                          .agg(F.min("h1").alias("a"), F.max("h1").alias("b"))
                          .where(F.col("a") != F.col("b")).select("key"), "lines-shared")
-    # the halves that may differ: a shared first half leaves the second one open, and the other way round
+    # the halves that may differ: a shared first half leaves the second one open, and the other way round.
+    # h1 alone names the line here: a collision only makes one more candidate.  The hint keeps one plan at
+    # every size: the keys grow with the input and must not be broadcast while they happen to be few
     open_ = materialize(
-        keyed.select("h1", "h2", side).join(shared, "key").groupBy("h1", "h2")
+        keyed.select("h1", side).join(shared.hint("merge"), "key").groupBy("h1")
         .agg(F.bit_or(F.when(F.col("side") == 0, 1).when(F.col("side") == 1, 2).otherwise(0)).alias("halves"),
              F.max(F.col("side") >= 2).alias("as_shorter")), "lines-open")
-    where = open_.join(firsts.select("h1", "h2", "first"), ["h1", "h2"])
+    where = open_.join(firsts.select("h1", "h2", "first"), "h1")
     per_doc = materialize(where.groupBy("first.did", "first.th").agg(F.collect_list(F.struct(
         F.col("first.line").alias("line"), "h1", "h2", "halves", "as_shorter")).alias("l")), "lines-open-docs")
     # the texts of documents that hold such a line; a repeated row counts once
-    found = texts.join(per_doc, ["did", "th"]).select("did", "th", "l", F.split("text", "\n").alias("t"))
+    found = texts.join(per_doc.hint("merge"), ["did", "th"]).select("did", "th", "l", F.split("text", "\n").alias("t"))
     blanks = "[ \\t\\n\\x0B\\f\\r]+"
     cand = materialize(
         found.select("did", "th", "t", F.explode("l").alias("x"))
@@ -247,6 +249,6 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     text = F.col(tag)[text_col].cast("string")
     kept = F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains("gone", i))
     new = F.when(F.col("gone").isNull(), text).otherwise(F.array_join(kept, "\n"))
-    out = rows.join(gone, ["did", "th"], "left").select(tag, "gone", new.alias("new"))
+    out = rows.join(gone.hint("merge"), ["did", "th"], "left").select(tag, "gone", new.alias("new"))
     return (out.where(F.col("gone").isNull() | F.col("new").rlike(r"[^ \t\n\x0B\f\r]"))
             .select(*[(F.col("new") if c == text_col else F.col(tag)[c]).alias(c) for c in docs.columns]))
