@@ -15,11 +15,11 @@ and adds up the weights of the arcs and failure arcs it takes.
 
 The model is never held in one place.  The work runs in blocks of documents:
 
-1. Each block (at most ``BLOCK_TOKENS`` tokens or one text) is tokenised once;
-   its tokens are written as numbers to the checkpoint folder, with the block's
-   distinct n-grams as sorted 64-bit hashes and their counts in training
-   documents, cut into hash ranges.  A hot n-gram is one entry per block.
-2. A range's entries of all blocks meet in one task, are added up, and each
+1. Each block (about ``BLOCK_TOKENS`` tokens, or one longer text) is tokenised
+   once; its tokens are written as numbers to the checkpoint folder.
+2. A block's distinct n-grams and their counts in training documents are cut into
+   hash ranges; a hot n-gram is one entry per block.  A range's entries of all
+   blocks meet in one task, are added up, and each
    block gets back the counts of its own n-grams, in its own order.  The number
    of ranges grows with the number of documents.
 3. Each block builds the automaton of its n-grams and traverses its documents,
@@ -36,6 +36,8 @@ they occur.  Without training documents every token has probability 1 (N = V =
 
 from __future__ import annotations
 
+import array
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -112,77 +114,83 @@ def _levels(tokens: np.ndarray, firsts: np.ndarray, hashes: np.ndarray, order: i
         number[ok] = inverse
         h, w = np.divmod(u, np.int64(len(hashes)))
         out.append((number, _mix(below_hash[h], hashes[w])))
-    return place, out
+    return out
 
 
-def _blocks(order: int, ranges: int, limit: int):
-    """mapInArrow body of step 1."""
+def _blocks(limit: int):
+    """mapInArrow body of step 1: documents in, one row per block out."""
     import xxhash
 
-    shift = np.uint64(64 - ranges.bit_length() + 1)
-
-    def flush(name, docs, held, sizes, ids, vocabulary):
-        tokens = np.frombuffer(ids, np.int32).astype(np.int64)
-        held_out = np.array(held, bool)
-        sizes = np.array(sizes, np.int64)
-        firsts = np.cumsum(sizes) - sizes
-        hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in vocabulary), np.uint64, len(vocabulary))
-        hashes = np.append(hashes, np.uint64(xxhash.xxh64_intdigest(_START)))
-        trains = np.repeat(~held_out, sizes)
-        yield (name, -1, 0, pa.array(docs, pa.int64()).to_pandas(integer_object_nulls=True).tolist(),
-               np.packbits(held_out).tobytes(), _pack(sizes.astype(np.uint32)),
-               _pack(tokens.astype(np.uint32)), _pack(hashes))
-        _, levels = _levels(tokens, firsts, hashes, order)
-        for k, (number, gram_hash) in enumerate(levels, 1):
-            got = number[trains & (number >= 0)]
-            n = len(gram_hash) - (k == 1)  # the start mark is no token
-            counts = np.bincount(got, minlength=len(gram_hash))[:n]
-            by = np.argsort(gram_hash[:n])
-            keys, counts = gram_hash[:n][by], counts[by].astype(np.uint32)
-            cut = np.searchsorted(keys >> shift if ranges > 1 else np.zeros(n, np.uint64),
-                                  np.arange(ranges + 1, dtype=np.uint64))
-            for r in range(ranges):
-                a, b = cut[r], cut[r + 1]
-                if a < b:
-                    yield name, k, r, None, None, None, _pack_sorted(keys[a:b]), _pack(counts[a:b])
+    def flush(docs, held, sizes, ids, vocabulary):
+        hashes = [xxhash.xxh64_intdigest(w) for w in (*vocabulary, _START)]
+        row = (uuid.uuid4().hex, docs, np.packbits(np.array(held, bool)).tobytes(),
+               _pack(np.array(sizes, np.uint32)), _pack(np.frombuffer(ids, np.uint32)),
+               _pack(np.array(hashes, np.uint64)))
+        return pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(row, _TYPES)], _NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import array
-        import uuid
-
         def fresh():
             number = defaultdict()
             number.default_factory = number.__len__
-            return [], [], [], array.array("i"), number
-
-        def out(rows):
-            cols = list(zip(*rows))
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _TYPES)], _NAMES)
+            return [], [], [], array.array("I"), number
 
         docs, held, sizes, ids, number = fresh()
         for b in batches:
-            for doc, h, text in zip(b.column("id").to_pylist(), b.column("held_out").to_pylist(), b.column("text")):
-                w = words(text.as_py().encode("utf-8", "surrogatepass").lower())
+            for k in range(b.num_rows):
+                w = words(b.column("text")[k].as_py().encode("utf-8", "surrogatepass").lower())
                 w.append(_END)
                 ids.extend([number[x] for x in w])
-                docs.append(doc)
-                held.append(h)
+                docs.append(b.column("id")[k].as_py())
+                held.append(b.column("held_out")[k].as_py())
                 sizes.append(len(w))
                 if len(ids) >= limit:
-                    for row in flush(uuid.uuid4().hex, docs, held, sizes, ids, number):
-                        yield out([row])
+                    yield flush(docs, held, sizes, ids, number)
                     docs, held, sizes, ids, number = fresh()
         if docs:
-            for row in flush(uuid.uuid4().hex, docs, held, sizes, ids, number):
-                yield out([row])
+            yield flush(docs, held, sizes, ids, number)
+
+    return run
+
+
+def _open(row) -> tuple[list, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(doc ids, held out, sizes, tokens, word hashes) of a block's row."""
+    get = lambda c: row.column(c)[0].as_py()
+    docs = get("docs")
+    held = np.unpackbits(np.frombuffer(get("held"), np.uint8), count=len(docs)).astype(bool)
+    return (docs, held, _unpack(get("sizes"), np.uint32).astype(np.int64),
+            _unpack(get("tokens"), np.uint32).astype(np.int64), _unpack(get("hashes"), np.uint64))
+
+
+def _grams(order: int, ranges: int):
+    """mapInArrow body of step 2's map side: a row per level and hash range."""
+    shift = np.uint64(65 - ranges.bit_length())
+    names = ["block", "level", "range", "a", "b"]
+    kinds = [pa.string(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1)
+                _, held, sizes, tokens, hashes = _open(row)
+                trains = np.repeat(~held, sizes)
+                for k, (number, gram_hash) in enumerate(
+                        _levels(tokens, np.cumsum(sizes) - sizes, hashes, order), 1):
+                    n = len(gram_hash) - (k == 1)  # the start mark is no token
+                    counts = np.bincount(number[trains & (number >= 0)], minlength=len(gram_hash))[:n]
+                    by = np.argsort(gram_hash[:n])
+                    keys, counts = gram_hash[:n][by], counts[by].astype(np.uint32)
+                    cut = np.searchsorted(keys >> shift, np.arange(ranges + 1, dtype=np.uint64))
+                    out = [(row.column("block")[0].as_py(), k, r, _pack_sorted(keys[a:b]), _pack(counts[a:b]))
+                           for r, (a, b) in enumerate(zip(cut, cut[1:])) if a < b]
+                    if out:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
 
     return run
 
 
-_NAMES = ["block", "level", "range", "docs", "held", "sizes", "a", "b"]
-_TYPES = [pa.string(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(),
-          pa.binary()]
-_SCHEMA = ("block string, level int, range int, docs array<bigint>, held binary, sizes binary, a binary, b binary")
+_NAMES = ["block", "docs", "held", "sizes", "tokens", "hashes"]
+_TYPES = [pa.string(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+_SCHEMA = "block string, docs array<bigint>, held binary, sizes binary, tokens binary, hashes binary"
 
 
 def _sum_range(key, table):
@@ -213,7 +221,7 @@ def traverse(tokens: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, counts:
     order.  The automaton's state at a position is the longest history there;
     its number at level k is that of the k-gram ending one position earlier."""
     firsts = np.cumsum(sizes) - sizes
-    place, levels = _levels(tokens, firsts, hashes, len(counts))
+    levels = _levels(tokens, firsts, hashes, len(counts))
     known = np.zeros(len(tokens))
     p = below = None
     for k, ((number, gram_hash), c) in enumerate(zip(levels, counts), 1):
@@ -247,8 +255,8 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
                       F.coalesce(held_out, F.lit(False)).alias("held_out"), text_or_empty(text_col).alias("text"))
     size = src.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("held_out")).alias("train")).collect()[0]
     ranges = max(MIN_RANGES, 1 << max(0, (size["n"] // DOCS_PER_RANGE - 1).bit_length()))
-    blocks = materialize(src.mapInArrow(_blocks(order, ranges, block_tokens), _SCHEMA), "lm-blocks")
-    grams = blocks.where(F.col("level") > 0).select("block", "level", "range", "a", "b")
+    blocks = materialize(src.mapInArrow(_blocks(block_tokens), _SCHEMA), "lm-blocks")
+    grams = blocks.mapInArrow(_grams(order, ranges), "block string, level int, range int, a binary, b binary")
     counts = materialize(
         grams.groupBy("level", "range").applyInArrow(
             _sum_range, "block string, level int, range int, counts binary, tokens bigint, types bigint"),
@@ -257,11 +265,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     n, v, train = int(total[0] or 0), int(total[1] or 0), int(size["train"])
 
     def run(key, left, right):
-        docs_ = left.column("docs")[0].as_py()
-        held = np.unpackbits(np.frombuffer(left.column("held")[0].as_py(), np.uint8), count=len(docs_)).astype(bool)
-        sizes = _unpack(left.column("sizes")[0].as_py(), np.uint32).astype(np.int64)
-        tokens = _unpack(left.column("a")[0].as_py(), np.uint32).astype(np.int64)
-        hashes = _unpack(left.column("b")[0].as_py(), np.uint64)
+        docs_, held, sizes, tokens, hashes = _open(left)
         parts = sorted(zip(right.column("level").to_pylist(), right.column("range").to_pylist(),
                            right.column("counts").to_pylist()), key=lambda x: x[:2])
         per = [np.concatenate([np.empty(0, np.uint64), *(_unpack(c, np.uint64) for k, _, c in parts if k == level)])
@@ -273,7 +277,6 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
              pa.array(np.full(m, n, np.int64)), pa.array(base), pa.array(total_)],
             names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    left = blocks.where(F.col("level") == -1).select("block", "docs", "held", "sizes", "a", "b")
-    return left.groupBy("block").cogroup(counts.select("block", "level", "range", "counts").groupBy("block")) \
+    return blocks.groupBy("block").cogroup(counts.select("block", "level", "range", "counts").groupBy("block")) \
         .applyInArrow(run, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
                            "base_score double, score double")
