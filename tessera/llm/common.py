@@ -6,6 +6,8 @@ session's shared checkpoint folder, so a lost executor costs a re-read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +24,12 @@ def crc32_mod(col: str, mod: int) -> Column:
     return F.pmod(F.crc32(F.col(col).cast("string").cast("binary")), F.lit(mod))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once: an expression that is used
+    several times inside a larger one would be evaluated each time."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def require(df: DataFrame, *cols: str) -> None:
     missing = [c for c in cols if c not in df.columns]
     if missing:

@@ -12,8 +12,11 @@ Candidates are pruned without losing any match at the threshold t:
 * size bounds: Dice >= t needs t / (2 - t) * |T| <= |S| <= (2 - t) / t * |T|;
 * of a template's |T| bigrams at most ``miss = |T| - ceil(t * (|T| + low) / 2)``
   may be absent (``low`` = smallest size allowed), so a segment must hold one of
-  any ``miss + 1`` of them; one regular expression over the normalised text tests
-  these anchors for all templates at once, before a segment is cut into words.
+  any ``miss + 1`` of them (its anchors).  A text without the longer word of any
+  anchor (for very short words: without the anchor) is passed over after plain
+  tests of the whole text; the others are cut into
+  segments, whose normalised text is tested for the anchors by one regular
+  expression before it is cut into words.
 
 The templates are a fixed list or the caller's; their number and size are part
 of the plan, so nothing is broadcast, joined or shuffled.
@@ -25,13 +28,15 @@ empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import math
+import operator
 import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import require
+from tessera.llm.common import let, require
 
 THRESHOLD = 0.8
 
@@ -102,30 +107,47 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     sets = {name: s for name, s in sets.items() if s}
     t = F.col(text_col).cast("string")
     blocks = F.transform(F.split(t, r"\n[ \t\r]*\n"), lambda p: F.when(F.contains(p, F.lit("\n")), p))
-
-    def rows(unit: str, parts: Column) -> DataFrame:
-        return docs.select(F.col(id_col).alias("doc_id"), F.lit(unit).alias("unit"),
-                           F.posexplode(parts).alias("at", "raw"))
-
-    segments = rows("line", F.split(t, "\n")).unionAll(rows("paragraph", blocks))
+    tests = sorted({a for s in sets.values() for a in anchors(s, threshold)}) or ["(?!)"]
+    anchor = " (?:" + "|".join(tests) + ") "
+    words = {a: max(a.split(" "), key=len) for a in tests}
+    longer = {w for w in words.values() if len(w) > 3}
+    longer = sorted(w for w in longer if not any(v != w and v in w for v in longer))  # 'license' stands for 'licensed'
+    short = "|".join(a.replace(" ", "[^a-z0-9]+") for a, w in words.items() if len(w) <= 3)
+
+    def able_text(low: Column) -> Column:
+        checks = [F.contains(low, F.lit(w)) for w in longer] + ([low.rlike(short)] if short else [])
+        return functools.reduce(operator.or_, checks)
+
+    # the lower-cased text is an array's only element, so that it is made once for all tests
+    able = docs.where(F.exists(F.array(F.lower(t)), able_text))
+
+    def tagged(unit: str, parts: Column) -> Column:
+        return F.transform(parts, lambda p, i: F.struct(F.lit(unit).alias("unit"), i.alias("at"), p.alias("raw")))
+
+    segments = able.select(F.col(id_col).alias("doc_id"), F.explode(F.filter(
+        F.concat(tagged("line", F.split(t, "\n")), tagged("paragraph", blocks)),
+        lambda x: x["raw"].isNotNull())).alias("x")).select("doc_id", "x.*")
     if not sets:
         return segments.where(F.lit(False)).select(
             "doc_id", "unit", (F.col("at") + 1).alias("segment"), F.lit("").alias("license"), F.lit(0.0).alias("score"))
-    anchor = " (?:" + "|".join(sorted({a for s in sets.values() for a in anchors(s, threshold)})) + ") "
-    near = (segments.where(F.col("raw").isNotNull()).withColumn("norm", normalise(F.col("raw")))
+    near = (segments.withColumn("norm", normalise(F.col("raw")))
             .where(F.concat(F.lit(" "), "norm", F.lit(" ")).rlike(anchor)))
-    w = F.split("norm", " ")
-    pairs = F.array_distinct(F.zip_with(
-        F.slice(w, F.lit(1), F.size(w) - 1), F.slice(w, F.lit(2), F.size(w) - 1), lambda a, b: F.concat_ws(" ", a, b)))
-    near = near.withColumn("own", F.when(F.size(w) > 1, pairs).otherwise(F.array().cast("array<string>")))
-    found = []
-    for name, s in sets.items():
-        low, high = size_bounds(len(s), threshold)
-        common = F.size(F.array_intersect("own", F.array(*map(F.lit, s))))
-        dice = 2.0 * common / (F.size("own") + len(s))
-        found.append(F.when(F.size("own").between(low, high) & (dice >= threshold),
-                            F.struct((-dice).alias("rank"), F.lit(name).alias("license"))))
-    best = F.array_min(F.filter(F.array(*found), lambda x: x.isNotNull()))
+
+    def pairs(w):
+        cut = F.zip_with(F.slice(w, F.lit(1), F.size(w) - 1), F.slice(w, F.lit(2), F.size(w) - 1),
+                         lambda a, b: F.concat_ws(" ", a, b))
+        return F.when(F.size(w) > 1, F.array_distinct(cut)).otherwise(F.array().cast("array<string>"))
+
+    def match(own):
+        found = []
+        for name, s in sets.items():
+            low, high = size_bounds(len(s), threshold)
+            common = F.size(F.array_intersect(own, F.array(*map(F.lit, s))))
+            found.append(F.when(F.size(own).between(low, high), F.struct(
+                (-2.0 * common / (F.size(own) + len(s))).alias("rank"), F.lit(name).alias("license"))))
+        return F.array_min(F.filter(F.array(*found), lambda x: x["rank"] <= -threshold))
+
+    best = let(let(F.split("norm", " "), pairs), match)
     return (near.withColumn("best", best).where(F.col("best").isNotNull())
             .select("doc_id", "unit", (F.col("at") + 1).alias("segment"), F.col("best.license").alias("license"),
                     (-F.col("best.rank")).alias("score")))
