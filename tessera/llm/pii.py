@@ -34,17 +34,20 @@ secret.
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import require
+from tessera.llm.common import let, require
 
 ROUNDS = 8
 KINDS = ("email", "phone", "date", "ssn", "card", "ip")
 
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 PATTERNS = {
-    "email": r"\b[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "email": r"\b[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "phone": r"\+[0-9]{1,3} ?\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])",
     "date": r"(?<![\w.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})"
             r"(?![\w-])",
@@ -52,7 +55,9 @@ PATTERNS = {
     "card": r"(?<![\w-])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3})(?![\w-])",
     "ip": rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.[0-9])",
 }
-PATTERN = "|".join(f"(?:{PATTERNS[k]})" for k in KINDS)
+#: The other kinds start with a digit or a plus sign, which is tested first.
+NUMBERS = "(?=[0-9+])(?:" + "|".join(f"(?:{PATTERNS[k]})" for k in KINDS if k != "email") + ")"
+PATTERN = f"(?:{PATTERNS['email']})|{NUMBERS}"
 
 
 def _hash(key: str, kind: str, i: Column, other: Column) -> Column:
@@ -78,9 +83,9 @@ def feistel_text(key: str, kind: str, s: Column) -> Column:
     """The same network over the characters of a text: lower-case letters,
     upper-case letters and digits move within their class, others stay."""
     def moved(half, other, i):
-        h = F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), i.cast("string"), F.lower(other)), 512)
+        digest = F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), i.cast("string"), F.lower(other)), 512)
 
-        def char(at):
+        def char(h, at):
             c = F.ascii(F.substr(half, at, F.lit(1)))
             step = F.conv(F.substr(h, (at - 1) % 64 * 2 + 1, F.lit(2)), 16, 10).cast("int")
             def within(lo, n):
@@ -89,7 +94,8 @@ def feistel_text(key: str, kind: str, s: Column) -> Column:
                     .when(c.between(48, 57), within(48, 10)).otherwise(F.char(c)))
 
         return F.when(F.length(half) == 0, half).otherwise(
-            F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(F.length(half), F.lit(1))), char), ""))
+            let(digest, lambda h: F.array_join(F.transform(
+                F.sequence(F.lit(1), F.greatest(F.length(half), F.lit(1))), lambda at: char(h, at)), "")))
 
     def turn(t, i):
         even = i % 2 == 0
@@ -99,7 +105,7 @@ def feistel_text(key: str, kind: str, s: Column) -> Column:
     cut = (F.length(s) / 2).cast("int")
     start = F.struct(F.substr(s, F.lit(1), cut).alias("l"), F.substr(s, cut + 1, F.length(s)).alias("r"))
     out = F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, turn)
-    return F.concat(out["l"], out["r"])
+    return let(out, lambda x: F.concat(x["l"], x["r"]))
 
 
 def _digits(s: Column) -> Column:
@@ -141,64 +147,79 @@ def _refill(shape: Column, digits: Column) -> Column:
 
 
 def _card(m: Column, key: str) -> Column:
-    d = _digits(m)
-    n = F.length(d) - 1
-    u = (n / 2).cast("int")
-    body = F.substr(d, F.lit(1), n)
-    x = feistel(key, "card", _long(F.substr(body, F.lit(1), u)), _long(F.substr(body, u + 1, n)), _power(u),
-                _power(n - u))
-    # the permutation depends on the length, too: a longer number is another format
-    new = F.concat(_pad(x["l"], u), _pad(x["r"], n - u))
-    check = ((10 - luhn_sum(new, True) % 10) % 10).cast("string")
-    return F.when(luhn_sum(d, False) % 10 == 0, _refill(m, F.concat(new, check)))
+    def make(d):
+        n = F.length(d) - 1
+        u = (n / 2).cast("int")
+        # the sizes follow the length: a longer number is another format
+        halves = feistel(key, "card", _long(F.substr(d, F.lit(1), u)), _long(F.substr(d, u + 1, n - u)), _power(u),
+                         _power(n - u))
+        body = let(halves, lambda x: F.concat(_pad(x["l"], u), _pad(x["r"], n - u)))
+        new = let(body, lambda s: F.concat(s, ((10 - luhn_sum(s, True) % 10) % 10).cast("string")))
+        return F.when(luhn_sum(d, False) % 10 == 0, let(new, lambda s: _refill(m, s)))
+
+    return let(_digits(m), make)
 
 
 def _phone(m: Column, key: str) -> Column:
-    d = _digits(m)
-    cc = F.substr(d, F.lit(1), F.length(d) - 10)
-    area, rest = F.substr(d, F.length(d) - 9, F.lit(3)), F.substr(d, F.length(d) - 6, F.lit(7))
-    near = feistel(key, "phone1", area.cast("bigint") - 200, rest.cast("bigint") - 2_000_000, F.lit(800),
-                   F.lit(8_000_000))
-    far = feistel(key, "phone", area.cast("bigint"), rest.cast("bigint"), F.lit(1000), F.lit(10_000_000))
-    return (F.when((cc == "1") & (area >= "200") & (rest >= "2000000"),
-                   _refill(m, F.concat(cc, _pad(near["l"] + 200, 3), _pad(near["r"] + 2_000_000, 7))))
-            .when(cc != "1", _refill(m, F.concat(cc, _pad(far["l"], 3), _pad(far["r"], 7)))))
+    def make(d):
+        cc = F.substr(d, F.lit(1), F.length(d) - 10)
+        area, rest = F.substr(d, F.length(d) - 9, F.lit(3)), F.substr(d, F.length(d) - 6, F.lit(7))
+        near = feistel(key, "phone1", area.cast("bigint") - 200, rest.cast("bigint") - 2_000_000, F.lit(800),
+                       F.lit(8_000_000))
+        far = feistel(key, "phone", area.cast("bigint"), rest.cast("bigint"), F.lit(1000), F.lit(10_000_000))
+        new = (F.when((cc == "1") & (area >= "200") & (rest >= "2000000"),
+                      let(near, lambda x: F.concat(cc, _pad(x["l"] + 200, 3), _pad(x["r"] + 2_000_000, 7))))
+               .when(cc != "1", let(far, lambda x: F.concat(cc, _pad(x["l"], 3), _pad(x["r"], 7)))))
+        return let(new, lambda s: F.when(s.isNotNull(), _refill(m, s)))
+
+    return let(_digits(m), make)
 
 
 def _ip(m: Column, key: str) -> Column:
-    o = F.transform(F.split(m, r"\."), lambda x: x.cast("bigint"))
-    x = feistel(key, "ip", F.get(o, F.lit(0)) * 256 + F.get(o, F.lit(1)),
-                F.get(o, F.lit(2)) * 256 + F.get(o, F.lit(3)), F.lit(65536), F.lit(65536))
-    return F.concat_ws(".", *[v.cast("string") for h in ("l", "r")
-                              for v in (F.shiftright(x[h], 8), x[h].bitwiseAND(F.lit(255).cast("bigint")))])
+    def make(o):
+        x = feistel(key, "ip", F.get(o, F.lit(0)) * 256 + F.get(o, F.lit(1)),
+                    F.get(o, F.lit(2)) * 256 + F.get(o, F.lit(3)), F.lit(65536), F.lit(65536))
+        return let(x, lambda x: F.concat_ws(".", *[v.cast("string") for h in ("l", "r") for v in
+                                                   (F.shiftright(x[h], 8), x[h].bitwiseAND(F.lit(255)))]))
+
+    return let(F.transform(F.split(m, r"\."), lambda x: x.cast("bigint")), make)
 
 
 def _ssn(m: Column, key: str) -> Column:
-    p = F.transform(F.split(m, "-"), lambda x: x.cast("bigint"))
-    area, group, serial = (F.get(p, F.lit(i)) for i in range(3))
-    index = area - 1 - (area > 666).cast("int")
-    x = feistel(key, "ssn", index * 99 + group - 1, serial - 1, F.lit(898 * 99), F.lit(9999))
-    new = (x["l"] / 99).cast("bigint")
-    new = new + 1 + (new >= 665).cast("int")
-    return F.when(area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0),
-                  F.concat_ws("-", _pad(new, 3), _pad(x["l"] % 99 + 1, 2), _pad(x["r"] + 1, 4)))
+    def make(p):
+        area, group, serial = (F.get(p, F.lit(i)) for i in range(3))
+        index = area - 1 - (area > 666).cast("int")
+
+        def write(x):
+            new = (x["l"] / 99).cast("bigint")
+            return F.concat_ws("-", _pad(new + 1 + (new >= 665).cast("int"), 3), _pad(x["l"] % 99 + 1, 2),
+                               _pad(x["r"] + 1, 4))
+
+        x = feistel(key, "ssn", index * 99 + group - 1, serial - 1, F.lit(898 * 99), F.lit(9999))
+        return F.when(area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0), let(x, write))
+
+    return let(F.transform(F.split(m, "-"), lambda x: x.cast("bigint")), make)
 
 
 def _date(m: Column, key: str) -> Column:
+    zero = F.lit("2000-01-01").cast("date")
     out = F.lit(None).cast("string")
     for fmt, mark in (("yyyy-MM-dd", "-"), ("MM/dd/yyyy", "/"), ("dd.MM.yyyy", ".")):
-        day = F.datediff(F.try_to_date(m, fmt), F.lit("2000-01-01").cast("date")).cast("bigint")
-        at = F.pmod(day, F.lit(146_097))
-        x = feistel(key, "date", (at / 233).cast("bigint"), at % 233, F.lit(627), F.lit(233))
-        new = F.date_add(F.lit("2000-01-01").cast("date"), (day - at + x["l"] * 233 + x["r"]).cast("int"))
-        good = F.contains(m, F.lit(mark)) & day.isNotNull() & (day >= -584_388)  # 0400-01-01
-        out = F.when(good, F.date_format(new, fmt)).otherwise(out)
+        def make(day, *, fmt=fmt):
+            at = F.pmod(day, F.lit(146_097))
+            x = feistel(key, "date", (at / 233).cast("bigint"), at % 233, F.lit(627), F.lit(233))
+            new = let(x, lambda x: F.date_add(zero, (day - at + x["l"] * 233 + x["r"]).cast("int")))
+            return F.when(day >= -584_388, F.date_format(new, fmt))  # 0400-01-01
+
+        day = F.datediff(F.try_to_date(m, fmt), zero).cast("bigint")
+        out = F.when(F.contains(m, F.lit(mark)), let(day, lambda d: make(d))).otherwise(out)
     return out
 
 
 def _email(m: Column, key: str) -> Column:
     at = F.instr(m, "@")
-    return F.concat(feistel_text(key, "email", F.substr(m, F.lit(1), at - 1)), F.substr(m, at, F.length(m)))
+    return F.concat(let(F.substr(m, F.lit(1), at - 1), lambda s: feistel_text(key, "email", s)),
+                    F.substr(m, at, F.length(m)))
 
 
 def kind_of(m: Column) -> Column:
@@ -209,13 +230,12 @@ def kind_of(m: Column) -> Column:
     return out
 
 
-def pseudonym(m: Column, key: str) -> Column:
-    """The pseudonym of a found value, null where its check fails."""
+def pseudonym(m: Column, kind: Column, key: str) -> Column:
+    """The pseudonym of a found value of that kind, null where its check fails."""
     make = {"email": _email, "phone": _phone, "date": _date, "ssn": _ssn, "card": _card, "ip": _ip}
     out = None
-    for kind in KINDS:
-        test = kind_of(m) == kind
-        out = F.when(test, make[kind](m, key)) if out is None else out.when(test, make[kind](m, key))
+    for k in KINDS:
+        out = (F if out is None else out).when(kind == k, make[k](m, key))
     return out
 
 
@@ -227,13 +247,16 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", found_col: s
     if found_col in docs.columns:
         raise ValueError(f"column {found_col!r} exists")
     t = F.col(text_col).cast("string")
-    values = F.when(t.rlike("[0-9@]"), F.regexp_extract_all(t, F.lit(PATTERN), F.lit(0))) \
-        .otherwise(F.array().cast("array<string>"))
+    # without an at sign the e-mail pattern, the slower one, cannot match
+    values = (F.when(F.contains(t, F.lit("@")), F.regexp_extract_all(t, F.lit(PATTERN), F.lit(0)))
+              .when(functools.reduce(operator.or_, [F.contains(t, F.lit(str(d))) for d in range(10)]),
+                    F.regexp_extract_all(t, F.lit(NUMBERS), F.lit(0)))
+              .otherwise(F.array().cast("array<string>")))
     row = docs.select(F.struct(*docs.columns).alias("r"), t.alias("t"), F.when(t.isNotNull(), values).alias("m"))
     # a plan node of its own, so that the values and pseudonyms are computed once
-    row = row.select("r", "t", F.transform("m", lambda m: F.struct(
-        m.alias("raw"), kind_of(m).alias("kind"), pseudonym(m, key).alias("new"))).alias("m"))
-    pieces = F.split("t", PATTERN, -1)
+    row = row.select("r", "t", F.transform("m", lambda m: let(kind_of(m), lambda k: F.struct(
+        m.alias("raw"), k.alias("kind"), pseudonym(m, k, key).alias("new")))).alias("m"))
+    pieces = F.when(F.contains("t", F.lit("@")), F.split("t", PATTERN, -1)).otherwise(F.split("t", NUMBERS, -1))
     new = F.array_join(F.transform(pieces, lambda p, i: F.concat(
         F.when(i == 0, "").otherwise(F.coalesce(F.get("m", i - 1)["new"], F.get("m", i - 1)["raw"])), p)), "")
     text = F.when(F.size("m") > 0, new).otherwise(F.col("t"))
