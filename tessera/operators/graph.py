@@ -13,38 +13,26 @@ Two graph representations share the algorithms:
   semi-joins (frontier -> its groups -> their members), and the hit count
   is ``sum over groups of (frontier rows) * (target rows)``.
 
-The searches are a bounded driver loop (at most ``max_levels`` levels, 10
-by default) over DataFrames.  Level 0 is the one-row start; every later
-level is written as a Parquet folder ``dist=<k>`` below a fresh folder in
-the session's checkpoint directory,
-which both cuts the lineage and makes the visited set a partitioned table
-(``id, dist``) that Spark reads back with exact sizes.  Each level is one
-action, the write of the level (its size and hit count are observed metrics
-of that action, so no counting pass); it scans the stored graph twice and
-never the source tables.  For symmetric graphs only the last two levels are
-excluded from the next one.
+The searches are a driver loop over DataFrames that runs until the frontier is
+empty (``max_levels`` ends it earlier if asked).  Every level is written as a
+Parquet folder ``dist=<k>`` below a fresh folder in the session's checkpoint
+directory, which both cuts the lineage and makes the visited set a partitioned
+table that Spark reads back with exact sizes.  No join side is hinted: sizes and
+AQE decide.  Joins on a key that can be hot (a node or a group) read written
+tables on both sides, so AQE can split the hot key's rows.  For symmetric graphs
+only the last two levels are excluded from the next one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from itertools import count
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.aggregates import arg_max, lookup
 from tessera.session import materialize, scratch_path
 
-DEFAULT_MAX_LEVELS = 10
-# Sides of a join are broadcast only below this many rows, and only when the
-# row count is known exactly (level sizes are counted by the loop).
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def _maybe_broadcast(df: DataFrame, rows: int | None) -> DataFrame:
-    if rows is not None and rows <= MAX_BROADCAST_ROWS:
-        return F.broadcast(df)
-    return df
-
-
 class EdgeGraph:
     """Directed multigraph given by explicit edges ``(src, dst)``."""
 
@@ -73,20 +61,16 @@ class EdgeGraph:
             self.edges.select(F.col("dst").alias("id")))
         return ends.groupBy("id").agg(F.count(F.lit(1)).alias("deg"))
 
-    def expand(self, frontier: DataFrame, frontier_rows: int | None) -> DataFrame:
-        """Heads of the edges leaving the frontier, one row each:
-        ``(id, h)`` with ``h`` = number of those edges ending at ``id``."""
+    def expand(self, frontier: DataFrame | None, start=None) -> DataFrame:
+        """Heads of the edges leaving the frontier (or the one node ``start``),
+        one row each: ``(id, h)`` with ``h`` = number of those edges ending at
+        ``id``."""
         e = self.stored()
-        f = _maybe_broadcast(frontier.select(F.col("id").alias("src")), frontier_rows)
-        return (e.join(f, "src", "left_semi")
-                .groupBy(F.col("dst").alias("id"))
-                .agg(F.count(F.lit(1)).alias("h")))
-
-    def hits(self, frontier: DataFrame, frontier_rows: int | None, target) -> int:
-        """Edges from the frontier into ``target`` (separate job)."""
-        e = self.stored().where(F.col("dst") == F.lit(target))
-        f = _maybe_broadcast(frontier.select(F.col("id").alias("src")), frontier_rows)
-        return e.join(f, "src", "left_semi").count()
+        if frontier is None:
+            out = e.where(F.col("src") == F.lit(start))
+        else:
+            out = e.join(frontier.select(F.col("id").alias("src")), "src", "left_semi")
+        return out.groupBy(F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("h"))
 
 
 class CoMemberGraph:
@@ -117,8 +101,8 @@ class CoMemberGraph:
     def out_degree(self) -> DataFrame:
         """Edges leaving each member: sum over its groups of c * (size - c).
         Members whose groups hold nobody else have no edge and no row."""
-        gm = self.counted()
-        sizes = gm.groupBy("g").agg(F.sum("c").alias("size"))
+        gm = self.stored()
+        sizes = materialize(gm.groupBy("g").agg(F.sum("c").alias("size")), "group-sizes")
         return (gm.join(sizes, "g")
                 .groupBy(F.col("m").alias("id"))
                 .agg(F.sum(F.col("c") * (F.col("size") - F.col("c"))).alias("n"))
@@ -128,42 +112,25 @@ class CoMemberGraph:
         """Every edge has its reverse, so in-degree equals out-degree."""
         return self.out_degree().select("id", (F.col("n") * 2).alias("deg"))
 
-    def expand(self, frontier: DataFrame, frontier_rows: int | None) -> DataFrame:
-        """Members of the groups that hold a frontier member, one row each:
-        ``(id, h)`` with ``h`` = edges from the frontier into ``id``.
+    def expand(self, frontier: DataFrame | None, start=None) -> DataFrame:
+        """Members of the groups that hold a frontier member (or the one member
+        ``start``), one row each: ``(id, h)`` with ``h`` = edges from the
+        frontier into ``id``.
 
         ``a`` = frontier rows of a group; each row of a member in that group
         closes ``a`` edges from the frontier (a frontier member's own rows
         count too, but frontier members are visited and dropped later).
         """
         e = self.stored()
-        f = _maybe_broadcast(frontier.select(F.col("id").alias("m")), frontier_rows)
-        groups = e.join(f, "m", "left_semi").groupBy("g").agg(F.sum("c").alias("a"))
+        if frontier is None:
+            own = e.where(F.col("m") == F.lit(start))
+        else:
+            own = e.join(frontier.select(F.col("id").alias("m")), "m", "left_semi")
+        groups = materialize(own.groupBy("g").agg(F.sum("c").alias("a")), "frontier-groups")
         return (e.join(groups, "g")
                 .groupBy(F.col("m").alias("id"))
                 .agg(F.sum(F.col("a") * F.col("c")).alias("h")))
 
-    def hits(self, frontier: DataFrame, frontier_rows: int | None, target) -> int:
-        """Edges from the frontier into ``target`` (separate job)."""
-        e = self.stored()
-        f = _maybe_broadcast(frontier.select(F.col("id").alias("m")), frontier_rows)
-        a = (e.join(f, "m", "left_semi").where(F.col("m") != F.lit(target))
-             .groupBy("g").agg(F.sum("c").alias("a")))
-        t = e.where(F.col("m") == F.lit(target)).select("g", F.col("c").alias("ct"))
-        row = a.join(t, "g").agg(F.sum(F.col("a") * F.col("ct")).alias("h")).collect()[0]
-        return int(row["h"] or 0)
-
-
-def _observed(obs: Observation, key: str, fallback):
-    """An observed metric of the last action; when the observed branch was
-    optimised away (e.g. an empty frontier) the value is computed by
-    ``fallback`` instead."""
-    try:
-        v = obs.get.get(key)
-    except Exception:  # metrics row missing
-        v = None
-    return fallback() if v is None else v
-
 
 # ---------------------------------------------------------------- measures
 
@@ -205,7 +172,7 @@ def degree_top(graph, names: DataFrame | None = None, k: int = 10,
     join), as in the property-graph version."""
     deg = graph.degree()
     if names is not None:
-        deg = deg.join(names.select("id", name_col), "id")
+        deg = deg.join(_one_name(names, name_col), "id")
     return deg.orderBy(F.desc("deg"), F.asc("id")).limit(k)
 
 
@@ -216,15 +183,15 @@ def _spark(graph) -> SparkSession:
 LEVEL_SCHEMA = "id bigint, dist int"
 
 
-def _level_loop(graph, start, target=None, max_levels: int = DEFAULT_MAX_LEVELS):
+def _level_loop(graph, start, target=None, max_levels: int | None = None):
     """Breadth-first levels from ``start``.  Returns (levels_path, seed,
     found): levels 1.. are Parquet folders ``dist=k`` below levels_path,
     level 0 is the one-row ``seed``, and ``found`` is (level, hits) when a
     target was given and reached.
 
-    One action per level: expand the frontier, anti-join the visited set,
-    write the level.  The level size and the hit count are observed metrics
-    of that action (no extra counting pass).
+    Per level: expand the frontier, drop what was visited, write the rest
+    with the number of edges into each node; the written level gives its
+    size and the target's hits.
     """
     spark = _spark(graph)
     base = scratch_path(spark, "levels")
@@ -232,51 +199,39 @@ def _level_loop(graph, start, target=None, max_levels: int = DEFAULT_MAX_LEVELS)
     if target is not None and target == start:
         return base, seed, (0, 0)
 
-    def level_ids(d: int) -> DataFrame:
-        if d == 0:
-            return seed
-        return spark.read.schema("id bigint").parquet(f"{base}/dist={d}")
+    def level_rows(d: int) -> DataFrame:
+        return spark.read.schema("id bigint, h bigint").parquet(f"{base}/dist={d}")
 
-    rows, prev_rows, visited_rows = 1, 0, 1
-    for level in range(1, max_levels + 1):
-        frontier = level_ids(level - 1)
+    for level in count(1) if max_levels is None else range(1, max_levels + 1):
+        frontier = level_rows(level - 1).select("id") if level > 1 else None
+        nxt = graph.expand(frontier, start).where(F.col("id") != F.lit(start))
         if graph.symmetric:
-            # in a symmetric graph a neighbour of level k-1 lies on level
-            # k-2, k-1 or k: only the last two levels need excluding, so the
-            # anti-join side stays small however many nodes were visited
-            recent = frontier if level == 1 else level_ids(level - 2).unionAll(frontier)
-            visited = _maybe_broadcast(recent, rows + prev_rows)
-        else:
-            earlier = seed if level == 1 else \
-                spark.read.schema(LEVEL_SCHEMA).parquet(base).select("id").unionAll(seed)
-            visited = _maybe_broadcast(earlier, visited_rows)
-        # both metrics sit in the job's result stage, whose accumulator
-        # updates Spark applies exactly once even when tasks are retried
-        metrics = Observation()
-        nxt = graph.expand(frontier, rows).join(visited, "id", "left_anti")
-        hit_expr = (F.coalesce(F.sum(F.when(F.col("id") == F.lit(target), F.col("h"))),
-                               F.lit(0).cast("bigint"))
-                    if target is not None else F.lit(0))
-        path = f"{base}/dist={level}"
-        (nxt.observe(metrics, F.count(F.lit(1)).alias("rows"), hit_expr.alias("hits"))
-         .select("id").write.parquet(path))
+            # a neighbour of level k-1 lies on level k-2, k-1 or k, so only
+            # these levels need excluding however many nodes were visited
+            for d in range(max(1, level - 2), level):
+                nxt = nxt.join(level_rows(d).select("id"), "id", "left_anti")
+        elif level > 1:
+            visited = spark.read.schema(LEVEL_SCHEMA).parquet(base).select("id")
+            nxt = nxt.join(visited, "id", "left_anti")
+        nxt.select("id", "h").write.parquet(f"{base}/dist={level}")
         if target is not None:
-            h = _observed(metrics, "hits", lambda: graph.hits(frontier, rows, target))
-            if h:
-                return base, seed, (level, int(h))
-        prev_rows = rows
-        rows = int(_observed(metrics, "rows",
-                             lambda: spark.read.schema("id bigint").parquet(path).count()))
-        visited_rows += rows
-        if rows == 0:
+            hit = level_rows(level).where(F.col("id") == F.lit(target)).select("h").collect()
+            if hit:  # one row at most: a level holds each node once
+                return base, seed, (level, int(hit[0]["h"]))
+        if level_rows(level).isEmpty():
             break
     return base, seed, None
 
 
-def hop_distance(graph, root, max_levels: int = DEFAULT_MAX_LEVELS,
+def _one_name(names: DataFrame, name_col: str) -> DataFrame:
+    """One name per id (the smallest, if repeated)."""
+    return names.groupBy("id").agg(F.min(name_col).alias(name_col))
+
+
+def hop_distance(graph, root, max_levels: int | None = None,
                  names: DataFrame | None = None, name_col: str = "name") -> DataFrame:
     """Hop count from ``root`` along directed edges to every node
-    reached within ``max_levels`` hops: ``(id, dist)``; the root has 0.
+    reached (within ``max_levels`` hops, if given): ``(id, dist)``; the root has 0.
     With ``names``, an inner join attaches them (E6)."""
     spark = _spark(graph)
     base, seed, _ = _level_loop(graph, root, None, max_levels)
@@ -284,17 +239,17 @@ def hop_distance(graph, root, max_levels: int = DEFAULT_MAX_LEVELS,
     dist = spark.read.schema(LEVEL_SCHEMA).parquet(base).unionAll(
         seed.select("id", F.lit(0).alias("dist")))
     if names is not None:
-        dist = dist.join(names.select("id", name_col), "id")
+        dist = dist.join(_one_name(names, name_col), "id")
     return dist
 
 
-def distance_to(graph, root, target, max_levels: int = DEFAULT_MAX_LEVELS) -> DataFrame:
+def distance_to(graph, root, target, max_levels: int | None = None) -> DataFrame:
     """The hop distance row of one node (empty when unreached)."""
     return hop_distance(graph, root, max_levels).where(F.col("id") == F.lit(target))
 
 
 def hop_distance_all(graph, root, nodes: DataFrame,
-                     max_levels: int = DEFAULT_MAX_LEVELS) -> DataFrame:
+                     max_levels: int | None = None) -> DataFrame:
     """G5 with every node of ``nodes (id)``: unreached ones get +Infinity
     (``dist`` double), as the vertex-program version reports them."""
     reached = hop_distance(graph, root, max_levels)
@@ -304,11 +259,11 @@ def hop_distance_all(graph, root, nodes: DataFrame,
                                      F.lit(float("inf"))).alias("dist")))
 
 
-def bfs_hits(graph, start, target, max_levels: int = DEFAULT_MAX_LEVELS) -> DataFrame:
+def bfs_hits(graph, start, target, max_levels: int | None = None) -> DataFrame:
     """Search from ``start`` until a level's frontier has edges into
     ``target``; one row ``(level, hits)`` = the target's distance and the
     number of edges from the previous level into it.  Empty when the
-    target is not reached within ``max_levels``; ``(0, 0)`` when start is
+    target is not reached; ``(0, 0)`` when start is
     the target."""
     spark = _spark(graph)
     _, _, found = _level_loop(graph, start, target, max_levels)

@@ -106,23 +106,19 @@ class ALSFit:
 
 def fit_als(ratings: DataFrame, user: str, item: str, rating: str,
             max_iter: int = ALS_ITER, reg_param: float = ALS_REG, seed: int = 42,
-            rank: int = 10, dense_ids: bool | None = None) -> ALSFit:
+            rank: int = 10) -> ALSFit:
     """M6: ALS on ``(user, item, rating)``.
 
-    Spark's ALS takes int ids.  With ``dense_ids=None`` one aggregate checks
-    the id range: ids that fit are used as they are, larger ones (e.g. 64-bit
-    keys at scale) are renumbered with ``dense_index`` and mapped back in
-    ``recommend``.
+    Spark's ALS takes int ids.  Columns of an int type are used as they are;
+    wider ids are always renumbered with ``dense_index`` and mapped back in
+    ``recommend``, whatever values they hold.  The ratings feed the two id
+    maps and the fit, so they are written once.
     """
     r = ratings.select(F.col(user).alias("user"), F.col(item).alias("item"),
                        F.col(rating).cast("float").alias("rating"))
-    int_typed = {t for c, t in r.dtypes if c in ("user", "item")} <= {"int", "smallint", "tinyint"}
-    if dense_ids is None and int_typed:
-        dense_ids = False              # int columns always fit: no range pass
-    if dense_ids is None:
-        b = r.agg(F.least(F.min("user"), F.min("item")).alias("lo"),
-                  F.greatest(F.max("user"), F.max("item")).alias("hi")).collect()[0]
-        dense_ids = b["lo"] is not None and (b["lo"] < 0 or b["hi"] > INT_MAX)
+    dense_ids = not {t for c, t in r.dtypes if c in ("user", "item")} <= {"int", "smallint", "tinyint"}
+    if dense_ids:
+        r = materialize(r, "als-ratings")
     als = ALS(maxIter=max_iter, regParam=reg_param, rank=rank, seed=seed,
               userCol="user", itemCol="item", ratingCol="rating")
     if not dense_ids:

@@ -31,8 +31,11 @@ def sql_range(spark: SparkSession, df: DataFrame, col: str, lo, hi,
 
     The bounds are named parameter markers, not string-formatted values.
     """
-    view = view or f"t_{uuid.uuid4().hex[:10]}"
-    df.createOrReplaceTempView(view)
-    return spark.sql(
-        f"SELECT * FROM {view} WHERE `{col}` >= :lo AND `{col}` <= :hi",
+    name = view or f"t_{uuid.uuid4().hex[:10]}"
+    df.createOrReplaceTempView(name)
+    out = spark.sql(
+        f"SELECT * FROM {name} WHERE `{col}` >= :lo AND `{col}` <= :hi",
         args={"lo": lo, "hi": hi})
+    if view is None:  # the plan is resolved: the call's own view is not needed any more
+        spark.catalog.dropTempView(name)
+    return out

@@ -17,14 +17,12 @@ Plan shape (all pairs):
    ``n += c(i1)*c(i2)``.
    This table is written once to the checkpoint folder (lineage cut) and
    read by both sides of the self-join.
-2. Self-join on the user with ``i1 < i2`` in the join condition.  Hot
-   users (more than ``block_items`` items) are counted first.  A hot user's
-   items are hashed into ``S = ceil(items / block_items)`` buckets and the
-   join key becomes ``(user, bucket of i1, bucket of i2)``: the user's rows
-   are replicated ``S`` times on each side and each pair meets in exactly
-   one key, so the user's pair work is spread over ``S * S`` join keys
-   (tasks) instead of one.  Other users keep a single key and are not
-   replicated; with no hot user at all the join is a plain one on the user.
+2. Self-join on the user with ``i1 < i2`` in the join condition.  A user with
+   ``n`` items has ``S = ceil(n / block_items)`` buckets; the items are hashed
+   into them and the join key is ``(user, bucket of i1, bucket of i2)``.  The
+   user's rows are replicated ``S`` times on each side and each pair meets in
+   exactly one key, so a hot user's pair work is spread over ``S * S`` keys;
+   an ordinary user has one bucket and is not replicated.
 3. Partial + final aggregation by (i1, i2).
 
 For the similar items of ONE item no pair table is built: the item's
@@ -41,8 +39,6 @@ from tessera.functions.expressions import cosine_score, other_item
 from tessera.session import materialize
 
 DEFAULT_BLOCK_ITEMS = 1024
-# a list of hot users is broadcast only up to this many rows (exact count)
-MAX_BROADCAST_ROWS = 2_000_000
 
 
 def _ratings(ratings: DataFrame, user: str, item: str, rating: str) -> DataFrame:
@@ -66,28 +62,15 @@ def pair_sums(ratings: DataFrame, user: str = "user_id", item: str = "item_id",
     # the stats feed the hot-user count and both join sides: write them once
     # instead of re-running the ratings lineage for every consumer
     ui = materialize(user_item_stats(ratings, user, item, rating), "user-item")
-    hot = (ui.groupBy("u").agg(F.count(F.lit(1)).alias("n_items"))
-           .where(F.col("n_items") > F.lit(block_items))
-           .select("u", F.ceil(F.col("n_items") / F.lit(block_items)).cast("int").alias("S")))
-    hot_users = hot.count()
+    # written as well: AQE splits a hot user's rows only in a join of two plain scans
+    buckets = materialize(
+        ui.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_items)).cast("int").alias("S")), "user-buckets")
     side = ["u", "i", "c", "s1", "s2"]
-    if hot_users == 0:
-        # no user has more than block_items items: a plain self-join on the
-        # user (both sides share one exchange of the stats)
-        left = ui.select(*_renamed(side, "1"))
-        right = ui.select(*_renamed(side, "2"))
-        keys = ["u"]
-    else:
-        # hot users get S buckets; the list has an exact size, so it is
-        # broadcast only below the bound and shuffle-joined beyond it
-        hot = F.broadcast(hot) if hot_users <= MAX_BROADCAST_ROWS else hot
-        ui = (ui.join(hot, "u", "left")
-              .withColumn("S", F.coalesce(F.col("S"), F.lit(1)))
-              .withColumn("b", F.pmod(F.xxhash64("i"), F.col("S")).cast("int")))
-        fan = F.explode(F.sequence(F.lit(0), F.col("S") - 1))
-        left = ui.select(*_renamed(side, "1"), F.col("b").alias("k1"), fan.alias("k2"))
-        right = ui.select(*_renamed(side, "2"), fan.alias("k1"), F.col("b").alias("k2"))
-        keys = ["u", "k1", "k2"]
+    ui = ui.join(buckets, "u").withColumn("b", F.pmod(F.xxhash64("i"), F.col("S")).cast("int"))
+    fan = F.explode(F.sequence(F.lit(0), F.col("S") - 1))
+    left = ui.select(*_renamed(side, "1"), F.col("b").alias("k1"), fan.alias("k2"))
+    right = ui.select(*_renamed(side, "2"), fan.alias("k1"), F.col("b").alias("k2"))
+    keys = ["u", "k1", "k2"]
     joined = left.join(right, keys).where(F.col("i1") < F.col("i2"))
     return joined.groupBy("i1", "i2").agg(
         F.sum(F.col("s2_1") * F.col("c2")).alias("xx"),
@@ -128,6 +111,8 @@ def similar_items(ratings: DataFrame, item_id, user: str = "user_id",
               .groupBy("u").agg(F.count(F.lit(1)).alias("ct"),
                                 F.sum("r").alias("s1t"),
                                 F.sum(F.col("r") * F.col("r")).alias("s2t")))
+    # written, so that the join has a plain scan on this side and AQE can split a hot user
+    raters = materialize(raters, "raters")
     others = r.where(F.col("i") != t).join(raters, "u")
     sums = others.groupBy("i").agg(
         F.sum(F.col("s2t")).alias("a"),                       # sum r_t^2 over combos

@@ -10,8 +10,9 @@ Role mapping of the original jobs onto the tables:
 * book text             -> documents.text (whole documents)
 * ratings               -> (orders.o_custkey, lineitem.l_suppkey, lineitem.l_quantity)
 * rated item title      -> supplier.s_name
-* graph                 -> parts bought together in one order in large quantity
-                           (lineitem rows with l_quantity >= 41, group = order)
+* graph                 -> parts bought together in one order (group = order)
+* directed graph        -> lineitem's edges l_partkey -> l_suppkey as numbers of
+                           one node set, repeated edges and self-loops kept
 * regression            -> l_extendedprice ~ l_quantity, keyed 70/30 split
                            on l_orderkey (every row is used, 70% train, 30% test)
 
@@ -23,7 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.operators import aggregates as agg
@@ -33,12 +34,11 @@ from tessera.operators import relational as rel
 from tessera.operators import similarity as sim
 from tessera.operators import text
 from tessera.functions.expressions import tenths_celsius_to_fahrenheit_f32
-from tessera.sources.tables import Tables, widen
+from tessera.sources.tables import Tables
 
 # Query parameters (fixed values of the catalogue).
 TOP_ITEMS = 100
 TOP_WORDS = 100
-GRAPH_MIN_QUANTITY = 41
 GRAPH_ROOT = 1
 BFS_START = 1
 BFS_TARGET = 3
@@ -69,9 +69,12 @@ def ratings(t: Tables) -> DataFrame:
 
 
 def co_purchase_graph(t: Tables) -> gr.CoMemberGraph:
-    rows = (t.lineitem.where(F.col("l_quantity") >= GRAPH_MIN_QUANTITY)
-            .select(F.col("l_orderkey").alias("group"), F.col("l_partkey").alias("member")))
-    return gr.CoMemberGraph(rows)
+    return gr.CoMemberGraph(t.lineitem.select(F.col("l_orderkey").alias("group"),
+                                              F.col("l_partkey").alias("member")))
+
+
+def part_supplier_edges(t: Tables) -> gr.EdgeGraph:
+    return gr.EdgeGraph(t.lineitem, "l_partkey", "l_suppkey")
 
 
 def part_names(t: Tables) -> DataFrame:
@@ -102,7 +105,8 @@ def q_item_popularity(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_item_popularity_named(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
-    return agg.popularity_named(t.lineitem, "l_partkey", t.part, "p_partkey", "p_name")
+    return agg.popularity_named(t.lineitem, "l_partkey", t.part, "p_partkey", "p_name") \
+        .orderBy(F.desc("n"), "l_partkey")
 
 
 def q_int_mean_by_key(spark: SparkSession, sf: str) -> DataFrame:
@@ -120,7 +124,7 @@ def q_min_reading_by_key(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
     views = t.events.where(F.col("event_type") == "view")
     return agg.min_by_key(views, "user_id", tenths_celsius_to_fahrenheit_f32("value"), "m") \
-        .orderBy("user_id")
+        .orderBy("m", "user_id")
 
 
 def q_reading_filter_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -130,12 +134,12 @@ def q_reading_filter_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_word_count(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
-    return text.word_count(widen(t.documents.select("text")), "text")
+    return text.word_count(t.documents.select("text"), "text")
 
 
 def q_word_count_top(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
-    return text.top_words(widen(t.documents.select("text")), TOP_WORDS, "text")
+    return text.top_words(t.documents.select("text"), TOP_WORDS, "text")
 
 
 def q_most_connected(spark: SparkSession, sf: str) -> DataFrame:
@@ -171,6 +175,76 @@ def q_bfs_hits(spark: SparkSession, sf: str) -> DataFrame:
     return gr.bfs_hits(co_purchase_graph(t), BFS_START, BFS_TARGET)
 
 
+def q_hop_distance_all(spark: SparkSession, sf: str) -> DataFrame:
+    t = Tables(spark, sf)
+    return gr.hop_distance_all(co_purchase_graph(t), GRAPH_ROOT, part_names(t))
+
+
+def q_named_vertices(spark: SparkSession, sf: str) -> DataFrame:
+    """The directed graph's nodes named by supplier; parts beyond get the default."""
+    t = Tables(spark, sf)
+    names = t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
+    return gr.named_vertices(part_supplier_edges(t), names)
+
+
+def q_edge_connections(spark: SparkSession, sf: str) -> DataFrame:
+    return part_supplier_edges(Tables(spark, sf)).out_degree()
+
+
+def q_edge_degrees(spark: SparkSession, sf: str) -> DataFrame:
+    return part_supplier_edges(Tables(spark, sf)).degree()
+
+
+def q_edge_most_connected(spark: SparkSession, sf: str) -> DataFrame:
+    t = Tables(spark, sf)
+    return gr.most_connected(part_supplier_edges(t), part_names(t), "p_name")
+
+
+def q_edge_hop_distance(spark: SparkSession, sf: str) -> DataFrame:
+    return gr.hop_distance(part_supplier_edges(Tables(spark, sf)), GRAPH_ROOT)
+
+
+def q_edge_distance_to(spark: SparkSession, sf: str) -> DataFrame:
+    return gr.distance_to(part_supplier_edges(Tables(spark, sf)), GRAPH_ROOT, BFS_TARGET)
+
+
+def q_edge_bfs_hits(spark: SparkSession, sf: str) -> DataFrame:
+    return gr.bfs_hits(part_supplier_edges(Tables(spark, sf)), BFS_START, BFS_TARGET)
+
+
+def q_popularity_strict(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts per part with its title; a part without one fails the job."""
+    t = Tables(spark, sf)
+    return agg.require_titles(agg.popularity_named(t.lineitem, "l_partkey", t.part, "p_partkey", "p_name"), "p_name")
+
+
+def q_similar_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """The co-rated pairs above the strength and score bounds."""
+    return sim.item_similarity(ratings(Tables(spark, sf))).where(
+        (F.col("score") > SIMILAR_MIN_SCORE) & (F.col("n") > SIMILAR_MIN_STRENGTH))
+
+
+def q_guarded_cosine_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs by whether their guarded score is zero; ratings are the line's tax
+    in per cent, which can be zero."""
+    t = Tables(spark, sf)
+    li = t.lineitem.select("l_orderkey", "l_suppkey", (F.col("l_tax") * 100).cast("int").alias("rating"))
+    r = li.join(t.orders, li["l_orderkey"] == F.col("o_orderkey")).select(
+        F.col("o_custkey").alias("user_id"), F.col("l_suppkey").alias("item_id"), "rating")
+    return (sim.item_similarity(r, zero_denominator=0.0).groupBy((F.col("score") == 0).alias("zero"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def q_als_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """What is certain about a user's recommendations, whatever the factors."""
+    recs = q_als_recommend(spark, sf)
+    worse = F.lead("rating").over(Window.partitionBy("user").orderBy("rank")) > F.col("rating")
+    return recs.withColumn("bad", worse).groupBy("user").agg(
+        F.count(F.lit(1)).alias("n_items"), F.countDistinct("item").alias("n_distinct"),
+        F.max("rank").cast("bigint").alias("last_rank"), F.count("s_name").alias("n_named"),
+        F.count_if("bad").alias("n_out_of_order"))
+
+
 def q_item_similarity(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
     return sim.item_similarity(ratings(t))
@@ -223,12 +297,7 @@ def q_regression_rmse(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_als_recommend(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
-    # the ids come from two key columns: their range is checked on those
-    # columns (one-column scans) instead of over the joined ratings
-    bounds = [t.orders.agg(F.min("o_custkey"), F.max("o_custkey")).collect()[0],
-              t.lineitem.agg(F.min("l_suppkey"), F.max("l_suppkey")).collect()[0]]
-    dense = any(b[0] is not None and (b[0] < 0 or b[1] > ml.INT_MAX) for b in bounds)
-    model = ml.fit_als(ratings(t), "user_id", "item_id", "rating", dense_ids=dense)
+    model = ml.fit_als(ratings(t), "user_id", "item_id", "rating")
     # the user's key, read from orders with the filter pushed into the scan
     users = t.orders.where(F.col("o_custkey") == ALS_USER) \
         .select(F.col("o_custkey").alias("user")).distinct()
@@ -266,22 +335,39 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "linear_regression": q_linear_regression,
     "regression_rmse": q_regression_rmse,
     "als_recommend": q_als_recommend,
+    "als_facts": q_als_facts,
+    "hop_distance_all": q_hop_distance_all,
+    "named_vertices": q_named_vertices,
+    "edge_connections": q_edge_connections,
+    "edge_degrees": q_edge_degrees,
+    "edge_most_connected": q_edge_most_connected,
+    "edge_hop_distance": q_edge_hop_distance,
+    "edge_distance_to": q_edge_distance_to,
+    "edge_bfs_hits": q_edge_bfs_hits,
+    "popularity_strict": q_popularity_strict,
+    "similar_pairs": q_similar_pairs,
+    "guarded_cosine_counts": q_guarded_cosine_counts,
 }
 
 
 # ---------------------------------------------------------------- oracle SQL
 
-_EDGES = f"""
-e AS (SELECT l_orderkey AS o, l_partkey AS p FROM lineitem WHERE l_quantity >= {GRAPH_MIN_QUANTITY}),
+_EDGES = """
+e AS (SELECT l_orderkey AS o, l_partkey AS p FROM lineitem),
 edges AS (SELECT a.p AS src, b.p AS dst FROM e a JOIN e b ON a.o = b.o AND a.p <> b.p)"""
 
+_DIRECTED = """
+edges AS (SELECT l_partkey AS src, l_suppkey AS dst FROM lineitem)"""
+
+# a keyed recursion: each node is reached once, the loop ends when no new node is
 _DIST = f"""
-r(id, dist) AS (
+d AS (SELECT DISTINCT src, dst FROM edges),
+r(id, dist) USING KEY (id) AS (
   SELECT CAST({GRAPH_ROOT} AS BIGINT), 0
   UNION
-  SELECT d.dst, r.dist + 1 FROM r JOIN (SELECT DISTINCT src, dst FROM edges) d ON r.id = d.src
-  WHERE r.dist < 10),
-dist AS (SELECT id, CAST(min(dist) AS INTEGER) AS dist FROM r GROUP BY id)"""
+  SELECT d.dst, min(r.dist) + 1 FROM r JOIN d ON r.id = d.src
+  WHERE NOT EXISTS (SELECT 1 FROM recurring.r AS old WHERE old.id = d.dst) GROUP BY d.dst),
+dist AS (SELECT id, CAST(dist AS INTEGER) AS dist FROM r)"""
 
 _BFS_DIST = _DIST.replace(f"CAST({GRAPH_ROOT} AS BIGINT)", f"CAST({BFS_START} AS BIGINT)")
 
@@ -361,6 +447,48 @@ ORACLE_SQL: dict[str, str] = {
         "FROM dist t JOIN edges ON edges.dst = t.id "
         "JOIN dist f ON f.id = edges.src AND f.dist = t.dist - 1 "
         f"WHERE t.id = {BFS_TARGET} GROUP BY t.dist",
+    "edge_bfs_hits":
+        f"WITH RECURSIVE {_DIRECTED},{_BFS_DIST}\n"
+        "SELECT CAST(t.dist AS INTEGER) AS level, CAST(count(*) AS BIGINT) AS hits "
+        "FROM dist t JOIN edges ON edges.dst = t.id "
+        "JOIN dist f ON f.id = edges.src AND f.dist = t.dist - 1 "
+        f"WHERE t.id = {BFS_TARGET} GROUP BY t.dist",
+    "hop_distance_all":
+        f"WITH RECURSIVE {_EDGES},{_DIST}\n"
+        "SELECT p_partkey AS id, coalesce(CAST(dist AS DOUBLE), CAST('Infinity' AS DOUBLE)) AS dist "
+        "FROM part LEFT JOIN dist ON dist.id = p_partkey",
+    "named_vertices":
+        f"WITH {_DIRECTED}\nSELECT n.id, coalesce(s_name, '{gr.DEFAULT_VERTEX_NAME}') AS name FROM "
+        "(SELECT src AS id FROM edges UNION SELECT dst FROM edges) n LEFT JOIN supplier ON s_suppkey = n.id",
+    "edge_connections":
+        f"WITH {_DIRECTED}\nSELECT src AS id, count(*) AS n FROM edges GROUP BY 1",
+    "edge_degrees":
+        f"WITH {_DIRECTED}\nSELECT id, count(*) AS deg FROM "
+        "(SELECT src AS id FROM edges UNION ALL SELECT dst AS id FROM edges) GROUP BY 1",
+    "edge_most_connected":
+        f"WITH {_DIRECTED},\n"
+        "best AS (SELECT src AS id, count(*) AS n FROM edges GROUP BY 1 ORDER BY n DESC, id DESC LIMIT 1)\n"
+        "SELECT best.id, best.n, p_name FROM best LEFT JOIN part ON p_partkey = best.id",
+    "edge_hop_distance":
+        f"WITH RECURSIVE {_DIRECTED},{_DIST}\nSELECT id, dist FROM dist",
+    "edge_distance_to":
+        f"WITH RECURSIVE {_DIRECTED},{_DIST}\nSELECT id, dist FROM dist WHERE id = {BFS_TARGET}",
+    "popularity_strict":
+        "SELECT p_name, l_partkey, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2",
+    "similar_pairs":
+        f"WITH {_RATINGS}\n"
+        "SELECT i1, i2, xy / (sqrt(xx) * sqrt(yy)) AS score, n FROM pairs "
+        f"WHERE xy / (sqrt(xx) * sqrt(yy)) > {SIMILAR_MIN_SCORE} AND n > {SIMILAR_MIN_STRENGTH}",
+    "guarded_cosine_counts":
+        "WITH rt AS (SELECT o_custkey AS u, l_suppkey AS i, CAST(trunc(l_tax * 100) AS INTEGER) AS r "
+        "FROM lineitem JOIN orders ON l_orderkey = o_orderkey),\n"
+        "p AS (SELECT sum(a.r * b.r) AS xy FROM rt a JOIN rt b ON a.u = b.u AND a.i < b.i GROUP BY a.i, b.i)\n"
+        "SELECT xy = 0 AS zero, count(*) AS n FROM p GROUP BY 1",
+    "als_facts":
+        f"SELECT CAST({ALS_USER} AS BIGINT) AS \"user\", n AS n_items, n AS n_distinct, n AS last_rank, n AS n_named, "
+        f"CAST(0 AS BIGINT) AS n_out_of_order FROM (SELECT least({ml.ALS_TOP}, count(DISTINCT l_suppkey)) AS n "
+        f"FROM lineitem JOIN orders ON l_orderkey = o_orderkey) WHERE EXISTS "
+        f"(SELECT 1 FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_custkey = {ALS_USER})",
     "item_similarity":
         f"WITH {_RATINGS}\n"
         "SELECT i1, i2, xy / (sqrt(xx) * sqrt(yy)) AS score, n FROM pairs",

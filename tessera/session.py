@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import os
 import tempfile
 import uuid
@@ -24,7 +25,7 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str = "local[*]", shuffle_partitions: int | None = None,
                   app_name: str = "tessera", extra: dict | None = None) -> SparkSession:
     """Session for tests, the bench and local runs.
 
@@ -33,7 +34,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     """
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -66,7 +68,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
-_SCOPES: list[list[str]] = []
+# the open scopes of this thread (or task): another thread's scope never sees them
+_SCOPES: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("scopes", default=())
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -74,8 +77,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     (recorded in the innermost open ``scratch_scope``)."""
     root = checkpoint_root(spark).rstrip("/")
     path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
-    if _SCOPES:
-        _SCOPES[-1].append(path)
+    if scopes := _SCOPES.get():
+        scopes[-1].append(path)
     return path
 
 
@@ -93,11 +96,11 @@ def scratch_scope(spark: SparkSession):
     through the Hadoop FileSystem of each path (works for any shared store).
     """
     created: list[str] = []
-    _SCOPES.append(created)
+    token = _SCOPES.set((*_SCOPES.get(), created))
     try:
         yield created
     finally:
-        _SCOPES.remove(created)
+        _SCOPES.reset(token)
         jvm = spark.sparkContext._jvm
         conf = spark.sparkContext._jsc.hadoopConfiguration()
         for p in created:

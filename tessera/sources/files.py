@@ -49,8 +49,9 @@ def _delimited(spark: SparkSession, path, sep: str, fields: list[tuple[str, str]
 def _field_cast(fields, idx: int, dtype: str, mode: str):
     """Field ``idx`` (0-based) of a split line, cast strictly (FAILFAST) or
     to null when it does not parse (PERMISSIVE)."""
-    c = F.element_at(fields, idx + 1)
-    return c.cast(dtype) if mode == FAILFAST else c.try_cast(dtype)
+    if mode == FAILFAST:
+        return F.element_at(fields, idx + 1).cast(dtype)
+    return F.try_element_at(fields, F.lit(idx + 1)).try_cast(dtype)
 
 
 # ---------------------------------------------------------------- ratings
@@ -68,13 +69,12 @@ def read_ratings_whitespace(spark: SparkSession, path, rating_type: str = "doubl
                             mode: str = FAILFAST) -> DataFrame:
     """A2: the same file split on any run of whitespace."""
     f = trimmed_split(F.col("value"))
-    df = spark.read.text(path).where(F.length(F.trim(F.col("value"))) > 0)
+    df = spark.read.text(path).where(F.col("value").rlike(r"\S"))
     return df.select(
         _field_cast(f, 0, "int", mode).alias("user_id"),
         _field_cast(f, 1, "int", mode).alias("item_id"),
         _field_cast(f, 2, rating_type, mode).alias("rating"),
-    ).where(F.col("user_id").isNotNull() & F.col("item_id").isNotNull()
-            & F.col("rating").isNotNull())
+    )
 
 
 def read_ratings_dcolon(spark: SparkSession, path, mode: str = FAILFAST) -> DataFrame:
@@ -92,8 +92,8 @@ def read_item_titles(spark: SparkSession, path, sep: str = "|",
     Lines are decoded with ``encoding`` (UTF-8 replaces undecodable bytes
     with U+FFFD, as the original loader does; ``ISO-8859-1`` keeps the true
     characters).  Blank lines are skipped, a line without a title field is
-    dropped, and when an id repeats the line that comes last in the file
-    wins (``max_by`` over the position in the scan).
+    dropped, and when an id repeats the line that comes last wins: in the file
+    whose path sorts last, at the latest place in it.
     """
     raw = (spark.read
            .option("sep", "\u0001")      # never present: one column per line
@@ -107,7 +107,9 @@ def read_item_titles(spark: SparkSession, path, sep: str = "|",
     fields = F.split(stripped, re.escape(sep), 3)
     # only lines with a title field are parsed further (as in the original)
     parsed = (raw
-              .select(fields.alias("_f"), F.monotonically_increasing_id().alias("_pos"))
+              .select(fields.alias("_f"), F.struct(
+                  F.col("_metadata.file_path"), F.col("_metadata.file_block_start"),
+                  F.monotonically_increasing_id().alias("at")).alias("_pos"))
               .where(F.size("_f") > 1)
               .select(F.element_at("_f", 1).cast("int").alias("item_id"),
                       F.element_at("_f", 2).alias("title"), "_pos"))
@@ -165,7 +167,7 @@ def read_adjacency(spark: SparkSession, path) -> DataFrame:
     """
     f = trimmed_split(F.col("value"))
     lines = (spark.read.text(path)
-             .where(F.length(F.trim(F.col("value"))) > 0)
+             .where(F.col("value").rlike(r"\S"))
              .select(f.alias("f")))
     return lines.select(
         F.element_at("f", 1).cast("bigint").alias("src"),
@@ -178,7 +180,7 @@ def read_adjacency_nodes(spark: SparkSession, path) -> DataFrame:
     (``connections`` per line; zero for a line with only the node)."""
     f = trimmed_split(F.col("value"))
     return (spark.read.text(path)
-            .where(F.length(F.trim(F.col("value"))) > 0)
+            .where(F.col("value").rlike(r"\S"))
             .select(F.element_at(f, 1).cast("bigint").alias("id"),
                     (F.size(f) - 1).alias("connections")))
 

@@ -9,8 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.session import default_parallelism
-
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -45,18 +43,3 @@ class Tables:
         for n in names:
             read_table(self.spark, self.sf_dir, n).createOrReplaceTempView(n)
 
-
-def widen(df: DataFrame) -> DataFrame:
-    """Spread a narrow scan before heavy per-row work.
-
-    A Parquet file is split only at row-group boundaries, so a table stored
-    as a few large row groups scans in a few tasks however many cores the
-    cluster has.  When the scan has fewer partitions than the session's
-    default parallelism its rows are dealt round-robin over that many
-    partitions; a wide scan (the normal case for large tables: thousands of
-    splits) is returned unchanged, so no shuffle is added at scale.
-    """
-    want = default_parallelism(df.sparkSession)
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df

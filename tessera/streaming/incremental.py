@@ -7,8 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tessera.session import scratch_path
-
 
 def stream_table(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None
                  ) -> DataFrame:
@@ -21,24 +19,15 @@ def stream_table(spark: SparkSession, path: str, schema, max_files_per_trigger:
 
 
 def run_incremental(source: DataFrame, build: Callable[[DataFrame], DataFrame],
-                    sink: Callable[[DataFrame, int], None] | None = None,
-                    query_name: str | None = None, output_mode: str = "complete",
-                    checkpoint: str | None = None) -> StreamingQuery:
+                    sink: Callable[[DataFrame, int], None], checkpoint: str,
+                    output_mode: str = "complete") -> StreamingQuery:
     """Start ``build(source)`` as a streaming query.
 
     ``build`` is any keyed aggregate of this package (e.g.
     ``lambda df: count_by_key(df, 'k')``).  Results go to ``sink(batch_df,
-    batch_id)`` via ``foreachBatch`` (idempotent writers recommended), or to
-    an in-memory table ``query_name`` when no sink is given.  The
-    checkpoint lives below the session's shared checkpoint folder, so a
-    restarted query resumes where it stopped.
+    batch_id)`` via ``foreachBatch`` (idempotent writers recommended).
+    ``checkpoint`` is a folder on the cluster's shared store: a query started
+    again with it resumes where it stopped.
     """
-    spark = source.sparkSession
-    out = build(source)
-    writer = out.writeStream.outputMode(output_mode).option(
-        "checkpointLocation", checkpoint or scratch_path(spark, "stream"))
-    if sink is not None:
-        writer = writer.foreachBatch(sink)
-    else:
-        writer = writer.format("memory").queryName(query_name or "tessera_stream")
-    return writer.start()
+    return (build(source).writeStream.outputMode(output_mode)
+            .option("checkpointLocation", checkpoint).foreachBatch(sink).start())

@@ -4,11 +4,11 @@ driver repeats this at sf0.01)."""
 import pytest
 
 import __spark_entry__ as entry
+from tessera.plans import catalogue
 from tests.conftest import SF_SMALL
 from tests.oracle import compare, duck
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES, SQL = catalogue.QUERIES, catalogue.ORACLE_SQL
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +16,10 @@ def con():
     return duck(SF_SMALL)
 
 
+def test_the_entry_module_lists_the_catalogue():
+    assert QUERIES.items() <= entry.queries().items() and SQL.items() <= entry.oracle_sql().items()
+
+
 def test_every_query_but_als_has_an_oracle():
     assert set(SQL) == set(QUERIES) - {"als_recommend"}
 

@@ -1,11 +1,11 @@
-"""Session helpers: checkpoint folder rules, lineage cuts, narrow-scan spreading, bounded lookups."""
+"""Session helpers: checkpoint folder rules, lineage cuts, scopes, bounded lookups."""
 
 import pytest
 from pyspark.sql import functions as F
 
 from tessera import session as sess
 from tessera.operators import aggregates as agg
-from tessera.sources.tables import Tables, widen
+from tessera.sources.tables import Tables
 from tests.conftest import SF_SMALL
 
 
@@ -54,15 +54,6 @@ def test_materialize_cuts_lineage(spark):
     assert files and all(root in f for f in files)
 
 
-def test_widen_only_spreads_narrow_scans(spark):
-    docs = Tables(spark, SF_SMALL).documents.select("text")
-    want = sess.default_parallelism(spark)
-    narrow = docs.coalesce(1)
-    assert widen(narrow).rdd.getNumPartitions() == want
-    wide = spark.range(0, 100, numPartitions=want + 3)
-    assert widen(wide) is wide
-
-
 def test_lookup_checks_its_bound(spark):
     dim = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k long, name string")
     small = spark.createDataFrame([(2, 10.0), (9, 1.0)], "k long, v double")
