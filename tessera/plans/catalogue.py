@@ -34,6 +34,7 @@ from tessera.operators import relational as rel
 from tessera.operators import similarity as sim
 from tessera.operators import text
 from tessera.functions.expressions import tenths_celsius_to_fahrenheit_f32
+from tessera.sources import files
 from tessera.sources.tables import Tables
 
 # Query parameters (fixed values of the catalogue).
@@ -308,6 +309,71 @@ def q_als_recommend(spark: SparkSession, sf: str) -> DataFrame:
         "user", "rank", "item", "rating", "s_name")
 
 
+# ---------------------------------------------------------------- text formats, lines made from table columns
+
+def _cells(df: DataFrame, sep: str, *cols) -> DataFrame:
+    cells = [F.col(c) if isinstance(c, str) else c for c in cols]
+    return df.select(F.concat_ws(sep, *[c.cast("string") for c in cells]).alias("value"))
+
+
+def _ratings_lines(t: Tables, sep: str) -> DataFrame:
+    return _cells(t.lineitem, sep, "l_orderkey", "l_partkey", F.col("l_quantity").cast("int"), "l_suppkey")
+
+
+def q_parse_ratings_tsv(spark: SparkSession, sf: str) -> DataFrame:
+    return files.read_ratings_tsv(spark, _ratings_lines(Tables(spark, sf), "\t"))
+
+
+def q_parse_ratings_whitespace(spark: SparkSession, sf: str) -> DataFrame:
+    return files.read_ratings_whitespace(spark, _ratings_lines(Tables(spark, sf), " \t "))
+
+
+def q_parse_ratings_dcolon(spark: SparkSession, sf: str) -> DataFrame:
+    return files.read_ratings_dcolon(spark, _ratings_lines(Tables(spark, sf), "::"))
+
+
+def q_parse_titles(spark: SparkSession, sf: str) -> DataFrame:
+    return files.read_item_titles(spark, _cells(Tables(spark, sf).part, "|", "p_partkey", "p_name", "p_size"))
+
+
+def q_parse_people(spark: SparkSession, sf: str) -> DataFrame:
+    return files.read_people(spark, _cells(Tables(spark, sf).customer, ",", "c_custkey", "c_name", "c_nationkey",
+                                           F.col("c_acctbal").cast("int")))
+
+
+def q_parse_customer_orders(spark: SparkSession, sf: str) -> DataFrame:
+    return files.read_customer_orders(spark, _cells(Tables(spark, sf).orders, ",", "o_custkey", "o_orderkey",
+                                                    F.col("o_totalprice").cast("decimal(18,2)")))
+
+
+def q_parse_weather(spark: SparkSession, sf: str) -> DataFrame:
+    return files.read_weather(spark, _cells(Tables(spark, sf).events, ",", "user_id", F.lit("18000101"),
+                                            "event_type", F.col("value").cast("int"), F.lit("extra")))
+
+
+def q_parse_label_features(spark: SparkSession, sf: str) -> DataFrame:
+    return files.read_label_features(spark, _cells(Tables(spark, sf).lineitem, ",",
+                                                   F.col("l_quantity").cast("int"), "l_partkey"))
+
+
+def _adjacency_lines(t: Tables) -> DataFrame:
+    return _cells(t.lineitem, " ", "l_partkey", "l_suppkey", "l_linenumber", F.lit(" "))
+
+
+def q_parse_adjacency(spark: SparkSession, sf: str) -> DataFrame:
+    return files.read_adjacency(spark, _adjacency_lines(Tables(spark, sf)))
+
+
+def q_parse_adjacency_nodes(spark: SparkSession, sf: str) -> DataFrame:
+    return files.read_adjacency_nodes(spark, _adjacency_lines(Tables(spark, sf)))
+
+
+def q_parse_names(spark: SparkSession, sf: str) -> DataFrame:
+    lines = Tables(spark, sf).supplier.select(
+        F.concat(F.col("s_suppkey"), F.lit(' "'), F.col("s_name"), F.lit('/ALIAS"')).alias("value"))
+    return files.read_names(spark, lines, max_id=80)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rating_histogram": q_rating_histogram,
     "item_popularity": q_item_popularity,
@@ -347,6 +413,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "popularity_strict": q_popularity_strict,
     "similar_pairs": q_similar_pairs,
     "guarded_cosine_counts": q_guarded_cosine_counts,
+    "parse_ratings_tsv": q_parse_ratings_tsv,
+    "parse_ratings_whitespace": q_parse_ratings_whitespace,
+    "parse_ratings_dcolon": q_parse_ratings_dcolon,
+    "parse_titles": q_parse_titles,
+    "parse_people": q_parse_people,
+    "parse_customer_orders": q_parse_customer_orders,
+    "parse_weather": q_parse_weather,
+    "parse_label_features": q_parse_label_features,
+    "parse_adjacency": q_parse_adjacency,
+    "parse_adjacency_nodes": q_parse_adjacency_nodes,
+    "parse_names": q_parse_names,
 }
 
 
@@ -489,6 +566,35 @@ ORACLE_SQL: dict[str, str] = {
         f"CAST(0 AS BIGINT) AS n_out_of_order FROM (SELECT least({ml.ALS_TOP}, count(DISTINCT l_suppkey)) AS n "
         f"FROM lineitem JOIN orders ON l_orderkey = o_orderkey) WHERE EXISTS "
         f"(SELECT 1 FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_custkey = {ALS_USER})",
+    "parse_ratings_tsv":
+        "SELECT CAST(l_orderkey AS INTEGER) AS user_id, CAST(l_partkey AS INTEGER) AS item_id, "
+        "CAST(trunc(l_quantity) AS INTEGER) AS rating, l_suppkey AS ts FROM lineitem",
+    "parse_ratings_whitespace":
+        "SELECT CAST(l_orderkey AS INTEGER) AS user_id, CAST(l_partkey AS INTEGER) AS item_id, "
+        "trunc(l_quantity) AS rating FROM lineitem",
+    "parse_ratings_dcolon":
+        "SELECT CAST(l_orderkey AS INTEGER) AS user_id, CAST(l_partkey AS INTEGER) AS item_id, "
+        "trunc(l_quantity) AS rating, l_suppkey AS ts FROM lineitem",
+    "parse_titles":
+        "SELECT CAST(p_partkey AS INTEGER) AS item_id, p_name AS title FROM part",
+    "parse_people":
+        "SELECT CAST(c_custkey AS INTEGER) AS id, c_name AS name, CAST(c_nationkey AS INTEGER) AS age, "
+        "CAST(trunc(c_acctbal) AS INTEGER) AS num_friends FROM customer",
+    "parse_customer_orders":
+        "SELECT CAST(o_custkey AS VARCHAR) AS customer_id, CAST(o_orderkey AS VARCHAR) AS item_id, "
+        "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS amount FROM orders",
+    "parse_weather":
+        "SELECT CAST(user_id AS VARCHAR) AS station, '18000101' AS date, event_type AS entry_type, "
+        "CAST(trunc(value) AS FLOAT) AS value FROM events",
+    "parse_label_features":
+        "SELECT trunc(l_quantity) AS label, CAST(l_partkey AS DOUBLE) AS x FROM lineitem",
+    "parse_adjacency":
+        "SELECT l_partkey AS src, l_suppkey AS dst FROM lineitem UNION ALL "
+        "SELECT l_partkey, CAST(l_linenumber AS BIGINT) FROM lineitem",
+    "parse_adjacency_nodes":
+        "SELECT l_partkey AS id, 2 AS connections FROM lineitem",
+    "parse_names":
+        "SELECT s_suppkey AS id, s_name AS name FROM supplier WHERE s_suppkey < 80",
     "item_similarity":
         f"WITH {_RATINGS}\n"
         "SELECT i1, i2, xy / (sqrt(xx) * sqrt(yy)) AS score, n FROM pairs",

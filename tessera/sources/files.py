@@ -7,7 +7,8 @@ position from split lines, as the original parsers do (extra fields are
 ignored, nothing is quoted).  ``mode='FAILFAST'`` (the default) raises on a
 malformed number or a missing field as the original jobs do;
 ``mode='PERMISSIVE'`` turns such fields into nulls.  Any Hadoop URI works as a path
-(local, HDFS, object stores).
+(local, HDFS, object stores), and a DataFrame with a string column ``value``
+(one row per line) can stand in its place.
 """
 
 from __future__ import annotations
@@ -25,6 +26,11 @@ PERMISSIVE = "PERMISSIVE"
 _RATING_TYPES = {"int", "double", "float", "string"}
 
 
+def _text(spark: SparkSession, path) -> DataFrame:
+    """The lines of a path, or a DataFrame of lines as it is."""
+    return path.select("value") if isinstance(path, DataFrame) else spark.read.text(path)
+
+
 def _delimited(spark: SparkSession, path, sep: str, fields: list[tuple[str, str]],
                mode: str) -> DataFrame:
     """Lines split on ``sep`` with the fields taken by position, as the
@@ -41,7 +47,7 @@ def _delimited(spark: SparkSession, path, sep: str, fields: list[tuple[str, str]
             c = F.try_element_at(parts, F.lit(idx + 1))
             c = c if dtype == "string" else c.try_cast(dtype)
         cols.append(c.alias(name))
-    return (spark.read.text(path)
+    return (_text(spark, path)
             .where(F.length(F.col("value")) > 0)
             .select(*cols))
 
@@ -69,7 +75,7 @@ def read_ratings_whitespace(spark: SparkSession, path, rating_type: str = "doubl
                             mode: str = FAILFAST) -> DataFrame:
     """A2: the same file split on any run of whitespace."""
     f = trimmed_split(F.col("value"))
-    df = spark.read.text(path).where(F.col("value").rlike(r"\S"))
+    df = _text(spark, path).where(F.col("value").rlike(r"\S"))
     return df.select(
         _field_cast(f, 0, "int", mode).alias("user_id"),
         _field_cast(f, 1, "int", mode).alias("item_id"),
@@ -95,21 +101,25 @@ def read_item_titles(spark: SparkSession, path, sep: str = "|",
     dropped, and when an id repeats the line that comes last wins: in the file
     whose path sorts last, at the latest place in it.
     """
-    raw = (spark.read
-           .option("sep", "\u0001")      # never present: one column per line
-           .option("quote", "")
-           .option("header", "false")
-           .option("encoding", encoding)
-           .schema("line string")
-           .csv(path))
+    at = F.monotonically_increasing_id().alias("at")
+    if isinstance(path, DataFrame):
+        raw = path.select(F.col("value").alias("line"), F.struct(at).alias("_pos")).where(F.length("line") > 0)
+    else:
+        raw = (spark.read
+               .option("sep", "\u0001")      # never present: one column per line
+               .option("quote", "")
+               .option("header", "false")
+               .option("encoding", encoding)
+               .schema("line string")
+               .csv(path)
+               .select("line", F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"),
+                                        at).alias("_pos")))
     # the JVM split drops trailing empty fields: "3|" has one field, not two
     stripped = F.regexp_replace(F.col("line"), f"(?:{re.escape(sep)})+$", "")
     fields = F.split(stripped, re.escape(sep), 3)
     # only lines with a title field are parsed further (as in the original)
     parsed = (raw
-              .select(fields.alias("_f"), F.struct(
-                  F.col("_metadata.file_path"), F.col("_metadata.file_block_start"),
-                  F.monotonically_increasing_id().alias("at")).alias("_pos"))
+              .select(fields.alias("_f"), "_pos")
               .where(F.size("_f") > 1)
               .select(F.element_at("_f", 1).cast("int").alias("item_id"),
                       F.element_at("_f", 2).alias("title"), "_pos"))
@@ -150,7 +160,7 @@ def read_lines(spark: SparkSession, path, repair_utf8: bool = False) -> DataFram
     The text source passes bytes through undecoded; ``repair_utf8`` replaces
     invalid UTF-8 sequences with U+FFFD (A6 for plain text files).
     """
-    df = spark.read.text(path)
+    df = _text(spark, path)
     if repair_utf8:
         df = df.select(F.make_valid_utf8("value").alias("value"))
     return df
@@ -166,7 +176,7 @@ def read_adjacency(spark: SparkSession, path) -> DataFrame:
     are skipped.
     """
     f = trimmed_split(F.col("value"))
-    lines = (spark.read.text(path)
+    lines = (_text(spark, path)
              .where(F.col("value").rlike(r"\S"))
              .select(f.alias("f")))
     return lines.select(
@@ -179,7 +189,7 @@ def read_adjacency_nodes(spark: SparkSession, path) -> DataFrame:
     """First field of every adjacency line with its neighbour count
     (``connections`` per line; zero for a line with only the node)."""
     f = trimmed_split(F.col("value"))
-    return (spark.read.text(path)
+    return (_text(spark, path)
             .where(F.col("value").rlike(r"\S"))
             .select(F.element_at(f, 1).cast("bigint").alias("id"),
                     (F.size(f) - 1).alias("connections")))
@@ -202,7 +212,7 @@ def read_names(spark: SparkSession, path, cut_alias: bool = True,
     name = F.element_at(parts, 2)
     if cut_alias:
         name = F.substring_index(name, "/", 1)
-    df = (spark.read.text(path)
+    df = (_text(spark, path)
           .where(ok)
           .select(jvm_trim(F.element_at(parts, 1)).cast("bigint").alias("id"),
                   name.alias("name")))

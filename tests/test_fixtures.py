@@ -277,3 +277,19 @@ def test_positional_fields_ignore_extras(spark, write_text):
         files.read_people(spark, short).collect()
     assert [tuple(r) for r in files.read_people(spark, short, mode=files.PERMISSIVE).collect()] == \
         [(0, "Will", 33, None)]
+
+
+def test_permissive_whitespace_keeps_short_lines_and_skips_blank_ones(spark, write_text):
+    path = write_text("u.data", "1 2 3.5\n2 20\n\t\t\n\nx y z\n")
+    got = [tuple(r) for r in files.read_ratings_whitespace(spark, path, mode=files.PERMISSIVE).collect()]
+    assert sorted(got, key=str) == sorted([(1, 2, 3.5), (2, 20, None), (None, None, None)], key=str)
+    assert files.read_adjacency_nodes(spark, write_text("g.txt", "1 2 3\n\t\t\n")).collect()[0]["connections"] == 2
+
+
+def test_last_title_wins_by_path_then_place(spark, tmp_path):
+    d = tmp_path / "titles"
+    d.mkdir()
+    (d / "a.txt").write_text("1|first\n1|second\n")
+    (d / "b.txt").write_text("1|third\n2|x\n" + "".join(f"{i}|filler {i}\n" for i in range(10, 3000)))
+    got = {r["item_id"]: r["title"] for r in files.read_item_titles(spark, str(d)).where("item_id < 3").collect()}
+    assert got == {1: "third", 2: "x"}
