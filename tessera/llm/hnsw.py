@@ -17,8 +17,7 @@ candidates are scored exactly - cosine in double precision on the original
 vectors - and the shard returns its ``k`` best (plus the query itself).  The
 ``k`` best over all shards are kept, ties to the smaller id.
 
-Vectors that are null, zero, of another dimension than the first-seen majority
-or that hold null or non-finite components take no part; neither do null ids.
+Vectors that are null, zero, of another dimension than most vectors, or that hold null or non-finite components take no part; neither do null ids.
 Repeated rows of one id with the same vector count once; different vectors under
 one id are separate candidates of that id.  Fewer than ``k`` candidates: all of
 them.  An empty table gives an empty result; extra columns are ignored.
