@@ -20,7 +20,8 @@ directory, which both cuts the lineage and makes the visited set a partitioned
 table that Spark reads back with exact sizes.  No join side is hinted: sizes and
 AQE decide.  Joins on a key that can be hot (a node or a group) read written
 tables on both sides, so AQE can split the hot key's rows.  For symmetric graphs
-only the last two levels are excluded from the next one.
+only the last two levels are excluded from the next one, and a group is expanded
+once: all its members are visited by then.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 from tessera.operators.aggregates import arg_max, lookup
 from tessera.session import materialize, scratch_path
 
+
 class EdgeGraph:
     """Directed multigraph given by explicit edges ``(src, dst)``."""
 
@@ -61,7 +63,8 @@ class EdgeGraph:
             self.edges.select(F.col("dst").alias("id")))
         return ends.groupBy("id").agg(F.count(F.lit(1)).alias("deg"))
 
-    def expand(self, frontier: DataFrame | None, start=None) -> DataFrame:
+    def expand(self, frontier: DataFrame | None, start=None, done: DataFrame | None = None
+               ) -> tuple[DataFrame, None]:
         """Heads of the edges leaving the frontier (or the one node ``start``),
         one row each: ``(id, h)`` with ``h`` = number of those edges ending at
         ``id``."""
@@ -70,7 +73,7 @@ class EdgeGraph:
             out = e.where(F.col("src") == F.lit(start))
         else:
             out = e.join(frontier.select(F.col("id").alias("src")), "src", "left_semi")
-        return out.groupBy(F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("h"))
+        return out.groupBy(F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("h")), None
 
 
 class CoMemberGraph:
@@ -112,24 +115,33 @@ class CoMemberGraph:
         """Every edge has its reverse, so in-degree equals out-degree."""
         return self.out_degree().select("id", (F.col("n") * 2).alias("deg"))
 
-    def expand(self, frontier: DataFrame | None, start=None) -> DataFrame:
+    def expand(self, frontier: DataFrame | None, start=None, done: DataFrame | None = None
+               ) -> tuple[DataFrame, DataFrame]:
         """Members of the groups that hold a frontier member (or the one member
         ``start``), one row each: ``(id, h)`` with ``h`` = edges from the
-        frontier into ``id``.
+        frontier into ``id``; and those groups.
 
         ``a`` = frontier rows of a group; each row of a member in that group
         closes ``a`` edges from the frontier (a frontier member's own rows
         count too, but frontier members are visited and dropped later).
+
+        ``done`` = the groups of the step before.  They are left out: their
+        members are all visited, so they hold no new one and no edge into one.
+        Older groups need no test, a frontier member in one of them would have
+        been reached earlier.
         """
         e = self.stored()
         if frontier is None:
             own = e.where(F.col("m") == F.lit(start))
         else:
             own = e.join(frontier.select(F.col("id").alias("m")), "m", "left_semi")
-        groups = materialize(own.groupBy("g").agg(F.sum("c").alias("a")), "frontier-groups")
+        groups = own.groupBy("g").agg(F.sum("c").alias("a"))
+        if done is not None:
+            groups = groups.join(done.select("g"), "g", "left_anti")
+        groups = materialize(groups, "frontier-groups")
         return (e.join(groups, "g")
                 .groupBy(F.col("m").alias("id"))
-                .agg(F.sum(F.col("a") * F.col("c")).alias("h")))
+                .agg(F.sum(F.col("a") * F.col("c")).alias("h"))), groups
 
 
 # ---------------------------------------------------------------- measures
@@ -202,9 +214,11 @@ def _level_loop(graph, start, target=None, max_levels: int | None = None):
     def level_rows(d: int) -> DataFrame:
         return spark.read.schema("id bigint, h bigint").parquet(f"{base}/dist={d}")
 
+    done = None
     for level in count(1) if max_levels is None else range(1, max_levels + 1):
         frontier = level_rows(level - 1).select("id") if level > 1 else None
-        nxt = graph.expand(frontier, start).where(F.col("id") != F.lit(start))
+        nxt, done = graph.expand(frontier, start, done)
+        nxt = nxt.where(F.col("id") != F.lit(start))
         if graph.symmetric:
             # a neighbour of level k-1 lies on level k-2, k-1 or k, so only
             # these levels need excluding however many nodes were visited

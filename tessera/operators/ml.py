@@ -71,9 +71,6 @@ def coefficients(model, spark) -> DataFrame:
         "coef double, intercept double")
 
 
-INT_MAX = 2**31 - 1
-
-
 def dense_index(ids: DataFrame, col: str, out: str) -> DataFrame:
     """``(col, out)``: the distinct values of ``col`` numbered 0..n-1.
 
