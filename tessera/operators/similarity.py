@@ -25,6 +25,10 @@ Plan shape (all pairs):
    an ordinary user has one bucket and is not replicated.
 3. Partial + final aggregation by (i1, i2).
 
+Where only pairs above a strength are wanted, items that cannot reach it leave
+before the self-join: an item's pairs have at most ``sum over its users of
+c * (the user's largest c)`` combinations.
+
 For the similar items of ONE item no pair table is built: the item's
 raters are joined to their other ratings (linear in those ratings) and the
 sums are aggregated per other item.
@@ -57,14 +61,23 @@ def user_item_stats(ratings: DataFrame, user: str = "user_id", item: str = "item
 
 
 def pair_sums(ratings: DataFrame, user: str = "user_id", item: str = "item_id",
-              rating: str = "rating", block_items: int = DEFAULT_BLOCK_ITEMS) -> DataFrame:
-    """(i1, i2, xx, yy, xy, n) for every pair of items rated by a common user."""
+              rating: str = "rating", block_items: int = DEFAULT_BLOCK_ITEMS,
+              min_strength: int | None = None) -> DataFrame:
+    """(i1, i2, xx, yy, xy, n) for every pair of items rated by a common user;
+    with ``min_strength``, no pair with ``n > min_strength`` is missing and
+    items that have none are left out."""
     # the stats feed the hot-user count and both join sides: write them once
     # instead of re-running the ratings lineage for every consumer
     ui = materialize(user_item_stats(ratings, user, item, rating), "user-item")
     # written as well: AQE splits a hot user's rows only in a join of two plain scans
     buckets = materialize(
-        ui.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_items)).cast("int").alias("S")), "user-buckets")
+        ui.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_items)).cast("int").alias("S"),
+                            F.max("c").alias("most")), "user-buckets")
+    if min_strength is not None:
+        able = materialize(
+            ui.join(buckets, "u").groupBy("i").agg(F.sum(F.col("c") * F.col("most")).alias("reach"))
+            .where(F.col("reach") > F.lit(min_strength)).select("i"), "able-items")
+        ui = materialize(ui.join(able, "i", "left_semi"), "user-item-able")
     side = ["u", "i", "c", "s1", "s2"]
     ui = ui.join(buckets, "u").withColumn("b", F.pmod(F.xxhash64("i"), F.col("S")).cast("int"))
     fan = F.explode(F.sequence(F.lit(0), F.col("S") - 1))
@@ -95,24 +108,46 @@ def item_similarity(ratings: DataFrame, user: str = "user_id", item: str = "item
                     "n")
 
 
+def similar_pairs(ratings: DataFrame, min_score: float = 0.97, min_strength: int = 50, user: str = "user_id",
+                  item: str = "item_id", rating: str = "rating", zero_denominator: float | None = None,
+                  block_items: int = DEFAULT_BLOCK_ITEMS) -> DataFrame:
+    """(i1, i2, score, n) of the pairs above both bounds (strict)."""
+    p = pair_sums(ratings, user, item, rating, block_items, min_strength)
+    return (p.where(F.col("n") > F.lit(min_strength))
+            .select("i1", "i2", cosine_score("xy", "xx", "yy", zero_denominator).alias("score"), "n")
+            .where(F.col("score") > F.lit(min_score)))
+
+
+def item_raters(ratings: DataFrame, item_id, user: str = "user_id", item: str = "item_id",
+                rating: str = "rating") -> DataFrame:
+    """``(u, ct, s1t, s2t)``: the users that rated the item, with the count, sum
+    and sum of squares of their ratings of it; written once."""
+    r = _ratings(ratings, user, item, rating)
+    raters = (r.where(F.col("i") == F.lit(item_id))
+              .groupBy("u").agg(F.count(F.lit(1)).alias("ct"),
+                                F.sum("r").alias("s1t"),
+                                F.sum(F.col("r") * F.col("r")).alias("s2t")))
+    # written, so that a join has a plain scan on this side and AQE can split a hot user
+    return materialize(raters, "raters")
+
+
 def similar_items(ratings: DataFrame, item_id, user: str = "user_id",
                   item: str = "item_id", rating: str = "rating",
                   min_score: float = 0.97, min_strength: int = 50, k: int = 10,
-                  zero_denominator: float | None = None) -> DataFrame:
+                  zero_denominator: float | None = None, raters: DataFrame | None = None) -> DataFrame:
     """The ``k`` items most similar to ``item_id``.
 
     Pairs containing the item with ``score > min_score`` and
     ``n > min_strength`` (both strict), best first by score then strength,
     ties by the other item descending.  Output ``(other, score, n)``.
+
+    ``raters``: what ``item_raters`` found, if the caller has it; ``ratings``
+    may then be those of these users alone.
     """
     r = _ratings(ratings, user, item, rating)
     t = F.lit(item_id)
-    raters = (r.where(F.col("i") == t)
-              .groupBy("u").agg(F.count(F.lit(1)).alias("ct"),
-                                F.sum("r").alias("s1t"),
-                                F.sum(F.col("r") * F.col("r")).alias("s2t")))
-    # written, so that the join has a plain scan on this side and AQE can split a hot user
-    raters = materialize(raters, "raters")
+    if raters is None:
+        raters = item_raters(ratings, item_id, user, item, rating)
     others = r.where(F.col("i") != t).join(raters, "u")
     sums = others.groupBy("i").agg(
         F.sum(F.col("s2t")).alias("a"),                       # sum r_t^2 over combos

@@ -58,11 +58,14 @@ TRAIN_BELOW = 7
 
 # ---------------------------------------------------------------- shared inputs
 
-def ratings(t: Tables) -> DataFrame:
+def ratings(t: Tables, users: DataFrame | None = None) -> DataFrame:
     """(user_id, item_id, rating): a user rates the suppliers of the lines
-    of their orders with the line quantity."""
+    of their orders with the line quantity.  ``users (u)``: of these only; the
+    orders are restricted before they meet the lines."""
     li = t.lineitem.select("l_orderkey", "l_suppkey", "l_quantity")
     od = t.orders.select("o_orderkey", "o_custkey")
+    if users is not None:
+        od = od.join(users, od.o_custkey == users.u, "left_semi")
     return (li.join(od, li.l_orderkey == od.o_orderkey)
             .select(F.col("o_custkey").alias("user_id"),
                     F.col("l_suppkey").alias("item_id"),
@@ -221,8 +224,7 @@ def q_popularity_strict(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_similar_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """The co-rated pairs above the strength and score bounds."""
-    return sim.item_similarity(ratings(Tables(spark, sf))).where(
-        (F.col("score") > SIMILAR_MIN_SCORE) & (F.col("n") > SIMILAR_MIN_STRENGTH))
+    return sim.similar_pairs(ratings(Tables(spark, sf)), SIMILAR_MIN_SCORE, SIMILAR_MIN_STRENGTH)
 
 
 def q_guarded_cosine_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -253,8 +255,9 @@ def q_item_similarity(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_similar_items(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
-    top = sim.similar_items(ratings(t), SIMILAR_ITEM, min_score=SIMILAR_MIN_SCORE,
-                            min_strength=SIMILAR_MIN_STRENGTH, k=SIMILAR_TOP)
+    raters = sim.item_raters(ratings(t), SIMILAR_ITEM)
+    top = sim.similar_items(ratings(t, raters.select("u")), SIMILAR_ITEM, min_score=SIMILAR_MIN_SCORE,
+                            min_strength=SIMILAR_MIN_STRENGTH, k=SIMILAR_TOP, raters=raters)
     names = t.supplier.select(F.col("s_suppkey").alias("other"), "s_name")
     # ``top`` holds at most SIMILAR_TOP rows: its keys filter the streamed
     # dimension at the scan

@@ -4,6 +4,7 @@ import itertools
 import math
 from collections import Counter, defaultdict
 
+import pytest
 from hypothesis import given, settings, HealthCheck
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -74,6 +75,21 @@ def test_similar_items_equals_pair_table(spark):
     direct = sim.similar_items(r, 1, min_score=0.0, min_strength=0, k=1000)
     from_pairs = sim.similar_items_from_pairs(sim.item_similarity(r), 1, 0.0, 0, 1000)
     assert sorted(direct.collect()) == sorted(from_pairs.collect())
+    raters = sim.item_raters(r, 1)
+    fewer = cat.ratings(Tables(spark, SF_SMALL), raters.select("u"))
+    again = sim.similar_items(fewer, 1, min_score=0.0, min_strength=0, k=1000, raters=raters)
+    assert sorted(again.collect()) == sorted(direct.collect())
+
+
+@pytest.mark.parametrize("bound", [0, 2, 5, 1000])
+def test_strength_prune_loses_no_pair(spark, bound):
+    rows = [(u, i, float(1 + (u * i) % 5)) for u in range(30) for i in range(u % 9)]
+    rows += [(3, 50, 2.0)] * 4 + [(3, 51, 1.0)] * 3 + [(7, 60, 5.0)]  # copies count; 60 has one weak pair each
+    df = spark.createDataFrame(rows, "user_id int, item_id int, rating double")
+    got = sim.similar_pairs(df, min_score=0.1, min_strength=bound)
+    want = sim.item_similarity(df).where((F.col("score") > 0.1) & (F.col("n") > bound))
+    assert sorted(got.collect()) == sorted(want.collect())
+    assert bool(got.count()) == (bound < 1000)
 
 
 def _clique_edges(spark):
