@@ -21,7 +21,8 @@ The model is never held in one place.  The work runs in blocks of documents:
    hash ranges; a hot n-gram is one entry per block.  A range's entries of all
    blocks meet in one task, are added up, and each
    block gets back the counts of its own n-grams, in its own order.  The number
-   of ranges grows with the number of documents.
+   of ranges grows with the number of tokens, so a range stays of bounded size
+   however long the documents are.
 3. Each block builds the automaton of its n-grams and traverses its documents,
    all of them at once, position by position in numpy.
 
@@ -52,7 +53,7 @@ from tessera.session import materialize
 ORDER = 2
 PRIOR = 20.0          # Dirichlet weight m of the lower order
 BLOCK_TOKENS = 2_000_000
-DOCS_PER_RANGE = 2000
+TOKENS_PER_RANGE = 1 << 20
 MIN_RANGES = 32
 _END, _START = b" ", b"\n"  # no word holds white space
 
@@ -125,7 +126,7 @@ def _blocks(limit: int):
         hashes = [xxhash.xxh64_intdigest(w) for w in (*vocabulary, _START)]
         row = (uuid.uuid4().hex, docs, np.packbits(np.array(held, bool)).tobytes(),
                _pack(np.array(sizes, np.uint32)), _pack(np.frombuffer(ids, np.uint32)),
-               _pack(np.array(hashes, np.uint64)))
+               _pack(np.array(hashes, np.uint64)), len(ids), len(held) - sum(held))
         return pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(row, _TYPES)], _NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,9 +189,10 @@ def _grams(order: int, ranges: int):
     return run
 
 
-_NAMES = ["block", "docs", "held", "sizes", "tokens", "hashes"]
-_TYPES = [pa.string(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
-_SCHEMA = "block string, docs array<bigint>, held binary, sizes binary, tokens binary, hashes binary"
+_NAMES = ["block", "docs", "held", "sizes", "tokens", "hashes", "n_tokens", "n_train"]
+_TYPES = [pa.string(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+_SCHEMA = ("block string, docs array<bigint>, held binary, sizes binary, tokens binary, hashes binary, "
+           "n_tokens bigint, n_train bigint")
 
 
 def _sum_range(key, table):
@@ -253,16 +255,17 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     require(docs, id_col, text_col)
     src = docs.select(F.col(id_col).cast("bigint").alias("id"),
                       F.coalesce(held_out, F.lit(False)).alias("held_out"), text_or_empty(text_col).alias("text"))
-    size = src.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("held_out")).alias("train")).collect()[0]
-    ranges = max(MIN_RANGES, 1 << max(0, (size["n"] // DOCS_PER_RANGE - 1).bit_length()))
     blocks = materialize(src.mapInArrow(_blocks(block_tokens), _SCHEMA), "lm-blocks")
+    size = blocks.agg(F.sum("n_tokens").alias("n"), F.sum("n_train").alias("train")).collect()[0]
+    ranges = max(MIN_RANGES, 1 << ((size["n"] or 0) // TOKENS_PER_RANGE).bit_length())
+    blocks = blocks.drop("n_tokens", "n_train")
     grams = blocks.mapInArrow(_grams(order, ranges), "block string, level int, range int, a binary, b binary")
     counts = materialize(
         grams.groupBy("level", "range").applyInArrow(
             _sum_range, "block string, level int, range int, counts binary, tokens bigint, types bigint"),
         "lm-counts")
     total = counts.where(F.col("level") == 1).agg(F.sum("tokens"), F.sum("types")).collect()[0]
-    n, v, train = int(total[0] or 0), int(total[1] or 0), int(size["train"])
+    n, v, train = int(total[0] or 0), int(total[1] or 0), int(size["train"] or 0)
 
     def run(key, left, right):
         docs_, held, sizes, tokens, hashes = _open(left)
