@@ -21,7 +21,8 @@ Scoring is one pass over all whole texts with the weights (at most
 Nulls: a null text is an empty one; it is scored from the intercept.  Labels
 with a null id or label are ignored; a repeated label counts as toxic if any
 copy is.  Without labelled documents of both classes the score is the smoothed
-share of toxic labels (0.5 without any).  Repeated rows are scored each; ties
+share of toxic labels (0.5 without any) for every text alike, and ``drop_toxic``
+keeps all rows: such a model tells nothing apart.  Repeated rows are scored each; ties
 in the sample are broken by id; an empty table gives an empty result; extra
 columns are ignored by ``score`` and kept by ``drop_toxic``.
 """
@@ -205,8 +206,11 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text", toxic_from: float = TOXIC_FROM) -> DataFrame:
-    """``docs`` without the rows whose text scores ``toxic_from`` or more."""
+    """``docs`` without the rows whose text scores ``toxic_from`` or more (all of
+    ``docs`` if the model has no weights)."""
     require(docs, text_col)
+    if not model.weights:
+        return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from tessera.llm import decontamination, simhash, toxicity
 from tests.conftest import SF_SMALL
-from tests.llm.test_operators import brute_components, brute_lines
+from tests.llm.test_operators import brute_components, brute_lines, long_text
 from tests.oracle import compare, duck
 
 OPS = [f"op{n}_" for n in range(1, 11)]
@@ -61,3 +61,60 @@ def test_stages_equal_brute_force(spark):
              if any(b" ".join(decontamination.passage_words(x)) in t for x in items)}
     assert not exact & set(after) and len(set(before) - exact - set(after)) == 0
     assert {r["doc_id"] for r in df.collect()} == set(after)
+
+
+#: Columns of ``documents`` and some whose names the operators use inside.
+COLUMNS = ("doc_id bigint, text string, lang string, source string, n_chars bigint, id string, th string, fp bigint, "
+           "did string, line int, gone string, new string, t string, _n int, _id string, _th string, component string, "
+           "length bigint, number bigint, bucket int, score double, _label int")
+ITEM = "Which of the nine lanterns burns longest in the northern harbour? The seventh lantern burns until the morning."
+
+
+def tables(spark, folder, docs, labels, items):
+    for name, rows, schema in (("documents", docs, COLUMNS), ("labels", labels, "doc_id bigint, quality int, toxic int"),
+                               ("benchmark", items, "item_id bigint, text string")):
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def row(doc_id, text):
+    return (doc_id, text, None, None, None, "x", "y", 7, "z", 3, *("g" * 3), 1, *("i" * 3), 5, 6, None, 0.5, None)
+
+
+def words(k, n):
+    """Text of its own for every ``k``."""
+    return " ".join(f"w{k}x{i * 7919 % 1009}" for i in range(n))
+
+
+@pytest.mark.parametrize("labels", [[], [(1, 1, None), (None, None, 1), (2, 1, 0)], [(2, 0, 1)]])
+def test_stages_on_edge_rows(spark, tmp_path, labels):
+    copy, leak = words(1, 60), words(2, 40) + " " + ITEM + " " + words(3, 40)
+    docs = [(1, copy), (2, copy), (2, copy), (3, None), (4, ""), (None, words(4, 30)), (None, None), (5, leak),
+            (6, long_text() + " " + words(5, 50)), (7, words(6, 25) + "\n" + words(7, 25)),
+            (8, words(7, 25) + "\n" + words(8, 25))]
+    sf = tables(spark, tmp_path / "edges", [row(*d) for d in docs], labels, [(1, ITEM), (2, None), (None, "")])
+    df = spark.read.parquet(f"{sf}/documents.parquet")
+    columns, left = df.columns, {}
+    for name, stage in corpus_pipeline.STAGES:
+        df = corpus_pipeline.materialize(stage(spark, df, sf), f"test-{name}")
+        rows = df.collect()
+        if name != "best_fit_packing":
+            assert df.columns == columns and all(r["th"] == "y" and r["fp"] == 7 for r in rows)
+            left[name] = sorted(((r["doc_id"], r["text"]) for r in rows), key=str)
+    texts = dict(docs)
+    # labels of one class tell nothing apart: all documents stay
+    assert left["toxicity"] == sorted(docs, key=str)
+    # both rows of document 2 repeat document 1's only line; document 8 keeps its own line
+    want = [(1, copy), (3, None), (4, ""), (None, texts[None]), (5, leak), (6, texts[6]), (7, texts[7]), (8, words(8, 25))]
+    want = [x for x in want if x[0] is not None] + [(None, words(4, 30)), (None, None)]
+    assert left["line_dedup"] == sorted(want, key=str)
+    # the three texts without a word share the fingerprint zero; the smallest id stays
+    want = [x for x in want if x not in ((4, ""), (None, None))]
+    assert left["simhash_near_dedup"] == sorted(want, key=str)
+    assert left["benchmark_decontamination"] == sorted((x for x in want if x[0] != 5), key=str)
+    assert sorted({r["doc_id"] for r in rows}, key=str) == [1, 3, 6, 7, 8, None]
+
+
+def test_run_on_empty_tables(spark, tmp_path):
+    out = corpus_pipeline.run(spark, tables(spark, tmp_path / "empty", [], [], []))
+    assert out.count() == 0 and {"doc_id", "piece", "sequence_id", "offset"} <= set(out.columns)
