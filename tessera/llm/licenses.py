@@ -42,6 +42,7 @@ THRESHOLD = 0.8
 
 #: Licence notices (fixed values).
 TEMPLATES = {
+    "All-rights-reserved": "All rights reserved.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-header": (
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "

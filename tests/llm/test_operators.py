@@ -298,6 +298,17 @@ def test_licenses_equal_unpruned_scores(spark):
     assert got == want and len(got) >= 5
 
 
+def test_every_notice_of_the_documents_is_reported(docs, texts):
+    known = {"All rights reserved.": "All-rights-reserved", "Released under the MIT License.": "MIT",
+             "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+             "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0"}
+    lines = [(d, i, x) for d, t in texts.items() for i, x in enumerate((t or "").split("\n"), 1)]
+    notices = [(d, i, x) for d, i, x in lines if re.search(r"licensed? under|\bMIT License|rights reserved", x, re.I)]
+    got = {(r["doc_id"], r["segment"]): r["license"] for r in licenses.scan(docs).where("unit = 'line'").collect()}
+    assert got == {(d, i): known[x] for d, i, x in notices}
+    assert [x for *_, x in notices].count("All rights reserved.") == 3
+
+
 def test_license_edges(edges, empty):
     assert licenses.scan(edges).count() == 0 and licenses.scan(empty).count() == 0
     assert licenses.scan(edges, templates={"none": "word"}).count() == 0
