@@ -3,10 +3,19 @@ in built-in functions only.
 
 A text is cut into segments: its lines, and its paragraphs (parts between blank
 lines) of more than one line, so that notices of one line and whole licence texts
-are both found.  A segment is normalised - lower case, every run of characters
+are both found.  A notice that shares its line or paragraph with other words is
+found by windows over the words of the whole text.  A segment is normalised - lower case, every run of characters
 other than a-z and 0-9 one space - and its distinct word bigrams are compared
 with those of each template: Dice = 2 * common / (own + template's).
 
+Windows: runs of bigrams that begin and end with a bigram of the template (other
+ends can only lower the score) and are no longer than its size bound.  A start is
+passed over when too few of the template's bigrams follow within the bound.  Of
+each start the window with the most common bigrams counts (ties: the higher
+score); windows are then taken in that order (ties: the earlier, the smaller name)
+unless they share a word with one taken before, or with a matched line or
+paragraph that holds as many common bigrams.
+
 Candidates are pruned without losing any match at the threshold t:
 
 * size bounds: Dice >= t needs t / (2 - t) * |T| <= |S| <= (2 - t) / t * |T|;
@@ -22,8 +31,8 @@ The templates are a fixed list or the caller's; their number and size are part
 of the plan, so nothing is broadcast, joined or shuffled.
 
 Nulls: a null text has no segment.  Ties between templates go to the smaller
-name; repeated rows are scanned each; very long texts are cut at their lines; an
-empty table gives an empty result; extra columns are ignored.
+name; repeated rows are scanned each; very long texts need no special rule; an empty
+table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,6 +48,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import let, require
 
 THRESHOLD = 0.8
+BREAK = r"\n[ \t\r]*\n"
 
 #: Licence notices (fixed values).
 TEMPLATES = {
@@ -101,13 +111,14 @@ def normalise(c: Column) -> Column:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None,
          threshold: float = THRESHOLD) -> DataFrame:
     """``(doc_id, unit, segment, license, score)``: the best template of every
-    segment that reaches the threshold.  ``unit`` is 'line' or 'paragraph',
-    ``segment`` counts from 1 within the unit."""
+    segment that reaches the threshold.  ``unit`` is 'line', 'paragraph' or
+    'window'; ``segment`` counts lines and paragraphs from 1 and is the number of a
+    window's first word in the text, from 1."""
     require(docs, id_col, text_col)
     sets = {name: bigrams(t) for name, t in sorted((templates or TEMPLATES).items())}
     sets = {name: s for name, s in sets.items() if s}
     t = F.col(text_col).cast("string")
-    blocks = F.transform(F.split(t, r"\n[ \t\r]*\n"), lambda p: F.when(F.contains(p, F.lit("\n")), p))
+    blocks = F.transform(F.split(t, BREAK), lambda p: F.when(F.contains(p, F.lit("\n")), p))
     tests = sorted({a for s in sets.values() for a in anchors(s, threshold)}) or ["(?!)"]
     anchor = " (?:" + "|".join(tests) + ") "
     words = {a: max(a.split(" "), key=len) for a in tests}
@@ -125,19 +136,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     def tagged(unit: str, parts: Column) -> Column:
         return F.transform(parts, lambda p, i: F.struct(F.lit(unit).alias("unit"), i.alias("at"), p.alias("raw")))
 
-    segments = able.select(F.col(id_col).alias("doc_id"), F.explode(F.filter(
-        F.concat(tagged("line", F.split(t, "\n")), tagged("paragraph", blocks)),
-        lambda x: x["raw"].isNotNull())).alias("x")).select("doc_id", "x.*")
-    if not sets:
-        return segments.where(F.lit(False)).select(
-            "doc_id", "unit", (F.col("at") + 1).alias("segment"), F.lit("").alias("license"), F.lit(0.0).alias("score"))
-    near = (segments.withColumn("norm", normalise(F.col("raw")))
-            .where(F.concat(F.lit(" "), "norm", F.lit(" ")).rlike(anchor)))
-
     def pairs(w):
         cut = F.zip_with(F.slice(w, F.lit(1), F.size(w) - 1), F.slice(w, F.lit(2), F.size(w) - 1),
                          lambda a, b: F.concat_ws(" ", a, b))
-        return F.when(F.size(w) > 1, F.array_distinct(cut)).otherwise(F.array().cast("array<string>"))
+        return F.when(F.size(w) > 1, cut).otherwise(F.array().cast("array<string>"))
 
     def match(own):
         found = []
@@ -145,13 +147,99 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
             low, high = size_bounds(len(s), threshold)
             common = F.size(F.array_intersect(own, F.array(*map(F.lit, s))))
             found.append(F.when(F.size(own).between(low, high), F.struct(
-                (-2.0 * common / (F.size(own) + len(s))).alias("rank"), F.lit(name).alias("license"))))
+                (-2.0 * common / (F.size(own) + len(s))).alias("rank"), F.lit(name).alias("license"),
+                common.alias("common"))))
         return F.array_min(F.filter(F.array(*found), lambda x: x["rank"] <= -threshold))
 
-    best = let(let(F.split("norm", " "), pairs), match)
-    return (near.withColumn("best", best).where(F.col("best").isNotNull())
-            .select("doc_id", "unit", (F.col("at") + 1).alias("segment"), F.col("best.license").alias("license"),
-                    (-F.col("best.rank")).alias("score")))
+    def segment_match(x):
+        norm = normalise(x["raw"])
+        best = let(norm, lambda n: F.when(
+            F.concat(F.lit(" "), n, F.lit(" ")).rlike(anchor),
+            let(let(F.split(n, " "), lambda w: F.array_distinct(pairs(w))), match)))
+        return F.struct(x["unit"].alias("unit"), x["at"].alias("at"), best.alias("best"))
+
+    def count_words(raw):
+        return let(normalise(raw), lambda n: F.when(n == "", 0).otherwise(F.size(F.split(n, " "))))
+
+    def place(x):
+        """First and last word of a matched line or paragraph, in the whole text."""
+        parts = F.when(x["unit"] == "line", F.split(t, "\n")).otherwise(F.split(t, BREAK))
+        before = let(parts, lambda p: F.aggregate(
+            F.slice(p, F.lit(1), x["at"]), F.lit(0), lambda n, raw: n + count_words(raw)))
+        own = count_words(F.get(parts, x["at"]))
+        return let(before, lambda n: F.struct(n.alias("first"), (n + own - 1).alias("last"),
+                                              x["best"]["common"].alias("common")))
+
+    def windows(b):
+        """The best window of every template from each of its starts (see module text)."""
+        hits = F.filter(F.transform(b, lambda x, i: F.struct(i.alias("i"), x.alias("x"))),
+                        lambda h: h["x"].isin(sorted(set().union(*sets.values()))))
+        return let(hits, lambda h: F.concat(*[of_template(b, h, name, s) for name, s in sets.items()]))
+
+    def of_template(b, hits, name, s):
+        low, high = size_bounds(len(s), threshold)
+        least = max(1, math.ceil(threshold * (len(s) + low) / 2 - 1e-9))
+
+        def from_start(p, k):
+            first = F.get(p, k)["i"]
+
+            def until(j):
+                last = F.get(p, j)["i"]
+                common = F.size(F.array_distinct(F.transform(F.slice(p, k + 1, j - k + 1), lambda x: x["x"])))
+                own = F.size(F.array_distinct(F.slice(b, first + 1, last - first + 1)))
+                return let(F.struct(common.alias("c"), own.alias("o")), lambda n: F.when(
+                    n["o"].between(low, high) & (2.0 * n["c"] / (n["o"] + len(s)) >= threshold),
+                    F.struct((-n["c"]).alias("common"), (-2.0 * n["c"] / (n["o"] + len(s))).alias("rank"),
+                             first.alias("first"), (last + 1).alias("last"), F.lit(name).alias("license"))))
+
+            ends = F.filter(F.sequence(k + least - 1, F.least(k + high, F.size(p)) - 1),
+                            lambda j: F.get(p, j)["i"] - first < high)
+            return F.array_min(F.filter(F.transform(ends, until), lambda x: x.isNotNull()))
+
+        def starts(p):
+            able = F.filter(F.sequence(F.lit(0), F.size(p) - least),
+                            lambda k: F.get(p, k + least - 1)["i"] - F.get(p, k)["i"] < high)
+            return F.when(F.size(p) >= least, F.filter(
+                F.transform(able, lambda k: from_start(p, k)), lambda x: x.isNotNull()))
+
+        none = F.array().cast("array<struct<common:int,rank:double,first:int,last:int,license:string>>")
+        return F.coalesce(let(F.filter(hits, lambda h: h["x"].isin(s)), starts), none)
+
+    def apart(found, held):
+        """Windows in order of rank that share no word with a better one, nor with
+        a line or paragraph that holds as much."""
+        def add(taken, x):
+            clash = F.exists(taken, lambda y: (y["first"] <= x["last"]) & (x["first"] <= y["last"]))
+            return F.when(clash, taken).otherwise(F.concat(taken, F.array(x)))
+
+        free = F.filter(found, lambda x: ~F.exists(held, lambda y: (
+            (y["first"] <= x["last"]) & (x["first"] <= y["last"]) & (y["common"] >= -x["common"]))))
+        return F.aggregate(F.array_sort(free), F.slice(found, 1, 0), add)
+
+    if not sets:
+        return docs.where(F.lit(False)).select(
+            F.col(id_col).alias("doc_id"), F.lit("").alias("unit"), F.lit(0).alias("segment"),
+            F.lit("").alias("license"), F.lit(0.0).alias("score"))
+    parts = F.filter(F.concat(tagged("line", F.split(t, "\n")), tagged("paragraph", blocks)),
+                     lambda x: x["raw"].isNotNull())
+    # plan nodes of their own, so that each step is evaluated once
+    whole = let(normalise(t), lambda n: F.when(
+        F.concat(F.lit(" "), n, F.lit(" ")).rlike(anchor), let(let(F.split(n, " "), pairs), windows)))
+    row = able.select(F.col(id_col).alias("doc_id"), t.alias("_text"), whole.alias("found"), F.filter(
+        F.transform(parts, segment_match), lambda x: x["best"].isNotNull()).alias("held"))
+    t = F.col("_text")
+    row = row.where((F.size("found") > 0) | (F.size("held") > 0)).select(
+        "doc_id", "found", "held", F.transform("held", place).alias("places"))
+    rest = F.when(F.size("found") > 0, apart(F.col("found"), F.col("places")))
+    out = F.concat(
+        F.transform("held", lambda x: F.struct(
+            x["unit"].alias("unit"), (x["at"] + 1).alias("segment"), x["best"]["license"].alias("license"),
+            (-x["best"]["rank"]).alias("score"))),
+        F.coalesce(F.transform(rest, lambda x: F.struct(
+            F.lit("window").alias("unit"), (x["first"] + 1).alias("segment"), x["license"].alias("license"),
+            (-x["rank"]).alias("score"))), F.array().cast(
+                "array<struct<unit:string,segment:int,license:string,score:double>>")))
+    return row.select("doc_id", F.explode(out).alias("x")).select("doc_id", "x.*")
 
 
 def oracle_sql(table: str = "documents", threshold: float = THRESHOLD) -> str:

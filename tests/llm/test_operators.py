@@ -309,6 +309,28 @@ def test_every_notice_of_the_documents_is_reported(docs, texts):
     assert [x for *_, x in notices].count("All rights reserved.") == 3
 
 
+def test_notices_among_other_words_are_found(spark):
+    t = licenses.TEMPLATES
+    wrapped = re.sub(r"(.{60}\S*) ", r"\1\n", "here is a note on what may be done. " + t["Apache-2.0-header"]
+                     + " and here the note goes on with many more words " + long_text(300))
+    rows = [(1, "Copyright 2020 Acme. Released under the MIT License."),
+            (2, long_text(900) + " " + t["GPL-2.0"].replace("work", "code") + " " + long_text(900)),
+            (3, "one two three this work\nis licensed under the GNU\nGeneral Public License, version 3. four\nfive six seven eight nine ten"),
+            (4, "(c) Acme. All rights reserved. Released under the MIT License, see there."),
+            (5, "text\nReleased under the MIT License.\nmore, all rights are reserved"), (6, wrapped),
+            (7, t["MIT"] + "\nor as you like: released under the MIT license")]
+    got = collections.defaultdict(list)
+    for r in licenses.scan(spark.createDataFrame(rows, DOC)).collect():
+        got[r["doc_id"]].append((r["unit"], r["segment"], r["license"], r["score"]))
+    assert got[1] == [("window", 4, "MIT", 1.0)]
+    assert [x[:3] for x in got[2]] == [("window", 903, "GPL-2.0")] and got[2][0][3] >= licenses.THRESHOLD
+    assert got[3] == [("window", 4, "GPL-3.0", 1.0)]
+    assert sorted(got[4]) == [("window", 3, "All-rights-reserved", 1.0), ("window", 6, "MIT", 1.0)]
+    assert got[5] == [("line", 2, "MIT", 1.0)]
+    assert ("window", 10, "Apache-2.0-header", 1.0) in got[6]
+    assert sorted(got[7]) == [("line", 1, "MIT", 1.0), ("window", 10, "MIT", 1.0)]
+
+
 def test_license_edges(edges, empty):
     assert licenses.scan(edges).count() == 0 and licenses.scan(empty).count() == 0
     assert licenses.scan(edges, templates={"none": "word"}).count() == 0
