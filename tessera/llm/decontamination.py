@@ -23,9 +23,13 @@ threshold) and the pivot's score is added up in full.  No candidate is dropped
 otherwise: all items at or above the threshold are returned.
 
 Verification: the item's question (all but its last sentence) and answer (its
-last sentence) must both occur in the passage: at least ``MIN_OVERLAP`` of the
-part's distinct 5-word shingles (a shorter part: the whole of it).  An item of a
-single sentence is all question.
+last sentence) must both occur in the passage.  A part's overlap is the share of
+its distinct 5-word shingles there (a shorter part: the whole of it) or, where
+that is larger, the share of its words that stay by word edit distance (words
+changed, put in or taken out) at the best place; the answer's place is behind the
+question's.  The mean of both overlaps, weighted by words, must reach
+``MIN_OVERLAP`` and each of them ``PART_OVERLAP``, so that a part of one or two
+words must be there whole.  An item of a single sentence is all question.
 
 Nulls: null texts are empty; an item without words matches nothing; an empty
 benchmark or document table gives no rows.  A null item id or doc_id is kept.
@@ -50,7 +54,8 @@ from tessera.session import materialize
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6       # share of the item's BM25 weight
-MIN_OVERLAP = 0.8
+MIN_OVERLAP = 0.8     # of the whole item
+PART_OVERLAP = 0.6    # of its question and of its answer
 SHINGLE = 5
 BLOCK_ITEMS = 2
 SHARD_POSTINGS = 500_000
@@ -85,6 +90,44 @@ def part_overlap(part: list[bytes], passage: list[bytes]) -> float:
     return len(want & have) / len(want)
 
 
+def word_edits(part: list[bytes], passage: list[bytes]) -> tuple[int, int]:
+    """Least word edit distance of a part (not empty) to any run of the passage,
+    and the end of the first such run (Myers' bit vectors)."""
+    masks: dict[bytes, int] = {}
+    for i, x in enumerate(part):
+        masks[x] = masks.get(x, 0) | 1 << i
+    full, top = (1 << len(part)) - 1, 1 << len(part) - 1
+    up, down, now, best, end = full, 0, len(part), len(part), 0
+    for at, x in enumerate(passage, 1):
+        same = masks.get(x, 0)
+        v = same | down
+        h = (((same & up) + up) ^ up) | same
+        more, less = down | ~(h | up) & full, up & h
+        now += bool(more & top) - bool(less & top)
+        more, less = more << 1 & full, less << 1 & full
+        up, down = less | ~(v | more) & full, more & v
+        if now < best:
+            best, end = now, at
+    return best, end
+
+
+def item_overlap(question: list[bytes], answer: list[bytes], passage: list[bytes],
+                 min_overlap: float) -> tuple[float, float] | None:
+    """Overlaps of question and answer with the passage, or None where it does
+    not hold the item (see module text)."""
+    q, a = part_overlap(question, passage), part_overlap(answer, passage)
+    if q < 1 or a < 1:
+        end = 0
+        if question:
+            n, end = word_edits(question, passage)
+            q = max(q, 1 - n / len(question))
+        if answer:
+            a = max(a, 1 - word_edits(answer, passage[end:])[0] / len(answer))
+    low = min(PART_OVERLAP, min_overlap) - 1e-9
+    whole = (q * len(question) + a * len(answer)) / max(1, len(question) + len(answer))
+    return (q, a) if q >= low and a >= low and whole >= min_overlap - 1e-9 else None
+
+
 # ------------------------------------------------------------------ index
 
 def build_index(items: DataFrame, id_col: str = "item_id", text_col: str = "text",
@@ -220,9 +263,8 @@ class Shard:
             for item, score in self.search(terms, blocks):
                 if item in out and out[item][0] >= score:
                     continue
-                q, a = (part_overlap(p, passage) for p in self.parts[item])
-                if q >= min_overlap and a >= min_overlap:
-                    out[item] = (score, at, q, a)
+                if held := item_overlap(*self.parts[item], passage, min_overlap):
+                    out[item] = (score, at, *held)
         return out
 
 

@@ -83,6 +83,36 @@ def test_leaks_are_found_whole_and_clean_documents_stay(spark):
     assert sorted(r["doc_id"] for r in decontamination.drop_leaks(d, items).collect()) == [12, 13, 14, 15]
 
 
+def test_items_with_one_word_edited_are_leaks(spark):
+    items = spark.createDataFrame([(1, ITEMS[0][1]), (2, ITEMS[1][1]), (3, ITEMS[4][1])],
+                                  "item_id bigint, text string")
+    rows, want = [], set()
+    for item, text in items.collect():
+        w = text.split()
+        for i, x in enumerate(w):
+            mark = re.sub(r"\w", "", x)  # sentence ends stay
+            for new in ([f"edited{mark}"], ["put", x], [mark]):
+                want.add((len(rows), item))
+                rows.append((len(rows), f"{long_text(60)} {' '.join(w[:i] + new + w[i + 1:])} {long_text(60)}"))
+    # half of the answer missing, question and answer of different items
+    more = [(-1, ITEMS[0][1].replace("lazy dog again.", "")[:-9] + long_text(60)),
+            (-2, ITEMS[0][1].split("? ")[0] + "? " + ITEMS[1][1].split(". ")[1])]
+    got = decontamination.find_leaks(spark.createDataFrame(rows + more, DOC), items)
+    assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == want
+
+
+def test_word_edits_equal_a_table():
+    random.seed(5)
+    for _ in range(300):
+        part, text = ([random.choice([b"a", b"b", b"c"]) for _ in range(random.randint(1, n))] for n in (9, 14))
+        row = [0] * (len(text) + 1)
+        for i, x in enumerate(part, 1):
+            old, row = row, [i]
+            for j, y in enumerate(text, 1):
+                row.append(min(old[j] + 1, row[-1] + 1, old[j - 1] + (x != y)))
+        assert decontamination.word_edits(part, text) == (min(row), row.index(min(row)))
+
+
 def test_wand_equals_exhaustive_scores(spark, docs):
     index = decontamination.build_index(spark.read.parquet(f"{SF_SMALL}/benchmark.parquet"))
     items = [tuple(x) for x in index[1].select("item", "item_id", "text", "n_words").collect()]
