@@ -7,14 +7,16 @@ different values of a kind never share one:
 
 * payment cards: 13-19 digits (or four groups), Luhn check.  All digits but the
   last are permuted, the check digit is made anew: the pseudonym passes Luhn.
-* phones ``+c (ddd) ddd-dddd``: the ten national digits; for country code 1 area
-  and exchange start with 2-9 before and after (others are not valid and stay).
+* phones ``+c (ddd) ddd-dddd``, ``+c`` and two to four groups of digits parted by
+  spaces or hyphens, ``(ddd) ddd-dddd`` and ``ddd-ddd-dddd``: the national digits,
+  six at least.  No country code counts as 1; for that, numbers whose area and
+  exchange start with 2-9 are permuted among themselves, and so are the others.
 * IPv4 addresses without leading zeros: the 32 bits.
 * social security numbers ``ddd-dd-dddd``: areas 001-899 but 666, groups 01-99,
   serials 0001-9999.
 * dates ``yyyy-mm-dd``, ``mm/dd/yyyy``, ``dd.mm.yyyy`` of existing days from year
   400 on: the day within its 400-year calendar cycle (146,097 days), so one day
-  has one pseudonym in all three formats.
+  has one pseudonym in all three formats.  A time after ``T`` may follow; it stays.
 * e-mail addresses: the local part, letters to letters and digits to digits; the
   domain stays.
 
@@ -48,15 +50,18 @@ KINDS = ("email", "phone", "date", "ssn", "card", "ip")
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 PATTERNS = {
     "email": r"\b[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
-    "phone": r"\+[0-9]{1,3} ?\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])",
+    "phone": r"\+[0-9]{1,3} ?\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])"
+             r"|\+1(?: [0-9]{3} [0-9]{3} [0-9]{4}|-[0-9]{3}-[0-9]{3}-[0-9]{4})(?![0-9])"
+             r"|\+[0-9]{1,3}(?:(?: [0-9]{1,4}){2,4}|(?:-[0-9]{1,4}){2,4})(?![0-9])"
+             r"|(?<!\w)\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![\w-])|(?<![\w.-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![\w-])",
     "date": r"(?<![\w.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})"
-            r"(?![\w-])",
+            r"(?!(?!T[0-9])[\w-])",
     "ssn": r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
     "card": r"(?<![\w-])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3})(?![\w-])",
     "ip": rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.[0-9])",
 }
-#: The other kinds start with a digit or a plus sign, which is tested first.
-NUMBERS = "(?=[0-9+])(?:" + "|".join(f"(?:{PATTERNS[k]})" for k in KINDS if k != "email") + ")"
+#: The other kinds start with a digit, a plus sign or a bracket, which is tested first.
+NUMBERS = "(?=[0-9+(])(?:" + "|".join(f"(?:{PATTERNS[k]})" for k in KINDS if k != "email") + ")"
 PATTERN = f"(?:{PATTERNS['email']})|{NUMBERS}"
 
 
@@ -161,18 +166,36 @@ def _card(m: Column, key: str) -> Column:
 
 
 def _phone(m: Column, key: str) -> Column:
+    cc = F.regexp_extract(m, r"^\+([0-9]{1,3})", 1)
+
     def make(d):
-        cc = F.substr(d, F.lit(1), F.length(d) - 10)
-        area, rest = F.substr(d, F.length(d) - 9, F.lit(3)), F.substr(d, F.length(d) - 6, F.lit(7))
-        near = feistel(key, "phone1", area.cast("bigint") - 200, rest.cast("bigint") - 2_000_000, F.lit(800),
-                       F.lit(8_000_000))
-        far = feistel(key, "phone", area.cast("bigint"), rest.cast("bigint"), F.lit(1000), F.lit(10_000_000))
-        new = (F.when((cc == "1") & (area >= "200") & (rest >= "2000000"),
-                      let(near, lambda x: F.concat(cc, _pad(x["l"] + 200, 3), _pad(x["r"] + 2_000_000, 7))))
-               .when(cc != "1", let(far, lambda x: F.concat(cc, _pad(x["l"], 3), _pad(x["r"], 7)))))
-        return let(new, lambda s: F.when(s.isNotNull(), _refill(m, s)))
+        n = F.length(d)
+        area, rest = F.substr(d, F.lit(1), F.lit(3)).cast("bigint"), F.substr(d, F.lit(4), F.lit(7)).cast("bigint")
+        near = feistel(key, "phone1", area - 200, rest - 2_000_000, F.lit(800), F.lit(8_000_000))
+        far = feistel(key, "phone", area, rest, F.lit(1000), F.lit(10_000_000))
+        # the 3.6e9 ten-digit numbers outside the rule: areas below 200, then low exchanges of the others
+        at = F.when(area < 200, area * 10_000_000 + rest).otherwise((area - 200) * 2_000_000 + rest + 2_000_000_000)
+        odd = let(at, lambda x: feistel(key, "phone1 other", (x / 60_000).cast("bigint"), x % 60_000, F.lit(60_000),
+                                        F.lit(60_000)))
+
+        def write_odd(x):
+            low, high = x % 10_000_000, x - 2_000_000_000
+            return F.when(x < 2_000_000_000, F.concat(_pad((x / 10_000_000).cast("bigint"), 3), _pad(low, 7))).otherwise(
+                F.concat(_pad((high / 2_000_000).cast("bigint") + 200, 3), _pad(high % 2_000_000, 7)))
 
-    return let(_digits(m), make)
+        u = (n / 2).cast("int")
+        # the sizes follow the length: a longer number is another format
+        other = feistel(key, "phone", _long(F.substr(d, F.lit(1), u)), _long(F.substr(d, u + 1, n - u)), _power(u),
+                        _power(n - u))
+        home = cc.isin("1", "") & (n == 10)
+        new = (F.when(home & (area >= 200) & (rest >= 2_000_000),
+                      let(near, lambda x: F.concat(_pad(x["l"] + 200, 3), _pad(x["r"] + 2_000_000, 7))))
+               .when(home, let(odd, lambda x: let(x["l"] * 60_000 + x["r"], write_odd)))
+               .when(n == 10, let(far, lambda x: F.concat(_pad(x["l"], 3), _pad(x["r"], 7))))
+               .when(n.between(6, 16), let(other, lambda x: F.concat(_pad(x["l"], u), _pad(x["r"], n - u)))))
+        return let(new, lambda s: F.when(s.isNotNull(), _refill(m, F.concat(cc, s))))
+
+    return let(F.substr(_digits(m), F.length(cc) + 1), make)
 
 
 def _ip(m: Column, key: str) -> Column:
@@ -224,7 +247,8 @@ def _email(m: Column, key: str) -> Column:
 
 def kind_of(m: Column) -> Column:
     """The kind whose pattern a found value has."""
-    out = F.when(F.contains(m, F.lit("@")), "email").when(F.startswith(m, F.lit("+")), "phone")
+    out = F.when(F.contains(m, F.lit("@")), "email").when(
+        F.startswith(m, F.lit("+")) | F.startswith(m, F.lit("(")) | m.rlike("^[0-9]{3}-[0-9]{3}-[0-9]{4}$"), "phone")
     for kind in ("date", "ssn", "card", "ip"):
         out = out.when(m.rlike(f"^(?:{PATTERNS[kind]})$"), kind)
     return out

@@ -238,6 +238,21 @@ def test_pii_formats_and_links(spark):
     assert new[4] == f"{ip[0] >> 8}.{ip[0] & 255}.{ip[1] >> 8}.{ip[1] & 255}"
 
 
+def test_pii_phone_forms_and_times(spark):
+    rows = ["+1 (017) 555-7713", "+1 (212) 155-0100", "+1 (212) 555-0100", "(212) 555-0100", "212-555-0100",
+            "+1-212-555-0100", "+1 212 555 0100", "+44 20 7946 0958", "+33 1 23 45 67 89", "2024-01-05T10:00"]
+    d = spark.createDataFrame([(i, f"at {x}, then") for i, x in enumerate(rows)], DOC)
+    out = [r for r in pii.pseudonymise(d, "k").orderBy("doc_id").collect()]
+    assert [[f["kind"] for f in r["found"]] for r in out] == [["phone"]] * 9 + [["date"]]
+    new = [r["text"][3:-6] for r in out]
+    assert all(x != y and re.sub(r"\d", "0", x) == re.sub(r"\d", "0", y) for x, y in zip(rows, new))
+    for x in new[:2]:
+        digits = re.sub(r"\D", "", x)
+        assert x.startswith("+1 (") and (digits[1] in "01" or digits[4] in "01")
+    assert len({re.sub(r"\D", "", x)[-10:] for x in new[2:7]}) == 1
+    assert new[7].startswith("+44 ") and new[8].startswith("+33 ") and new[9].endswith("T10:00")
+
+
 def test_pii_is_a_permutation(spark):
     n = 627 * 233
     x = pii.feistel("k", "date", (F.col("id") / 233).cast("bigint"), F.col("id") % 233, F.lit(627), F.lit(233))
