@@ -371,10 +371,23 @@ def q_parse_adjacency_nodes(spark: SparkSession, sf: str) -> DataFrame:
     return files.read_adjacency_nodes(spark, _adjacency_lines(Tables(spark, sf)))
 
 
-def q_parse_names(spark: SparkSession, sf: str) -> DataFrame:
-    lines = Tables(spark, sf).supplier.select(
+def _name_lines(t: Tables) -> DataFrame:
+    return t.supplier.select(
         F.concat(F.col("s_suppkey"), F.lit(' "'), F.col("s_name"), F.lit('/ALIAS"')).alias("value"))
-    return files.read_names(spark, lines, max_id=80)
+
+
+def q_parse_names(spark: SparkSession, sf: str) -> DataFrame:
+    return files.read_names(spark, _name_lines(Tables(spark, sf)), max_id=80)
+
+
+def q_parse_names_all(spark: SparkSession, sf: str) -> DataFrame:
+    """A12 over all suppliers."""
+    return files.read_names(spark, _name_lines(Tables(spark, sf)))
+
+
+def q_parse_names_uncut(spark: SparkSession, sf: str) -> DataFrame:
+    """A13 with the reference's bound."""
+    return files.read_names(spark, _name_lines(Tables(spark, sf)), cut_alias=False, max_id=6487)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -427,6 +440,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_adjacency": q_parse_adjacency,
     "parse_adjacency_nodes": q_parse_adjacency_nodes,
     "parse_names": q_parse_names,
+    "parse_names_all": q_parse_names_all,
+    "parse_names_uncut": q_parse_names_uncut,
 }
 
 
@@ -598,6 +613,9 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT l_partkey AS id, 2 AS connections FROM lineitem",
     "parse_names":
         "SELECT s_suppkey AS id, s_name AS name FROM supplier WHERE s_suppkey < 80",
+    "parse_names_all": "SELECT s_suppkey AS id, s_name AS name FROM supplier",
+    "parse_names_uncut":
+        "SELECT s_suppkey AS id, s_name || '/ALIAS' AS name FROM supplier WHERE s_suppkey < 6487",
     "item_similarity":
         f"WITH {_RATINGS}\n"
         "SELECT i1, i2, xy / (sqrt(xx) * sqrt(yy)) AS score, n FROM pairs",

@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tessera.plans import catalogue
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_MID, SF_SMALL
 from tests.oracle import compare, duck
 
 QUERIES, SQL = catalogue.QUERIES, catalogue.ORACLE_SQL
@@ -45,3 +45,10 @@ def test_als_recommend_rows(spark):
     ratings = [r["rating"] for r in sorted(rows, key=lambda r: r["rank"])]
     assert ratings == sorted(ratings, reverse=True)
     assert len({r["item"] for r in rows}) == len(rows)
+
+
+def test_names_of_all_suppliers_are_read(spark, con):
+    n = con.execute(f"SELECT count(*) FROM read_parquet('{SF_MID}/supplier.parquet')").fetchone()[0]
+    assert n > 80
+    assert QUERIES["parse_names_all"](spark, SF_MID).count() == n
+    assert QUERIES["parse_names_uncut"](spark, SF_MID).where("name LIKE '%/ALIAS'").count() == min(n, 6487)
