@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import (decontamination, hnsw, licenses, line_dedup, lm, packing, pii, simhash, token_counts,
-                         toxicity)
+from tessera.llm import (decontamination, hnsw, licenses, line_dedup, lm, merkle, packing, periodic_runs, phrases, pii,
+                         simhash, token_counts, toxicity)
 from tessera.llm.common import crc32_mod
 from tessera.sources.tables import read_table
 
@@ -87,6 +87,18 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return near.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_merkle_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return merkle.edited_and_next(read_table(spark, sf, "documents"))
+
+
+def op12_phrase_mining(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.top(phrases.collocations(read_table(spark, sf, "documents")))
+
+
+def op13_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    return periodic_runs.runs(read_table(spark, sf, "documents"), plant=True).drop("n_words")
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
 
@@ -104,6 +116,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_simhash": op10_simhash,
+    "op11_merkle_fingerprints": op11_merkle_fingerprints,
+    "op12_phrase_mining": op12_phrase_mining,
+    "op13_periodic_runs": op13_periodic_runs,
     "pipeline": pipeline,
 }
 

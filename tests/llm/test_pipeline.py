@@ -11,7 +11,7 @@ from tests.conftest import SF_SMALL
 from tests.llm.test_operators import brute_components, brute_lines, long_text
 from tests.oracle import compare, duck
 
-OPS = [f"op{n}_" for n in range(1, 11)]
+OPS = [f"op{n}_" for n in range(1, 14)]
 
 
 def test_one_query_per_operator_and_the_pipeline():
