@@ -87,18 +87,60 @@ def int_mean_by_key(df: DataFrame, key: str, value, name: str = "a") -> DataFram
 
 
 def sum_by_key(df: DataFrame, key: str, value, name: str = "total",
-               decimal: tuple[int, int] | None = (18, 2)) -> DataFrame:
-    """Total per key.
+               decimal: tuple[int, int] | None = None) -> DataFrame:
+    """Total per key as double, whatever the order in which rows meet.
 
-    With ``decimal`` the values are summed as exact decimals and the total
-    returned as double, so the result does not depend on the order in which
-    partial sums meet (floating-point addition is not associative).
-    """
+    Doubles are summed exactly (``exact_sum``); with ``decimal`` they are first
+    rounded to that decimal type, for amounts that are meant as such."""
     v = _c(value)
     if decimal is not None:
         v = v.cast(f"decimal({decimal[0]},{decimal[1]})")
         return df.groupBy(key).agg(F.sum(v).cast("double").alias(name))
-    return df.groupBy(key).agg(F.sum(v).alias(name))
+    return exact_sum(df.select(key, v.cast("double").alias("_v")), key, "_v", name)
+
+
+BAND = 32       # exponents of a band
+PART = 27       # bits of the parts below the whole number
+
+
+def exact_sum(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """Sum of doubles per key without rounding on the way.
+
+    A value's exponent tells its band of 2^32; divided by 2^(32 band), which is
+    exact, it is a whole number and two parts of 27 bits, and three integer sums per (key,
+    band) are exact in any order, for up to 2^30 rows a key and band.  At the end the few bands
+    of a key are added with their rounding errors carried along (two-sum), so the total is
+    that of the exact sum rounded once.  Nulls are skipped, a key without values gets null;
+    infinities and NaN as in ordinary addition."""
+    x = F.col(value)
+    special = F.isnan(x) | (F.abs(x) == F.lit(float("inf")))
+    size = F.abs(F.when(special, F.lit(0.0)).otherwise(x))
+    band = F.when(size > 0, F.floor(F.log2(size) / BAND)).otherwise(F.lit(0)).cast("int")
+    half = F.pow(F.lit(2.0), -F.col("_band") * (BAND // 2))      # twice, as 2^-1024 would be out of range
+    rows = df.select(key, x.alias("_x"), special.alias("_special"), size.alias("_size"), band.alias("_band"))
+    rows = rows.withColumn("_q", F.col("_size") * half * half)
+    step = F.lit(float(1 << PART))
+    whole = F.floor("_q")
+    mid = F.floor((F.col("_q") - whole) * step)
+    low = ((F.col("_q") - whole) * step - mid) * step
+    sign = F.signum("_x").cast("bigint")
+    parts = rows.groupBy(key, "_band").agg(
+        *[F.sum(F.when(~F.col("_special"), sign * p.cast("bigint"))).alias(n)
+          for n, p in (("_whole", whole), ("_mid", mid), ("_low", low))],
+        F.sum(F.when(F.col("_special"), F.col("_x"))).alias("_other"), F.count("_x").alias("_n"))
+    both = F.pow(F.lit(2.0), F.col("_band") * (BAND // 2))
+    cut = 1 << 31           # sums of up to 62 bits as two doubles without rounding
+    pieces = F.array(*[(p.cast("double") * scale * both * both)
+                       for c, scale in (("_whole", 1.0), ("_mid", 2.0 ** -PART), ("_low", 2.0 ** (-2 * PART)))
+                       for p in (F.expr(f"{c} - {c} % {cut}"), F.expr(f"{c} % {cut}"))])
+    one = parts.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(F.col("_band").alias("b"), pieces.alias("p"))),
+                                              asc=False).alias("_bands"),
+                                 F.sum("_other").alias("_other"), F.sum("_n").alias("_n"))
+    total = F.expr("""aggregate(flatten(transform(_bands, x -> x.p)), named_struct('s', 0D, 'e', 0D),
+        (a, v) -> named_struct('s', a.s + v,
+            'e', a.e + ((a.s - ((a.s + v) - ((a.s + v) - a.s))) + (v - ((a.s + v) - a.s)))),
+        a -> a.s + a.e)""")
+    return one.select(key, F.when(F.col("_n") > 0, F.coalesce("_other", total)).alias(name))
 
 
 def min_by_key(df: DataFrame, key: str, value, name: str = "m") -> DataFrame:

@@ -36,7 +36,7 @@ sums are aggregated per other item.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.expressions import cosine_score, other_item
@@ -108,16 +108,82 @@ def item_similarity(ratings: DataFrame, user: str = "user_id", item: str = "item
                     "n")
 
 
+def candidate_pairs(ui: DataFrame, min_strength: int, block_items: int = DEFAULT_BLOCK_ITEMS) -> DataFrame:
+    """``(i1, i2)``: every pair of items that can have ``n > min_strength``, by
+    prefix filtering.
+
+    Users are ordered by rarity (few items first).  An item's pairs have at most
+    ``c * most`` combinations at a user (``c`` its ratings there, ``most`` the user's
+    largest count), so the users at the end of an item's order whose bounds add up to
+    ``min_strength`` at most cannot make a pair alone: a pair above the strength has its rarest common
+    user in the prefix of both items.  Only prefixes are joined."""
+    users = materialize(ui.groupBy("u").agg(F.count(F.lit(1)).alias("items"), F.max("c").alias("most")), "user-rarity")
+    rarity = materialize(ui.join(users, "u").select("u", "i", "items", (F.col("c") * F.col("most")).alias("bound")),
+                         "item-bounds")
+    # per item and number of items of a user: what all users at least as frequent add up to
+    steps = rarity.groupBy("i", "items").agg(F.sum("bound").alias("bound"))
+    behind = Window.partitionBy("i").orderBy(F.desc("items")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # whole steps only: a step is in the prefix unless it and all behind it stay within the strength
+    keep = steps.withColumn("rest", F.sum("bound").over(behind)).where(F.col("rest") > min_strength).select("i", "items")
+    prefix = materialize(rarity.join(keep, ["i", "items"]).select("u", "i"), "item-prefixes")
+    blocks = materialize(prefix.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_items)).cast("int").alias("S")),
+                         "prefix-blocks")
+    rows = prefix.join(blocks, "u").withColumn("b", F.pmod(F.xxhash64("i"), F.col("S")).cast("int"))
+    fan = F.explode(F.sequence(F.lit(0), F.col("S") - 1))
+    left = rows.select("u", F.col("i").alias("i1"), F.col("b").alias("k1"), fan.alias("k2"))
+    right = rows.select("u", F.col("i").alias("i2"), fan.alias("k1"), F.col("b").alias("k2"))
+    return (left.join(right, ["u", "k1", "k2"]).where(F.col("i1") < F.col("i2")).select("i1", "i2").distinct())
+
+
+def sums_of(pairs: DataFrame, ui: DataFrame) -> DataFrame:
+    """The sums of ``pair_sums`` for the given pairs alone: the item with fewer users
+    brings its users, which are looked up with the other item."""
+    users = ui.groupBy("i").agg(F.count(F.lit(1)).alias("n_users"))
+    a, b = (users.select(F.col("i").alias(f"i{k}"), F.col("n_users").alias(f"n{k}")) for k in (1, 2))
+    flip = F.col("n2") < F.col("n1")
+    oriented = pairs.join(a, "i1").join(b, "i2").select(
+        F.when(flip, F.col("i2")).otherwise(F.col("i1")).alias("i"),
+        F.when(flip, F.col("i1")).otherwise(F.col("i2")).alias("j"))
+    other = ui.select("u", F.col("i").alias("j"), F.col("c").alias("cj"), F.col("s1").alias("s1j"), F.col("s2").alias("s2j"))
+    sums = oriented.join(ui, "i").join(other, ["u", "j"]).groupBy("i", "j").agg(
+        F.sum(F.col("s2") * F.col("cj")).alias("xx"), F.sum(F.col("c") * F.col("s2j")).alias("yy"),
+        F.sum(F.col("s1") * F.col("s1j")).alias("xy"), F.sum(F.col("c") * F.col("cj")).alias("n"))
+    first = F.col("i") < F.col("j")
+    return sums.select(F.least("i", "j").alias("i1"), F.greatest("i", "j").alias("i2"),
+                       F.when(first, F.col("xx")).otherwise(F.col("yy")).alias("xx"),
+                       F.when(first, F.col("yy")).otherwise(F.col("xx")).alias("yy"), "xy", "n")
+
+
 def similar_pairs(ratings: DataFrame, min_score: float = 0.97, min_strength: int = 50, user: str = "user_id",
                   item: str = "item_id", rating: str = "rating", zero_denominator: float | None = None,
-                  block_items: int = DEFAULT_BLOCK_ITEMS) -> DataFrame:
-    """(i1, i2, score, n) of the pairs above both bounds (strict)."""
-    p = pair_sums(ratings, user, item, rating, block_items, min_strength)
+                  block_items: int = DEFAULT_BLOCK_ITEMS, prefixes: bool = False) -> DataFrame:
+    """(i1, i2, score, n) of the pairs above both bounds (strict).
+
+    ``prefixes``: candidates by prefix filtering, the better plan where few
+    pairs of co-rated items reach the strength; the same rows either way."""
+    if prefixes:
+        ui = materialize(user_item_stats(ratings, user, item, rating), "user-item")
+        p = sums_of(materialize(candidate_pairs(ui, min_strength, block_items), "candidates"), ui)
+    else:
+        p = pair_sums(ratings, user, item, rating, block_items, min_strength)
     return (p.where(F.col("n") > F.lit(min_strength))
             .select("i1", "i2", cosine_score("xy", "xx", "yy", zero_denominator).alias("score"), "n")
             .where(F.col("score") > F.lit(min_score)))
 
 
+def similar_items_each(pairs: DataFrame, k: int = 10) -> DataFrame:
+    """The ``k`` items most similar to every item of a pair table ``(i1, i2, score,
+    n)``: ``(item, rank, other, score, n)``, ordered as in ``similar_items``.
+
+    A rank per item with a bound is planned as a group limit: every task keeps
+    ``k`` rows an item before the shuffle."""
+    both = pairs.select(F.col("i1").alias("item"), F.col("i2").alias("other"), "score", "n").unionAll(
+        pairs.select(F.col("i2").alias("item"), F.col("i1").alias("other"), "score", "n"))
+    best = Window.partitionBy("item").orderBy(F.desc("score"), F.desc("n"), F.desc("other"))
+    return (both.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+            .select("item", "rank", "other", "score", "n"))
+
+
 def item_raters(ratings: DataFrame, item_id, user: str = "user_id", item: str = "item_id",
                 rating: str = "rating") -> DataFrame:
     """``(u, ct, s1t, s2t)``: the users that rated the item, with the count, sum

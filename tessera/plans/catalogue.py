@@ -34,6 +34,7 @@ from tessera.operators import relational as rel
 from tessera.operators import similarity as sim
 from tessera.operators import text
 from tessera.functions.expressions import tenths_celsius_to_fahrenheit_f32
+from tessera.session import scratch_path
 from tessera.sources import files
 from tessera.sources.tables import Tables
 
@@ -48,6 +49,10 @@ SIMILAR_ITEM = 1
 SIMILAR_MIN_SCORE = 0.7
 SIMILAR_MIN_STRENGTH = 10
 SIMILAR_TOP = 10
+PART_MIN_SCORE = 0.9
+PART_MIN_STRENGTH = 3
+SPLIT_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+MAX_RESIDUAL = 1e-3
 SQL_RANGE = (13, 19)
 PEOPLE_MAX_AGE = 21
 PEOPLE_PLUS = 10
@@ -120,10 +125,15 @@ def q_int_mean_by_key(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_customer_totals(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
-    return agg.sum_by_key(t.orders, "o_custkey", "o_totalprice", "total") \
+    return agg.sum_by_key(t.orders, "o_custkey", "o_totalprice", "total", decimal=(18, 2)) \
         .orderBy("total", "o_custkey")
 
 
+def q_customer_totals_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """Amounts that are no whole cents, summed as the doubles they are."""
+    return agg.sum_by_key(Tables(spark, sf).orders, "o_custkey", F.col("o_totalprice") / F.lit(7.0), "total")
+
+
 def q_min_reading_by_key(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
     views = t.events.where(F.col("event_type") == "view")
@@ -227,6 +237,38 @@ def q_similar_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return sim.similar_pairs(ratings(Tables(spark, sf)), SIMILAR_MIN_SCORE, SIMILAR_MIN_STRENGTH)
 
 
+def q_similar_items_each(spark: SparkSession, sf: str) -> DataFrame:
+    """The best items of every item among the pairs above the bounds."""
+    pairs = sim.similar_pairs(ratings(Tables(spark, sf)), SIMILAR_MIN_SCORE, SIMILAR_MIN_STRENGTH)
+    return sim.similar_items_each(pairs, SIMILAR_TOP)
+
+
+def q_similar_part_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of parts: most are bought together by few customers, so prefixes of
+    each part's customers find those above the strength."""
+    t = Tables(spark, sf)
+    li = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity")
+    r = li.join(t.orders, li["l_orderkey"] == F.col("o_orderkey")).select(
+        F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"), F.col("l_quantity").alias("rating"))
+    return sim.similar_pairs(r, PART_MIN_SCORE, PART_MIN_STRENGTH, prefixes=True)
+
+
+def q_pair_sink(spark: SparkSession, sf: str) -> DataFrame:
+    """The sorted sink: rows written, file ranges that overlap, files read for the
+    pairs of one item and their number."""
+    pairs = sim.similar_pairs(ratings(Tables(spark, sf)), SIMILAR_MIN_SCORE, SIMILAR_MIN_STRENGTH)
+    path = scratch_path(spark, "pairs")
+    files.write_pairs(pairs, path, ranges=8)
+    zones = files.pair_zones(spark, path)
+    # one row per file: a bounded table
+    after = F.lead("first").over(Window.orderBy("first"))
+    zone_facts = zones.withColumn("overlaps", after <= F.col("last")).agg(
+        F.sum("rows").alias("n_rows"), F.count_if("overlaps").alias("n_overlaps"))
+    of = files.read_pairs_of(spark, path, SIMILAR_ITEM)
+    return zone_facts.crossJoin(of.agg(F.countDistinct(F.col("_metadata.file_name")).alias("n_files_read"),
+                                       F.count(F.lit(1)).alias("n_pairs_of_item")))
+
+
 def q_guarded_cosine_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Pairs by whether their guarded score is zero; ratings are the line's tax
     in per cent, which can be zero."""
@@ -302,9 +344,7 @@ def q_regression_rmse(spark: SparkSession, sf: str) -> DataFrame:
 def q_als_recommend(spark: SparkSession, sf: str) -> DataFrame:
     t = Tables(spark, sf)
     model = ml.fit_als(ratings(t), "user_id", "item_id", "rating")
-    # the user's key, read from orders with the filter pushed into the scan
-    users = t.orders.where(F.col("o_custkey") == ALS_USER) \
-        .select(F.col("o_custkey").alias("user")).distinct()
+    users = files.id_table(spark, [ALS_USER], name="user", dtype="bigint")
     recs = ml.recommend(model, users, ml.ALS_TOP)
     names = t.supplier.select(F.col("s_suppkey").alias("item"), "s_name")
     # recs: |users| x ALS_TOP rows, a proven bound
@@ -312,6 +352,30 @@ def q_als_recommend(spark: SparkSession, sf: str) -> DataFrame:
         "user", "rank", "item", "rating", "s_name")
 
 
+def q_als_normal_equations(spark: SparkSession, sf: str) -> DataFrame:
+    """Users, and those whose factors do not solve their normal equations."""
+    fit = ml.fit_als(ratings(Tables(spark, sf)), "user_id", "item_id", "rating")
+    return ml.normal_residuals(fit).agg(
+        F.count(F.lit(1)).alias("n_users"), F.count_if(~(F.col("residual") <= MAX_RESIDUAL)).alias("n_beyond"))
+
+
+def q_regression_kkt(spark: SparkSession, sf: str) -> DataFrame:
+    """Three features: whether each coefficient meets the elastic net's condition."""
+    features = ["l_quantity", "l_discount", "l_tax"]
+    train = ml.assemble(Tables(spark, sf).lineitem.select(F.col("l_extendedprice").alias("label"), *features),
+                        "label", features)
+    return ml.kkt_residuals(ml.fit_linear(train), train).select(
+        "feature", (F.col("residual") <= MAX_RESIDUAL).alias("meets"))
+
+
+def q_content_split(spark: SparkSession, sf: str) -> DataFrame:
+    """Both sides of the random split: rows and the sum of their part keys."""
+    rows = Tables(spark, sf).lineitem.select(*SPLIT_COLUMNS)
+    sides = ml.content_split(rows)
+    return sides[0].withColumn("train", F.lit(True)).unionAll(sides[1].withColumn("train", F.lit(False))) \
+        .groupBy("train").agg(F.count(F.lit(1)).alias("n"), F.sum("l_partkey").alias("keys"))
+
+
 # ---------------------------------------------------------------- text formats, lines made from table columns
 
 def _cells(df: DataFrame, sep: str, *cols) -> DataFrame:
@@ -377,7 +441,57 @@ def _name_lines(t: Tables) -> DataFrame:
 
 
 def q_parse_names(spark: SparkSession, sf: str) -> DataFrame:
-    return files.read_names(spark, _name_lines(Tables(spark, sf)), max_id=80)
+    """A12 from text files whose lines do not all parse: blank ones, ids alone,
+    quotes with nothing between."""
+    lines = _name_lines(Tables(spark, sf))
+    number = F.split("value", " ")[0]
+    mixed = lines.select(F.explode(F.array(F.lit(""), number, F.col("value"), F.concat(number, F.lit(' ""')))).alias("value"))
+    return files.read_names(spark, _as_files(mixed, "names"))
+
+
+def _as_files(lines: DataFrame, name: str) -> str:
+    """The lines written as text files; their path."""
+    path = scratch_path(lines.sparkSession, name)
+    lines.select("value").write.text(path)
+    return path
+
+
+def q_file_word_count(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents as text files, read by their path."""
+    path = _as_files(Tables(spark, sf).documents.select(F.col("text").alias("value")), "book")
+    return text.word_count(files.read_lines(spark, path), "value")
+
+
+def q_file_titles_dcolon(spark: SparkSession, sf: str) -> DataFrame:
+    """A5 from text files: ids that come twice (the last title counts), titles with a
+    colon, lines without a title."""
+    p = Tables(spark, sf).part
+    key = F.col("p_partkey").cast("string")
+    lines = p.select(F.explode(F.array(
+        F.concat(key, F.lit("::an older title::x")), key, F.lit(""), F.concat(key, F.lit("::")),
+        F.concat_ws("::", key, F.concat(F.col("p_name"), F.lit(": "), F.col("p_size")), F.col("p_brand")))).alias("value"))
+    return files.read_item_titles(spark, _as_files(lines, "movies"), sep="::")
+
+
+def _broken_lines(t: Tables) -> DataFrame:
+    """``id|title`` lines; every third title ends in a byte that is no UTF-8, every
+    third in a sequence cut short."""
+    broken = F.when(F.col("p_partkey") % 3 == 0, F.unhex(F.lit("FF"))).when(F.col("p_partkey") % 3 == 1, F.unhex(F.lit("E282"))) \
+        .otherwise(F.unhex(F.lit("C3A9")))
+    line = F.concat(F.encode(F.concat_ws("|", "p_partkey", "p_name"), "UTF-8"), broken)
+    return t.part.select(line.cast("string").alias("value"))
+
+
+def q_file_titles_repaired(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of bytes that are not all UTF-8, broken sequences replaced."""
+    lines = files.read_byte_lines(spark, _as_files(_broken_lines(Tables(spark, sf)), "items"))
+    return files.read_item_titles(spark, files.decode_lines(lines))
+
+
+def q_file_titles_latin(spark: SparkSession, sf: str) -> DataFrame:
+    """The same bytes read as ISO-8859-1."""
+    lines = files.read_byte_lines(spark, _as_files(_broken_lines(Tables(spark, sf)), "items"))
+    return files.read_item_titles(spark, files.decode_lines(lines, "ISO-8859-1"))
 
 
 def q_parse_names_all(spark: SparkSession, sf: str) -> DataFrame:
@@ -439,6 +553,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_label_features": q_parse_label_features,
     "parse_adjacency": q_parse_adjacency,
     "parse_adjacency_nodes": q_parse_adjacency_nodes,
+    "customer_totals_exact": q_customer_totals_exact,
+    "similar_items_each": q_similar_items_each,
+    "similar_part_pairs": q_similar_part_pairs,
+    "pair_sink": q_pair_sink,
+    "als_normal_equations": q_als_normal_equations,
+    "regression_kkt": q_regression_kkt,
+    "content_split": q_content_split,
+    "file_word_count": q_file_word_count,
+    "file_titles_dcolon": q_file_titles_dcolon,
+    "file_titles_repaired": q_file_titles_repaired,
+    "file_titles_latin": q_file_titles_latin,
     "parse_names": q_parse_names,
     "parse_names_all": q_parse_names_all,
     "parse_names_uncut": q_parse_names_uncut,
@@ -473,6 +598,10 @@ pairs AS (SELECT a.i AS i1, b.i AS i2, sum(a.r * a.r) AS xx, sum(b.r * b.r) AS y
                  sum(a.r * b.r) AS xy, count(*) AS n
           FROM rt a JOIN rt b ON a.u = b.u AND a.i < b.i GROUP BY 1, 2)"""
 
+_ABOVE = f"""
+s AS (SELECT i1, i2, xy / (sqrt(xx) * sqrt(yy)) AS score, n FROM pairs
+      WHERE xy / (sqrt(xx) * sqrt(yy)) > {SIMILAR_MIN_SCORE} AND n > {SIMILAR_MIN_STRENGTH})"""
+
 _REGRESSION = f"""
 st AS (SELECT avg(l_extendedprice) AS my, avg(l_quantity) AS mx,
               stddev_pop(l_extendedprice) AS sy, stddev_pop(l_quantity) AS sx,
@@ -611,8 +740,50 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT l_partkey, CAST(l_linenumber AS BIGINT) FROM lineitem",
     "parse_adjacency_nodes":
         "SELECT l_partkey AS id, 2 AS connections FROM lineitem",
-    "parse_names":
-        "SELECT s_suppkey AS id, s_name AS name FROM supplier WHERE s_suppkey < 80",
+    "customer_totals_exact":
+        "SELECT o_custkey, CAST(sum(CAST(o_totalprice / CAST(7 AS DOUBLE) * 1152921504606846976 AS HUGEINT)) AS DOUBLE) "
+        "/ 1152921504606846976 AS total FROM orders GROUP BY 1",
+    "similar_items_each":
+        f"WITH {_RATINGS},\n{_ABOVE},\n"
+        "b AS (SELECT i1 AS item, i2 AS other, score, n FROM s UNION ALL SELECT i2, i1, score, n FROM s)\n"
+        "SELECT item, CAST(row_number() OVER best AS INTEGER) AS rank, other, score, n FROM b "
+        "WINDOW best AS (PARTITION BY item ORDER BY score DESC, n DESC, other DESC) "
+        f"QUALIFY row_number() OVER best <= {SIMILAR_TOP}",
+    "similar_part_pairs":
+        "WITH rt AS (SELECT o_custkey AS u, l_partkey AS i, l_quantity AS r FROM lineitem "
+        "JOIN orders ON l_orderkey = o_orderkey),\n"
+        "pairs AS (SELECT a.i AS i1, b.i AS i2, sum(a.r * a.r) AS xx, sum(b.r * b.r) AS yy, sum(a.r * b.r) AS xy, "
+        "count(*) AS n FROM rt a JOIN rt b ON a.u = b.u AND a.i < b.i GROUP BY 1, 2)\n"
+        "SELECT i1, i2, xy / (sqrt(xx) * sqrt(yy)) AS score, n FROM pairs "
+        f"WHERE xy / (sqrt(xx) * sqrt(yy)) > {PART_MIN_SCORE} AND n > {PART_MIN_STRENGTH}",
+    "pair_sink":
+        f"WITH {_RATINGS},\n{_ABOVE}\n"
+        "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_overlaps, "
+        f"CAST(max(CASE WHEN i1 = {SIMILAR_ITEM} THEN 1 ELSE 0 END) AS BIGINT) AS n_files_read, "
+        f"count(*) FILTER (WHERE i1 = {SIMILAR_ITEM}) AS n_pairs_of_item FROM s",
+    "als_normal_equations":
+        "SELECT count(DISTINCT o_custkey) AS n_users, CAST(0 AS BIGINT) AS n_beyond "
+        "FROM lineitem JOIN orders ON l_orderkey = o_orderkey",
+    "regression_kkt": "SELECT CAST(range AS INTEGER) AS feature, true AS meets FROM range(3)",
+    "content_split":
+        f"WITH r AS (SELECT {', '.join(SPLIT_COLUMNS)}, row_number() OVER (PARTITION BY {', '.join(SPLIT_COLUMNS)}) AS k "
+        "FROM lineitem)\n"
+        f"SELECT substr(md5(concat_ws('|', '42', {', '.join(SPLIT_COLUMNS)}, k)), 1, 8) < 'b3333333' AS train, "
+        "count(*) AS n, CAST(sum(l_partkey) AS BIGINT) AS keys FROM r GROUP BY 1",
+    "file_word_count":
+        "SELECT w AS word, count(*) AS n FROM ("
+        " SELECT unnest(string_split(l, ' ')) AS w FROM ("
+        "  SELECT unnest(string_split(text, chr(10))) AS l FROM documents)) "
+        "WHERE regexp_full_match(w, '[a-zA-Z]+') GROUP BY 1",
+    "file_titles_dcolon":
+        "SELECT CAST(p_partkey AS INTEGER) AS item_id, p_name || ': ' || p_size AS title FROM part",
+    "file_titles_repaired":
+        "SELECT CAST(p_partkey AS INTEGER) AS item_id, p_name || CASE p_partkey % 3 WHEN 2 THEN chr(233) "
+        "ELSE chr(65533) END AS title FROM part",
+    "file_titles_latin":
+        "SELECT CAST(p_partkey AS INTEGER) AS item_id, p_name || CASE p_partkey % 3 WHEN 0 THEN chr(255) "
+        "WHEN 1 THEN chr(226) || chr(130) ELSE chr(195) || chr(169) END AS title FROM part",
+    "parse_names": "SELECT s_suppkey AS id, s_name AS name FROM supplier",
     "parse_names_all": "SELECT s_suppkey AS id, s_name AS name FROM supplier",
     "parse_names_uncut":
         "SELECT s_suppkey AS id, s_name || '/ALIAS' AS name FROM supplier WHERE s_suppkey < 6487",

@@ -104,6 +104,7 @@ def scratch_scope(spark: SparkSession):
         jvm = spark.sparkContext._jvm
         conf = spark.sparkContext._jsc.hadoopConfiguration()
         for p in created:
+            spark.sql(f"DROP TABLE IF EXISTS {_table_name(p)}")     # of ``bucketed``
             path = jvm.org.apache.hadoop.fs.Path(p)
             path.getFileSystem(conf).delete(path, True)
 
@@ -124,5 +125,20 @@ def materialize(df, name: str):
     return spark.read.parquet(path)
 
 
+def _table_name(path: str) -> str:
+    return "tessera_" + path.rsplit("/", 1)[1].replace("-", "_")
+
+
+def bucketed(df, name: str, buckets: int, *keys: str):
+    """``df`` written once below the shared checkpoint folder, in ``buckets`` hash
+    buckets of ``keys``, one sorted file each, and read back as such: a join on
+    these keys moves the other side's rows only.  Like ``materialize`` a lineage cut."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    (df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+     .option("path", path).saveAsTable(_table_name(path), format="parquet"))
+    return spark.table(_table_name(path))
+
+
 def default_parallelism(spark: SparkSession) -> int:
     return int(spark.sparkContext.defaultParallelism or os.cpu_count() or 1)

@@ -166,6 +166,21 @@ def read_lines(spark: SparkSession, path, repair_utf8: bool = False) -> DataFram
     return df
 
 
+def read_byte_lines(spark: SparkSession, path) -> DataFrame:
+    """Lines as they are in the file, column ``line`` (binary)."""
+    return _text(spark, path).select(F.col("value").cast("binary").alias("line"))
+
+
+def decode_lines(lines: DataFrame, encoding: str = "UTF-8") -> DataFrame:
+    """Lines of bytes as text, column ``value``.  UTF-8: every broken sequence becomes
+    U+FFFD; other charsets are decoded as they are (``ISO-8859-1`` knows every byte)."""
+    if encoding.upper() in ("UTF-8", "UTF8"):
+        text = F.make_valid_utf8(F.col("line").cast("string"))
+    else:
+        text = F.decode("line", encoding)
+    return lines.select(text.alias("value"))
+
+
 # ---------------------------------------------------------------- graph
 
 def read_adjacency(spark: SparkSession, path) -> DataFrame:
@@ -231,13 +246,37 @@ def id_table(spark: SparkSession, ids, name: str = "userId", dtype: str = "int")
 # ---------------------------------------------------------------- sinks
 
 def write_pairs(pairs: DataFrame, path: str, fmt: str = "parquet",
-                mode: str = "overwrite") -> None:
+                mode: str = "overwrite", ranges: int | None = None) -> None:
     """All pair similarities, globally sorted by ``(i1, i2)``.
 
-    ``orderBy`` range-partitions the pairs, so the files come out in key
-    order without funnelling them through one task.
+    Range-partitioned by both, so the files come out in key order
+    without funnelling them through one task, however many pairs one item has.  Beside them, in
+    ``<path>_zones``, stands a zone map: per file its first and last pair and its rows.
     """
-    (pairs.orderBy("i1", "i2")
+    out = pairs.repartitionByRange(ranges, "i1", "i2") if ranges else pairs.repartitionByRange("i1", "i2")
+    (out.sortWithinPartitions("i1", "i2")
      .write.mode(mode).format(fmt)
      .option("header", "true" if fmt == "csv" else "false")
      .save(path))
+    spark = pairs.sparkSession
+    written = spark.read.format(fmt).schema(pairs.schema).option("header", "true" if fmt == "csv" else "false").load(path)
+    key = F.struct("i1", "i2")
+    (written.groupBy(F.col("_metadata.file_name").alias("file"))
+     .agg(F.min(key).alias("first"), F.max(key).alias("last"), F.count(F.lit(1)).alias("rows"))
+     .write.mode("overwrite").parquet(path.rstrip("/") + "_zones"))
+
+
+def pair_zones(spark: SparkSession, path: str) -> DataFrame:
+    """The zone map of ``write_pairs``: ``(file, first, last, rows)``."""
+    return spark.read.parquet(path.rstrip("/") + "_zones")
+
+
+def read_pairs_of(spark: SparkSession, path: str, item) -> DataFrame:
+    """The pairs whose first item is ``item``, from the files whose range holds it
+    (Parquet; usually one file, more for an item with many pairs)."""
+    t = F.lit(item)
+    zones = pair_zones(spark, path)
+    files = [r["file"] for r in zones.where((F.col("first.i1") <= t) & (F.col("last.i1") >= t)).select("file").collect()]
+    if not files:
+        return spark.read.parquet(path).where(F.lit(False))
+    return spark.read.parquet(*[f"{path.rstrip('/')}/{f}" for f in files]).where(F.col("i1") == t)
