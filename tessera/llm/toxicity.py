@@ -8,12 +8,14 @@ Fit: a bounded sample of labelled documents (``MAX_TRAIN``, those with the
 smallest hash of their id) is cut into features; each feature's documents per
 class are counted by Spark, and the ``MAX_FEATURES`` features with the largest
 z-score of the difference between classes are kept (frequency at least
-``MIN_DF``, z-score at least ``MIN_Z``).  A logistic regression over them is fitted on the sample's feature
-numbers.  The loss adds, for every sampled document that names an identity
-group, ``COUNTERFACTUAL`` times the squared change of its logit when each
-identity term is swapped for the next term of its class (Garg et al. 2019):
+``MIN_DF``, z-score at least ``MIN_Z``), and besides them every identity term.  A logistic regression over them is fitted on the sample's feature
+numbers.  The loss adds, for every identity term in a sentence of a sampled
+document, ``COUNTERFACTUAL`` times the squared change of the logit when that term is
+swapped, in that sentence, for the next term of its class (Garg et al. 2019):
 naming one group or another must not change a score, so a group that is
-insulted more often in the labels does not make a neutral mention toxic.
+insulted more often in the labels does not make a neutral mention toxic.  Only
+features that differ count for such a change, so equal swaps are counted together.
+The terms (``IDENTITY``) are a parameter; ``lexicon`` takes them from a table.
 
 Scoring is one pass over all whole texts with the weights (at most
 ``MAX_FEATURES``) broadcast; no shuffle.
@@ -30,6 +32,8 @@ columns are ignored by ``score`` and kept by ``drop_toxic``.
 from __future__ import annotations
 
 import math
+import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -42,7 +46,8 @@ from tessera.llm.common import require, text_or_empty
 from tessera.session import materialize
 
 MAX_TRAIN = 16_384      # labelled documents that are fitted at most
-MAX_FEATURES = 4_096
+MAX_FEATURES = 4_096    # features besides the identity terms
+MAX_TERMS = 10_000      # identity terms of a lexicon at most
 MIN_DF = 5
 MIN_Z = 5.0             # least z-score of a feature's difference between the classes
 PREFIXES = (4, 5, 6)
@@ -92,17 +97,49 @@ class Model:
         return 1 / (1 + math.exp(-max(-700.0, min(700.0, z))))
 
 
-def _fit(rows: list[np.ndarray], other: list[np.ndarray | None], y: np.ndarray, n_features: int, ridge: float,
-         counterfactual: float, rounds: int) -> np.ndarray:
-    """Weights (the last is the intercept) by Adam on the whole sample."""
+SENTENCE = re.compile(r"[.!?\n]+")
+
+
+def term_swaps(text: str, swap: dict[str, str]) -> list[tuple[frozenset, frozenset]]:
+    """Per sentence and identity term in it: the features that a swap of the
+    term takes away, and those it brings."""
+    out = []
+    low = text.lower()
+    if not any(t in low for t in swap):
+        return out
+    for sentence in SENTENCE.split(low):
+        w = distinct_words(sentence)
+        for term in sorted(w & swap.keys()):
+            before, after = features(w), features((w - {term}) | {swap[term]})
+            out.append((frozenset(before - after), frozenset(after - before)))
+    return out
+
+
+def lexicon(table: DataFrame, group_col: str = "class", term_col: str = "term") -> tuple[tuple[str, ...], ...]:
+    """Identity terms by class from a table, at most ``MAX_TERMS`` (an error beyond)."""
+    rows = (table.where(F.col(group_col).isNotNull() & F.col(term_col).isNotNull())
+            .select(F.col(group_col).alias("c"), F.lower(F.trim(term_col)).alias("t")).distinct()
+            .orderBy("c", "t").limit(MAX_TERMS + 1).collect())
+    if len(rows) > MAX_TERMS:
+        raise ValueError(f"more than {MAX_TERMS} identity terms")
+    by: dict = {}
+    for r in rows:
+        by.setdefault(r["c"], []).append(r["t"])
+    return tuple(tuple(v) for v in by.values() if len(v) > 1)
+
+
+def _fit(rows: list[np.ndarray], pairs: list[tuple[np.ndarray, np.ndarray, int]], y: np.ndarray, n_features: int,
+         ridge: float, counterfactual: float, rounds: int) -> np.ndarray:
+    """Weights (the last is the intercept) by Adam on the whole sample.  ``pairs``:
+    features a swap takes away, features it brings, how often it occurs."""
     def flat(lists):
         sizes = np.array([len(r) for r in lists], np.int64)
         return np.repeat(np.arange(len(lists)), sizes), (np.concatenate(lists) if len(lists) else np.empty(0, int))
 
     doc, feat = flat(rows)
-    pairs = [i for i, o in enumerate(other) if o is not None]
-    cd1, cf1 = flat([rows[i] for i in pairs])
-    cd2, cf2 = flat([other[i] for i in pairs])
+    cd1, cf1 = flat([p[0] for p in pairs])
+    cd2, cf2 = flat([p[1] for p in pairs])
+    often = np.array([p[2] for p in pairs], float)
     n, w = len(rows), np.zeros(n_features + 1)
     w[-1] = math.log((y.sum() + 1) / (n - y.sum() + 1))
     m, v = np.zeros_like(w), np.zeros_like(w)
@@ -113,7 +150,7 @@ def _fit(rows: list[np.ndarray], other: list[np.ndarray | None], y: np.ndarray,
         g[:-1] += ridge * w[:-1]
         if pairs:
             gap = np.bincount(cd1, w[cf1], len(pairs)) - np.bincount(cd2, w[cf2], len(pairs))
-            gap *= 2 * counterfactual / n
+            gap *= 2 * counterfactual * often / n
             g[:-1] += np.bincount(cf1, gap[cd1], n_features) - np.bincount(cf2, gap[cd2], n_features)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= 0.1 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
@@ -164,27 +201,33 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
             .where((F.col("n0") + F.col("n1") >= min(MIN_DF, n1)) & (z >= MIN_Z))
             .orderBy(F.desc(z), "f").limit(max_features).select("f").collect())
-    names = sorted(r["f"] for r in best)
-    number = {f: k for k, f in enumerate(names)}
     swap = swaps(classes)
+    names = sorted({r["f"] for r in best} | swap.keys())    # identity terms are features whatever their z-score
+    number = {f: k for k, f in enumerate(names)}
 
     def design(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x, c = [], []
             for text in b.column("text").to_pylist():
-                w = distinct_words(text)
-                x.append(sorted(number[f] for f in features(w) & number.keys()))
-                hit = w & swap.keys()
-                c.append(sorted(number[f] for f in features((w - hit) | {swap[t] for t in hit}) & number.keys())
-                         if hit else None)
+                x.append(sorted(number[f] for f in features(distinct_words(text)) & number.keys()))
+                pairs = Counter((tuple(sorted(number[f] for f in old & number.keys())),
+                                 tuple(sorted(number[f] for f in new & number.keys())))
+                                for old, new in term_swaps(text, swap))
+                c.append([(list(old), list(new), k) for (old, new), k in sorted(pairs.items())])
             ints = pa.list_(pa.int32())
-            yield pa.RecordBatch.from_arrays([b.column("_label"), pa.array(x, ints), pa.array(c, ints)],
-                                             ["y", "x", "c"])
-
-    rows = sample.mapInArrow(design, "y int, x array<int>, c array<int>").collect()  # at most max_train rows
-    rows.sort(key=lambda r: (r["y"], r["x"], r["c"] or []))  # the sum's order must not depend on task order
+            yield pa.RecordBatch.from_arrays(
+                [b.column("_label"), pa.array(x, ints),
+                 pa.array(c, pa.list_(pa.struct([("old", ints), ("new", ints), ("n", pa.int64())])))], ["y", "x", "c"])
+
+    # at most max_train rows of feature numbers
+    rows = sample.mapInArrow(design, "y int, x array<int>, c array<struct<old: array<int>, new: array<int>, n: bigint>>").collect()
+    rows.sort(key=lambda r: (r["y"], r["x"]))  # the sum's order must not depend on task order
+    pairs: Counter = Counter()
+    for r in rows:
+        for p in r["c"]:
+            pairs[tuple(p["old"]), tuple(p["new"])] += p["n"]
     w = _fit([np.array(r["x"], np.int64) for r in rows],
-             [None if r["c"] is None else np.array(r["c"], np.int64) for r in rows],
+             [(np.array(old, np.int64), np.array(new, np.int64), k) for (old, new), k in sorted(pairs.items())],
              np.array([r["y"] for r in rows], float), len(names), ridge, counterfactual, rounds)
     return Model(float(w[-1]), {f: float(x) for f, x in zip(names, w)})
 
