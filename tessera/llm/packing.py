@@ -12,7 +12,8 @@ completion.
    the undominated fillings of the rest of its bin, apply each as often as the
    counts allow, and prune where the waste already made exceeds what a better
    packing may waste.  It stops when the incumbent meets the lower bound or the
-   node budget is used up (the incumbent then stands: every piece is packed).
+   node budget, which grows with the number of distinct lengths, is used up (the
+   incumbent then stands: every piece is packed).
 3. The solution is a list of patterns with multiplicities.  The pieces of one
    length are numbered by per-bucket counts and a running sum over them (a hot
    length is spread over all buckets), and each task turns (length, number)
@@ -42,8 +43,11 @@ from tessera.session import materialize
 
 CAPACITY = 2048
 END_ID = 0
-NODES = 2000        # search nodes of bin completion
-FILLINGS = 6        # undominated fillings tried at a node
+NODES = 2000            # search nodes of bin completion at least
+NODES_PER_LENGTH = 12   # and per distinct length: a full descent takes about one per length
+FILLINGS = 6            # undominated fillings tried at a node
+STEPS = 50              # steps per wanted filling that enumerate them
+FOUND = 4               # fillings per wanted one that are compared
 PIECES_PER_BUCKET = 1024
 
 PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -63,7 +67,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
         for b in batches:
             out: list[list] = [[], [], [], [], []]
             for doc, text in zip(b.column("id").to_pylist(), b.column("text")):
-                ids = np.append(bpe.encode(text.as_py(), vocabulary), np.uint32(end_id)).astype("<u4")
+                ids = np.append(bpe.encode(text.as_py(), vocabulary, special=True), np.uint32(end_id)).astype("<u4")
                 for k, (start, n) in enumerate(piece_bounds(len(ids), capacity)):
                     crc = zlib.crc32(ids[start:start + n].tobytes())
                     for col, v in zip(out, (doc, k, start, n, crc)):
@@ -146,7 +150,7 @@ def fillings(lengths: list[int], counts: dict[int, int], room: int, want: int) -
         placed = False
         for i in range(k, len(lengths)):
             steps += 1
-            if steps > 50 * want or len(found) >= 4 * want:
+            if steps > STEPS * want or len(found) >= FOUND * want:
                 break
             n = lengths[i]
             if n <= room and chosen.count(n) < counts[n]:
@@ -165,8 +169,10 @@ def fillings(lengths: list[int], counts: dict[int, int], room: int, want: int) -
 
 
 def bin_completion(counts: dict[int, int], capacity: int, bound: int, incumbent: list,
-                   nodes: int = NODES) -> list[tuple[dict[int, int], int]]:
+                   nodes: int | None = None) -> list[tuple[dict[int, int], int]]:
     """Depth-first search for a packing of fewer bins than ``incumbent``."""
+    if nodes is None:
+        nodes = max(NODES, NODES_PER_LENGTH * len(counts))
     total = sum(n * c for n, c in counts.items())
     best, best_bins = incumbent, sum(m for _, m in incumbent)
     stack = [(dict(counts), (), 0)]
@@ -201,7 +207,7 @@ def bin_completion(counts: dict[int, int], capacity: int, bound: int, incumbent:
 
 
 def pack_lengths(counts: dict[int, int], capacity: int = CAPACITY,
-                 nodes: int = NODES) -> list[tuple[dict[int, int], int]]:
+                 nodes: int | None = None) -> list[tuple[dict[int, int], int]]:
     """Patterns ``{length: copies}`` with multiplicities that use up ``counts``."""
     if any(n < 1 or n > capacity for n in counts):
         raise ValueError("lengths must be from 1 to the capacity")
@@ -226,7 +232,7 @@ def slots(patterns: list[tuple[dict[int, int], int]]) -> dict[int, np.ndarray]:
     return {n: np.array(rows, np.int64) for n, rows in out.items()}
 
 
-def assign(found: DataFrame, capacity: int = CAPACITY, nodes: int = NODES) -> DataFrame:
+def assign(found: DataFrame, capacity: int = CAPACITY, nodes: int | None = None) -> DataFrame:
     """``found`` (rows of ``pieces``, already written) with ``sequence_id`` and
     ``offset``."""
     spark = found.sparkSession
@@ -260,7 +266,7 @@ def assign(found: DataFrame, capacity: int = CAPACITY, nodes: int = NODES) -> Da
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
-         end_id: int = END_ID, vocabulary: str | None = None, nodes: int = NODES) -> DataFrame:
+         end_id: int = END_ID, vocabulary: str | None = None, nodes: int | None = None) -> DataFrame:
     """Pieces of all documents with their sequence and offset."""
     found = materialize(pieces(docs, id_col, text_col, capacity, end_id, vocabulary), "pack-pieces")
     return assign(found, capacity, nodes)
