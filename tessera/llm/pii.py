@@ -266,10 +266,8 @@ def pseudonym(m: Column, kind: Column, key: str) -> Column:
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", found_col: str = "found") -> DataFrame:
     """``docs`` with the text replaced and ``found_col``: an array of (kind,
     pseudonym), one entry per replaced value, in text order (null for a null
-    text).  A column named ``found_col`` must not exist."""
+    text).  An own column of that name gives way to it."""
     require(docs, text_col)
-    if found_col in docs.columns:
-        raise ValueError(f"column {found_col!r} exists")
     t = F.col(text_col).cast("string")
     # without an at sign the e-mail pattern, the slower one, cannot match
     values = (F.when(F.contains(t, F.lit("@")), F.regexp_extract_all(t, F.lit(PATTERN), F.lit(0)))
@@ -286,5 +284,6 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", found_col: s
     text = F.when(F.size("m") > 0, new).otherwise(F.col("t"))
     good = F.transform(F.filter("m", lambda x: x["new"].isNotNull()),
                        lambda x: F.struct(x["kind"].alias("kind"), x["new"].alias("pseudonym")))
-    return row.select(*[(text if c == text_col else F.col("r")[c]).alias(c) for c in docs.columns],
+    return row.select(*[(text if c == text_col else F.col("r")[c]).alias(c) for c in docs.columns
+                        if c != found_col],
                       good.alias(found_col))

@@ -277,6 +277,9 @@ def test_pii_edges(spark, edges, empty):
     assert pii.pseudonymise(edges, "k").count() == len(edge_rows())
     assert pii.pseudonymise(edges, "k").columns == [*edges.columns, "found"]
     assert pii.pseudonymise(empty, "k").count() == 0
+    own = spark.createDataFrame([(1, "at 10.0.0.1", "mine")], DOC + ", found string")
+    row = pii.pseudonymise(own, "k").collect()[0]
+    assert [f["kind"] for f in row["found"]] == ["ip"] and row.__fields__ == ["doc_id", "text", "found"]
 
 
 # --------------------------------------------------------------- 4 toxicity
@@ -309,6 +312,60 @@ def test_toxicity_held_out_and_counterfactual(spark):
     assert gap(strong) < gap(plainly) and strong.score("a muslim reads") < toxicity.TOXIC_FROM
 
 
+def test_neutral_mentions_are_fewer_false_positives(spark):
+    """A group that is named in toxic sentences only: without the regulariser its
+    name alone is taken for toxicity, with it a neutral mention is not."""
+    random.seed(2)
+    plain = [f"word{i}" for i in range(300)]
+    rows, labels = [], []
+    for i in range(1200):
+        w = random.choices(plain, k=20)
+        bad = i % 3 == 0
+        if bad:
+            w[4] = random.choice(["idiot", "scum", "moron", "vermin"]) if i % 2 else "buddhist"
+            w[6] = "muslim"
+        elif i % 5 == 1:
+            w[6] = "christian"
+        rows.append((i, " ".join(w[:10]) + ". " + " ".join(w[10:])))
+        labels.append((i, int(bad)))
+    d, y = spark.createDataFrame(rows, DOC), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    neutral = [f"The {t} {' '.join(random.choices(plain, k=8))}" for t in ("muslim", "jewish", "hindu") for _ in range(20)]
+    wrong = {c: sum(toxicity.fit(d, y, counterfactual=c).score(t) >= toxicity.TOXIC_FROM for t in neutral) for c in (0.0, 20.0)}
+    assert wrong[0.0] >= 20 and wrong[20.0] == 0
+
+
+def test_fit_equals_a_dense_one():
+    rng = np.random.default_rng(3)
+    n, k = 60, 9
+    x = rng.random((n, k)) < 0.3
+    y = (x[:, 0] | (rng.random(n) < 0.1)).astype(float)
+    pairs = [([0, 2], [1], 3), ([4], [5, 6], 1), ([], [7], 2)]
+    got = toxicity._fit([np.flatnonzero(r) for r in x],
+                        [(np.array(a, np.int64), np.array(b, np.int64), c) for a, b, c in pairs], y, k, 1e-3, 2.0, 120)
+    change = np.zeros((len(pairs), k))
+    for i, (a, b, _) in enumerate(pairs):
+        change[i, a] += 1
+        change[i, b] -= 1
+    often = np.array([c for *_, c in pairs], float)
+    w, m, v = np.append(np.zeros(k), math.log((y.sum() + 1) / (n - y.sum() + 1))), np.zeros(k + 1), np.zeros(k + 1)
+    for t in range(1, 121):
+        p = 1 / (1 + np.exp(-(x @ w[:-1] + w[-1])))
+        g = np.append(x.T @ (p - y) / n + 1e-3 * w[:-1] + 2 * 2.0 / n * change.T @ (often * (change @ w[:-1])), (p - y).sum() / n)
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        w -= 0.1 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
+    assert np.allclose(got, w, atol=1e-9)
+
+
+def test_one_swap_per_sentence_and_term(spark):
+    swap = toxicity.swaps((("red", "green", "blue"),))
+    got = toxicity.term_swaps("Red and blue. No term here! A red one", swap)
+    # blue -> red, which the sentence holds already; red -> green, once per sentence
+    assert got == [(frozenset({"blue"}), frozenset()), (frozenset({"red"}), frozenset({"green", "gree*"})),
+                   (frozenset({"red"}), frozenset({"green", "gree*"}))]
+    table = spark.createDataFrame([("c", " Red"), ("c", "blue"), ("d", "alone"), (None, "x"), ("c", None)], "class string, term string")
+    assert toxicity.lexicon(table) == (("blue", "red"),)
+
+
 def test_toxicity_edges(spark, edges, empty):
     labels = spark.createDataFrame([(1, 0), (None, 1), (4, None), (99, 1)], "doc_id bigint, toxic int")
     model = toxicity.fit(edges, labels)
@@ -526,7 +583,7 @@ def test_packing_is_whole_gapless_and_tight(docs, texts):
         by_doc[r["doc_id"]].append(r)
         by_seq[r["sequence_id"]].append(r)
     for d, t in texts.items():
-        ids = np.append(bpe.encode(t), 0).astype("<u4")
+        ids = np.append(bpe.encode(t, special=True), 0).astype("<u4")
         p = sorted(by_doc[d], key=lambda r: r["piece"])
         assert [r["piece"] for r in p] == list(range(len(p)))
         assert all(r["length"] == packing.CAPACITY for r in p[1:]) and sum(r["length"] for r in p) == len(ids)
@@ -562,6 +619,24 @@ def test_solver_uses_every_length_once_and_beats_best_fit():
     assert sum(m for _, m in packing.pack_lengths({44: 1, 24: 2, 22: 1, 21: 1, 17: 2, 8: 2, 6: 2}, 100)) == 2
 
 
+def test_search_budget_grows_with_the_lengths():
+    rng = random.Random(11)
+    counts = {n: rng.randint(1, 200) for n in range(1, 2049)}
+    best = packing.pack_lengths(counts)
+    used = collections.Counter()
+    for p, m in best:
+        used.update({n: c * m for n, c in p.items()})
+    assert used == counts and sum(m for _, m in best) <= sum(m for _, m in packing.best_fit(counts, 2048))
+
+
+def test_pieces_of_special_tokens_and_ties(spark):
+    rows = [(1, "a <|endoftext|> b"), (2, "x y"), (2, "x y"), (3, "x y")]
+    got = packing.pack(spark.createDataFrame(rows, DOC)).orderBy("doc_id", "offset").collect()
+    ids = np.array([64, 220, 50256, 275, 0], "<u4")
+    assert got[0]["length"] == 5 and got[0]["ids_crc32"] == zlib.crc32(ids.tobytes())
+    assert len({r["sequence_id"] for r in got}) == 1 and sorted(r["offset"] for r in got) == [0, 5, 8, 11]
+
+
 def test_packing_edges(edges, empty):
     rows = packing.pack(edges).collect()
     assert sum(r["length"] == 1 for r in rows) == 3 and len({r["doc_id"] for r in rows}) == 7
