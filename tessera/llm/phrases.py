@@ -9,8 +9,10 @@ prefix), and the largest extension (its largest entry).
 
 Level by level, without ever holding the counts in one place:
 
-1. Texts become blocks of about ``BLOCK_WORDS`` words, numbered by the words of
-   the block, once.
+1. Words and pairs of words are counted by hash bucket; one bit per bucket says
+   whether it was filled ``min_count`` times (``frequent``, at most 64 MB).  Where no bit
+   stands no phrase can, so most positions leave here; a bit too many only costs work.
+   Texts become blocks of about ``BLOCK_WORDS`` words and marks, numbered within the block.
 2. Each block builds its stripes of the level (one row per hash range: prefixes,
    and each one's next words and counts behind one another) from the positions
    where both the phrase so far and the one a word later were counted
@@ -46,7 +48,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import require, text_or_empty
-from tessera.llm.lm import _pack, _unpack
+from tessera.llm.lm import _pack, _pack_sorted, _unpack, _unpack_sorted
 from tessera.session import materialize
 
 MAX_WORDS = 5
@@ -55,104 +57,214 @@ TOP = 2000
 SCALE = 1000                # of a score
 COVERED = 100               # a phrase goes where a longer one has this many per cent of its occurrences
 UNKNOWN = "und"
-BLOCK_WORDS = 1_000_000
-ENTRIES_PER_RANGE = 1 << 20
-MIN_RANGES = 32
+BLOCK_WORDS = 3_000_000
+WORDS_PER_RANGE = 1 << 22
+MIN_RANGES = 32             # a power of 2
 SLICES = 16
+MIN_BITS, MAX_BITS = 16, 29     # log2 of the buckets of ``frequent``
 
 _LOWER_CUT = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r",
                              b"abcdefghijklmnopqrstuvwxyz \n\n\n\n\n\n\n\n\n")
 _NONE, _BREAK = 0, 1        # block numbers of an empty field and of a piece's end
 OTHER = 0                   # no phrase or word has this number
 
-BLOCK = "block string, words binary, last binary, ids binary"
 STRIPES = "range int, prefixes binary, sizes binary, nexts binary, counts binary"
 MERGED = "block string, range int, ids binary, prefix bigint, next bigint, id bigint, n bigint, most bigint"
 
 
 # ------------------------------------------------------------------ blocks
 
-def _blocks(limit: int):
-    """mapInArrow body: documents in; per block its words as numbers, and its vocabulary."""
+def _blocks(batches: Iterator[pa.RecordBatch], limit: int):
+    """The documents of a task in blocks of about ``limit`` words: the words as
+    numbers (from 2; 1 ends a piece), and by number language and word."""
+    def fresh():
+        return array.array("I"), itertools.count(2), {}
+
+    def block(ids, by_lang):
+        tokens = np.frombuffer(ids, np.uint32).astype(np.int64)
+        names = [None] * (2 + sum(len(d) - 2 for d in by_lang.values()))
+        for lang, d in by_lang.items():
+            mark = lang.encode("utf-8", "surrogatepass") + b"\n"    # no word holds a line break
+            for w, k in d.items():
+                if k > _BREAK:
+                    names[k] = mark + w
+        return tokens[tokens != _NONE], names
+
+    ids, numbers, by_lang = fresh()
+    for b in batches:
+        for lang, text in zip(b.column("lang").to_pylist(), b.column("text")):
+            d = by_lang.get(lang)
+            if d is None:
+                d = by_lang[lang] = defaultdict(numbers.__next__, {b"": _NONE, b"\n": _BREAK})
+            data = text.as_py().encode("utf-8", "surrogatepass").translate(_LOWER_CUT)
+            ids.extend([d[w] for w in data.replace(b"\n", b" \n ").split(b" ")])
+            ids.append(_BREAK)
+            if len(ids) >= limit:
+                yield block(ids, by_lang)
+                ids, numbers, by_lang = fresh()
+    if ids:
+        yield block(ids, by_lang)
+
+
+def _pack_positions(a: np.ndarray) -> bytes:
+    """Like ``_pack``, for values by text position: passages that a block holds
+    several times are found however far apart they are."""
+    import zstandard
+
+    planes = np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T
+    how = zstandard.ZstdCompressionParameters.from_level(5, window_log=23, enable_ldm=True, ldm_min_match=16)
+    return zstandard.ZstdCompressor(compression_params=how).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def _pack_names(names: list[bytes]) -> bytes:
+    import zstandard
+
+    sizes = np.array([len(names), *map(len, names)], np.uint32)
+    return zstandard.ZstdCompressor(level=3).compress(sizes.tobytes() + b"".join(names))
+
+
+def _unpack_names(data: bytes) -> list[bytes]:
+    import zstandard
+
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    n = int(np.frombuffer(raw, np.uint32, 1)[0])
+    cuts = (np.cumsum(np.frombuffer(raw, np.uint32, n + 1)[1:]) + 4 * (n + 1)).tolist()
+    return [raw[a:b] for a, b in zip([4 * (n + 1), *cuts], cuts)]
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        x = x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        x ^= x >> np.uint64(32)
+        x *= np.uint64(0xD6E8FEB86659FD93)
+        return x ^ (x >> np.uint64(29))
+
+
+def _of_range(key: np.ndarray, ranges: int) -> np.ndarray:
+    """Hash range of 64-bit keys; ``ranges`` is a power of 2."""
+    return (_mixed(key) & np.uint64(ranges - 1)).astype(np.int64)
+
+
+def _hashes(tokens: np.ndarray, names: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash per word of the vocabulary; positions where a pair of words starts, and its hash."""
+    word = np.array([0, 0, *[xxhash.xxh64_intdigest(w) for w in names[2:]]], np.uint64)
+    at = np.flatnonzero((tokens[:-1] > _BREAK) & (tokens[1:] > _BREAK))
+    with np.errstate(over="ignore"):
+        pair = _mixed(word[tokens[at]] * np.uint64(3) + _mixed(word[tokens[at + 1]]))
+    return word, at, pair
+
+
+def _bucket_counts(limit: int, bits: int, ranges: int):
+    """mapInArrow body: how often words and pairs fall into each of ``2^bits`` hash
+    buckets; a row per range of buckets."""
+    low = bits - ranges.bit_length() + 1
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def fresh():
-            numbers = itertools.count(2)
-            by_lang: dict[str, defaultdict] = {}
-            return array.array("I"), numbers, by_lang
-
-        def flush(ids, by_lang):
-            tokens = np.frombuffer(ids, np.uint32)
-            tokens = tokens[tokens != _NONE]
-            names = [None] * (2 + sum(len(d) - 2 for d in by_lang.values()))
-            for lang, d in by_lang.items():
-                mark = lang.encode("utf-8", "surrogatepass") + b"\n"    # no word holds a line break
-                for w, k in d.items():
-                    if k > _BREAK:
-                        names[k] = mark + w
-            return pa.RecordBatch.from_arrays(
-                [pa.array([uuid.uuid4().hex]), pa.array([_pack(tokens)], pa.binary()),
-                 pa.array([names[2:]], pa.list_(pa.binary())), pa.array([int((tokens > _BREAK).sum())], pa.int64())],
-                ["block", "words", "names", "n"])
-
-        ids, numbers, by_lang = fresh()
-        for b in batches:
-            for lang, text in zip(b.column("lang").to_pylist(), b.column("text")):
-                d = by_lang.get(lang)
-                if d is None:
-                    d = by_lang[lang] = defaultdict(numbers.__next__, {b"": _NONE, b"\n": _BREAK})
-                data = text.as_py().encode("utf-8", "surrogatepass").translate(_LOWER_CUT)
-                ids.extend([d[w] for w in data.replace(b"\n", b" \n ").split(b" ")])
-                ids.append(_BREAK)
-                if len(ids) >= limit:
-                    yield flush(ids, by_lang)
-                    ids, numbers, by_lang = fresh()
-        if ids:
-            yield flush(ids, by_lang)
+        for tokens, names in _blocks(batches, limit):
+            word, _, pair = _hashes(tokens, names)
+            shift = np.uint64(64 - bits)
+            buckets, counts = np.unique(np.concatenate([word[tokens[tokens > _BREAK]] >> shift, pair >> shift]),
+                                        return_counts=True)
+            cut = np.searchsorted(buckets, np.arange(ranges + 1, dtype=np.uint64) << np.uint64(low))
+            rows = [(r, _pack(np.diff(buckets[a:b], prepend=np.uint64(r << low)).astype(np.uint32)),
+                     _pack(counts[a:b].astype(np.uint32))) for r, (a, b) in enumerate(zip(cut, cut[1:])) if a < b]
+            if rows:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))],
+                    ["range", "buckets", "counts"])
 
     return run
 
 
-def _of_range(key: np.ndarray, ranges: int) -> np.ndarray:
-    """Hash range of 64-bit keys (multiplicative hashing, the highest bits)."""
-    with np.errstate(over="ignore"):
-        x = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        x ^= x >> np.uint64(32)
-        x *= np.uint64(0xD6E8FEB86659FD93)
-    return (x >> np.uint64(64 - ranges.bit_length() + 1)).astype(np.int64) if ranges > 1 else np.zeros(len(key), np.int64)
+def _frequent_buckets(min_count: int, bits: int, ranges: int):
+    """Per range of buckets one bit each: filled often enough or not."""
+    width = 1 << (bits - ranges.bit_length() + 1)
+
+    def run(key, table):
+        total = np.zeros(width, np.int64)
+        for gaps, counts in zip(table.column("buckets").to_pylist(), table.column("counts").to_pylist()):
+            at = np.cumsum(_unpack(gaps, np.uint32).astype(np.int64))
+            total[at] += _unpack(counts, np.uint32)
+        return pa.table({"range": pa.array([key[0].as_py()], pa.int32()),
+                         "bits": pa.array([np.packbits(total >= min_count).tobytes()], pa.binary())})
+
+    return run
+
+
+def frequent(src: DataFrame, n_words: int, min_count: int, block_words: int) -> tuple[np.ndarray, int]:
+    """A bitmap of hash buckets that may hold a word or pair counted ``min_count``
+    times: every one that is sets its bit, so what finds none can be left out.
+
+    Its size is bounded by ``MAX_BITS`` (64 MB); beyond that it leaves out less, and no phrase is ever lost."""
+    bits = min(MAX_BITS, max(MIN_BITS, (n_words // 4).bit_length()))
+    ranges = min(1 << (bits - 10), 1024)
+    rows = (src.mapInArrow(_bucket_counts(block_words, bits, ranges), "range int, buckets binary, counts binary")
+            .groupBy("range").applyInArrow(_frequent_buckets(min_count, bits, ranges), "range int, bits binary").collect())
+    out = np.zeros((ranges, (1 << bits) // 8 // ranges), np.uint8)
+    for r in rows:
+        out[r["range"]] = np.frombuffer(r["bits"], np.uint8)
+    return out.ravel(), bits
+
+
+def _holds(bitmap: np.ndarray, bits: int, h: np.ndarray) -> np.ndarray:
+    b = (h >> np.uint64(64 - bits)).astype(np.int64)
+    return (bitmap[b >> 3] >> (7 - (b & 7)).astype(np.uint8) & 1).astype(bool)
+
+
+def _needed(start: np.ndarray, level: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions covered by phrases of ``level`` words at ``start``, and those with
+    one empty position behind each stretch."""
+    step = np.zeros(n + 1, np.int32)
+    np.add.at(step, start, 1)
+    np.add.at(step, np.minimum(start + level, n), -1)
+    needed = np.cumsum(step[:-1]) > 0
+    return needed, needed | np.append(False, needed[:-1])
 
 
-def _first_stripes(ranges: int):
-    """Level 1, the stripes of the empty prefixes: per range the block's words
-    (with their language) and counts; and the block with the order of its entries."""
+def _first_stripes(limit: int, ranges: int, shared, bits: int):
+    """Level 1, the stripes of the empty prefixes: per block and range the words
+    (with their language) that may be frequent and their counts, the others under no word; and
+    the block's positions in pairs that may be frequent."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                block = batch.column("block")[i].as_py()
-                tokens = _unpack(batch.column("words")[i].as_py(), np.uint32).astype(np.int64)
-                names = batch.column("names")[i].as_py()
-                counts = np.bincount(tokens, minlength=len(names) + 2)[2:]
-                where = _of_range(np.array([xxhash.xxh64_intdigest(w) for w in names], np.uint64), ranges)
-                by = np.argsort(where, kind="stable")
-                number = np.zeros(len(names) + 2, np.uint32)    # entry of a word, from 1; 0 for a break
-                number[2 + by] = np.arange(1, len(names) + 1)
-                last = _pack(number[tokens])
-                yield _first_row(block, state=last)
-                cut = np.searchsorted(where[by], np.arange(ranges + 1))
-                for r in np.flatnonzero(np.diff(cut)).tolist():
-                    part = by[cut[r]:cut[r + 1]]
-                    yield _first_row(block, r, [names[k] for k in part.tolist()], counts[part].tolist())
+        bitmap = shared.value
+        for tokens, names in _blocks(batches, limit):
+            block = uuid.uuid4().hex
+            word, at, pair = _hashes(tokens, names)
+            counts = np.bincount(tokens, minlength=len(names))
+            known = np.flatnonzero(_holds(bitmap, bits, word) & (np.arange(len(names)) > _BREAK))
+            where = _of_range(word[known], ranges)
+            by = np.array(sorted(range(len(known)), key=lambda k: (where[k], names[known[k]])), np.int64)
+            known, where = known[by], where[by]
+            number = np.zeros(len(names), np.int64)     # entry of a word, from 1
+            number[known] = np.arange(1, len(known) + 1)
+            needed, kept = _needed(at[_holds(bitmap, bits, pair)], 2, len(tokens))
+            last = np.where(needed, number[tokens], 0)[kept]
+            # how often each word occurs where no position is kept: its stripe counts that under OTHER
+            rest = counts[known] - np.bincount(last, minlength=len(known) + 1)[1:]
+            yield _first_row(block, state=_pack_positions(last.astype(np.uint32)), rest=_pack(rest.astype(np.uint32)))
+            others: dict[bytes, int] = defaultdict(int)
+            for k in np.flatnonzero((number == 0) & (np.arange(len(names)) > _BREAK)).tolist():
+                others[names[k].rpartition(b"\n")[0] + b"\n"] += int(counts[k])
+            if others:
+                yield _first_row(None, 0, list(others), list(others.values()))
+            cut = np.searchsorted(where, np.arange(ranges + 1))
+            for r in np.flatnonzero(np.diff(cut)).tolist():
+                part = known[cut[r]:cut[r + 1]]
+                yield _first_row(block, r, [names[k] for k in part.tolist()], counts[part].tolist())
 
     return run
 
 
-_FIRST = "block string, last binary, range int, names array<binary>, counts array<bigint>"
+_FIRST = "block string, last binary, rest binary, range int, names binary, counts binary"
 
 
-def _first_row(block, range_=None, names=None, counts=None, state=None) -> pa.RecordBatch:
+def _first_row(block, range_=None, names=None, counts=None, state=None, rest=None) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array([block]), pa.array([state], pa.binary()), pa.array([range_], pa.int32()),
-         pa.array([names], pa.list_(pa.binary())), pa.array([counts], pa.list_(pa.int64()))],
-        ["block", "last", "range", "names", "counts"])
+        [pa.array([block], pa.string()), pa.array([state], pa.binary()), pa.array([rest], pa.binary()),
+         pa.array([range_], pa.int32()),
+         pa.array([None if names is None else _pack_names(names)], pa.binary()),
+         pa.array([None if counts is None else _pack(np.array(counts, np.uint64))], pa.binary())],
+        ["block", "last", "rest", "range", "names", "counts"])
 
 
 _WORDS = "block string, range int, ids binary, lang string, word string, id bigint, n bigint"
@@ -163,16 +275,16 @@ def _merge_first(min_count: int):
     often enough, answers to the blocks, and per language the slice's sum (no word)."""
     def run(key, table):
         total: dict[bytes, int] = defaultdict(int)
-        asked = list(zip(table.column("block").to_pylist(), table.column("names").to_pylist(),
-                         table.column("counts").to_pylist()))
+        asked = [(block, _unpack_names(names), _unpack(counts, np.uint64).tolist()) for block, names, counts in
+                 zip(*[table.column(c).to_pylist() for c in ("block", "names", "counts")])]
         for _, names, counts in asked:
             for w, c in zip(names, counts):
                 total[w] += c
         r = key[0].as_py()
-        kept = sorted(w for w, c in total.items() if c >= min_count)
+        kept = sorted(w for w, c in total.items() if c >= min_count and not w.endswith(b"\n"))
         number = {w: (r << 32) + k for k, w in enumerate(kept, 1)}
         rows = [(block, r, _pack(np.array([number.get(w, 0) for w in names], np.uint64)), None, None, None, None)
-                for block, names, _ in asked]
+                for block, names, _ in asked if block is not None]
         sums: dict[bytes, int] = defaultdict(int)
         for w, c in total.items():
             sums[w.rpartition(b"\n")[0]] += c
@@ -213,8 +325,11 @@ def _extend(level: int, ranges: int):
         answers = sorted(zip(right.column("range").to_pylist(), right.column("ids").to_pylist()))
         numbers = np.concatenate([np.zeros(1, np.uint64), *[_unpack(x, np.uint64) for _, x in answers]])
         last = _unpack(left.column("last")[0].as_py(), np.uint32).astype(np.int64)
+        rest = more = np.zeros(0, np.int64)
         if level == 2:
             words, ids = last, numbers
+            rest = np.append(0, _unpack(left.column("rest")[0].as_py(), np.uint32).astype(np.int64))
+            more = np.flatnonzero((rest > 0) & (numbers > 0))
         else:
             words = _unpack(left.column("words")[0].as_py(), np.uint32).astype(np.int64)
             ids = _unpack(left.column("ids")[0].as_py(), np.uint64)
@@ -227,7 +342,9 @@ def _extend(level: int, ranges: int):
         following[going] = words[at[going] + level - 1]
         # a block's stripes: distinct (prefix, next), by range
         width = np.int64(words.max(initial=0) + 1)
-        pairs, inverse, count = np.unique(last[at] * width + following, return_inverse=True, return_counts=True)
+        pairs, inverse = np.unique(np.append(last[at] * width + following, more * width), return_inverse=True)
+        count = np.bincount(inverse, np.append(np.ones(len(at)), rest[more]))
+        inverse = inverse[:len(at)]
         prefix, nxt = numbers[pairs // width], ids[pairs % width]
         slice_ = nxt % np.uint64(SLICES)
         where = _of_range(prefix * np.uint64(SLICES) + slice_, ranges)
@@ -242,19 +359,17 @@ def _extend(level: int, ranges: int):
         for r in np.flatnonzero(np.diff(cut)).tolist():
             a, b = cut[r], cut[r + 1]
             heads = np.flatnonzero(np.append(True, prefix[a + 1:b] != prefix[a:b - 1]))
-            rows.append((block, None, None, None, r, _pack(prefix[a:b][heads]),
-                         _pack(np.diff(np.append(heads, b - a)).astype(np.uint32)), _pack(nxt[a:b]), _pack(count[a:b])))
+            rows.append((block, None, None, None, r, _pack_sorted(prefix[a:b][heads]),
+                         _pack(np.diff(np.append(heads, b - a)).astype(np.uint32)), _pack_sorted(nxt[a:b]),
+                         _pack(count[a:b])))
         # positions of no phrase that goes on leave; one empty position stands for each gap
-        needed = np.zeros(len(last) + 1, np.int64)
         start = np.flatnonzero(new_last)
-        np.add.at(needed, start, 1)
-        np.add.at(needed, np.minimum(start + level, len(last)), -1)
-        needed = np.cumsum(needed[:-1]) > 0
-        kept = needed | np.append(False, needed[:-1])
+        needed, kept = _needed(start, level, len(last))
         words, new_last = np.where(needed, words, 0)[kept], new_last[kept]
         used = np.unique(np.append(0, words))
         if len(start):
-            rows.append((block, _pack(np.searchsorted(used, words).astype(np.uint32)), _pack(new_last.astype(np.uint32)),
+            rows.append((block, _pack_positions(np.searchsorted(used, words).astype(np.uint32)),
+                         _pack_positions(new_last.astype(np.uint32)),
                          _pack(ids[used]), *[None] * 5))
         return _rows(rows or [(block, *[None] * 8)]).slice(0, len(rows))
 
@@ -267,9 +382,9 @@ def _merge(min_count: int):
     def run(key, table):
         r = key[0].as_py()
         cells = [table.column(c).to_pylist() for c in ("prefixes", "sizes", "nexts", "counts")]
-        prefixes = [np.repeat(_unpack(p, np.uint64), _unpack(s, np.uint32)) for p, s in zip(*cells[:2])]
+        prefixes = [np.repeat(_unpack_sorted(p), _unpack(s, np.uint32)) for p, s in zip(*cells[:2])]
         prefix = np.concatenate(prefixes)
-        nxt = np.concatenate([_unpack(x, np.uint64) for x in cells[2]])
+        nxt = np.concatenate([_unpack_sorted(x) for x in cells[2]])
         count = np.concatenate([_unpack(x, np.uint32) for x in cells[3]]).astype(np.int64)
         by = np.lexsort((nxt, prefix))
         p, x = prefix[by], nxt[by]
@@ -316,11 +431,12 @@ def stripes(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max
     require(docs, text_col, lang_col)
     src = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"),
                       text_or_empty(text_col).alias("text"))
-    blocks = materialize(src.mapInArrow(_blocks(block_words), "block string, words binary, names array<binary>, n bigint"),
-                         "phrase-blocks")
-    n = blocks.agg(F.sum("n")).collect()[0][0] or 0
-    ranges = max(MIN_RANGES, 1 << (n // ENTRIES_PER_RANGE).bit_length())
-    state = materialize(blocks.mapInArrow(_first_stripes(ranges), _FIRST), "phrase-stripes-1")
+    # about the number of words: it sizes ranges and bitmap only
+    n = (src.agg(F.sum(F.length("text"))).collect()[0][0] or 0) // 6
+    bitmap, bits = frequent(src, n, min_count, block_words)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+    ranges = max(MIN_RANGES, 1 << (n // WORDS_PER_RANGE).bit_length())
+    state = materialize(src.mapInArrow(_first_stripes(block_words, ranges, shared, bits), _FIRST), "phrase-stripes-1")
     merged = materialize(state.where(F.col("range").isNotNull()).groupBy("range")
                          .applyInArrow(_merge_first(min_count), _WORDS), "phrase-merged-1")
     words = merged.where(F.col("word").isNotNull()).select("id", "lang", "word", "n")
