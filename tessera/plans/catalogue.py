@@ -254,8 +254,8 @@ def q_similar_part_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_pair_sink(spark: SparkSession, sf: str) -> DataFrame:
-    """The sorted sink: rows written, file ranges that overlap, files read for the
-    pairs of one item and their number."""
+    """The sorted sink: rows written, file ranges that overlap, files read for one
+    pair, and the pairs of its first item."""
     pairs = sim.similar_pairs(ratings(Tables(spark, sf)), SIMILAR_MIN_SCORE, SIMILAR_MIN_STRENGTH)
     path = scratch_path(spark, "pairs")
     files.write_pairs(pairs, path, ranges=8)
@@ -265,8 +265,10 @@ def q_pair_sink(spark: SparkSession, sf: str) -> DataFrame:
     zone_facts = zones.withColumn("overlaps", after <= F.col("last")).agg(
         F.sum("rows").alias("n_rows"), F.count_if("overlaps").alias("n_overlaps"))
     of = files.read_pairs_of(spark, path, SIMILAR_ITEM)
-    return zone_facts.crossJoin(of.agg(F.countDistinct(F.col("_metadata.file_name")).alias("n_files_read"),
-                                       F.count(F.lit(1)).alias("n_pairs_of_item")))
+    other = of.agg(F.min("i2")).collect()[0][0]     # one row
+    n_read = len(files.read_pairs_of(spark, path, SIMILAR_ITEM, other).inputFiles()) if other is not None else 0
+    return zone_facts.crossJoin(of.agg(F.count(F.lit(1)).alias("n_pairs_of_item"))).select(
+        "n_rows", "n_overlaps", F.lit(n_read).cast("bigint").alias("n_files_read"), "n_pairs_of_item")
 
 
 def q_guarded_cosine_counts(spark: SparkSession, sf: str) -> DataFrame:

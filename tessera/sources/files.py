@@ -271,12 +271,17 @@ def pair_zones(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path.rstrip("/") + "_zones")
 
 
-def read_pairs_of(spark: SparkSession, path: str, item) -> DataFrame:
-    """The pairs whose first item is ``item``, from the files whose range holds it
-    (Parquet; usually one file, more for an item with many pairs)."""
-    t = F.lit(item)
-    zones = pair_zones(spark, path)
-    files = [r["file"] for r in zones.where((F.col("first.i1") <= t) & (F.col("last.i1") >= t)).select("file").collect()]
+def read_pairs_of(spark: SparkSession, path: str, item, other=None) -> DataFrame:
+    """The pairs whose first item is ``item`` (with ``other``: that one pair), from
+    the files whose range holds them (Parquet): one file for a pair, usually one
+    for an item, more for an item with many pairs."""
+    t, first, last = F.lit(item), F.col("first.i1"), F.col("last.i1")
+    holds, wanted = (first <= t) & (last >= t), F.col("i1") == t
+    if other is not None:
+        o = F.lit(other)
+        holds = holds & ((first < t) | (F.col("first.i2") <= o)) & ((last > t) | (F.col("last.i2") >= o))
+        wanted = wanted & (F.col("i2") == o)
+    files = [r["file"] for r in pair_zones(spark, path).where(holds).select("file").collect()]
     if not files:
         return spark.read.parquet(path).where(F.lit(False))
-    return spark.read.parquet(*[f"{path.rstrip('/')}/{f}" for f in files]).where(F.col("i1") == t)
+    return spark.read.parquet(*[f"{path.rstrip('/')}/{f}" for f in files]).where(wanted)

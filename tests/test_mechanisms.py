@@ -280,3 +280,5 @@ def test_zone_map_prunes_files(spark, tmp_path, fmt):
             got = files.read_pairs_of(spark, path, item)
             assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in pairs.where(F.col("i1") == item).collect())
             assert len(got.inputFiles()) <= 2 or item == 99
+        one = files.read_pairs_of(spark, path, 17, 57)
+        assert [tuple(r) for r in one.collect()] == [(17, 57, 28.5, 1)] and len(one.inputFiles()) == 1
