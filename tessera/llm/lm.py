@@ -23,8 +23,10 @@ The model is never held in one place.  The work runs in blocks of documents:
    block gets back the counts of its own n-grams, in its own order.  The number
    of ranges grows with the number of tokens, so a range stays of bounded size
    however long the documents are.
-3. Each block builds the automaton of its n-grams and traverses its documents,
-   all of them at once, position by position in numpy.
+3. Each block builds the automaton of its n-grams (states, arcs and failure arcs
+   as flat arrays) and traverses its tokens in lanes, side by side in numpy; each
+   lane carries its state.  A history unseen in training is no state: its failure
+   arc would weigh 0.
 
 n-grams are told apart by 64-bit hashes (xxHash of a word, mixed over the
 n-gram): among 10^12 n-grams about 3 * 10^4 are expected to share one.
@@ -38,6 +40,7 @@ they occur.  Without training documents every token has probability 1 (N = V =
 from __future__ import annotations
 
 import array
+import math
 import uuid
 from collections import defaultdict
 from collections.abc import Iterator
@@ -50,11 +53,12 @@ from pyspark.sql import functions as F
 from tessera.llm.common import require, text_or_empty, words
 from tessera.session import materialize
 
-ORDER = 2
+ORDER = 3
 PRIOR = 20.0          # Dirichlet weight m of the lower order
 BLOCK_TOKENS = 2_000_000
 TOKENS_PER_RANGE = 1 << 20
 MIN_RANGES = 32
+LANE = 64             # least number of tokens a lane of the traversal reads
 _END, _START = b" ", b"\n"  # no word holds white space
 
 
@@ -215,37 +219,112 @@ def _sum_range(key, table):
         names=["block", "level", "range", "counts", "tokens", "types"])
 
 
+class Automaton:
+    """The weighted automaton of a block's n-grams, in flat arrays.
+
+    State 0 is the root, the others are the seen histories of 1 to order - 1
+    tokens.  ``arc`` holds the sorted keys (state * words + token) of the seen
+    n-grams, ``weight`` and ``to`` their log-probability and next state;
+    ``fail`` and ``fail_weight`` belong to a state; the root has an arc for
+    every token (``root_weight``, ``root_to``)."""
+
+    def __init__(self, levels: list, counts: list[np.ndarray], firsts: np.ndarray, train_docs: int, n: int, v: int,
+                 prior: float):
+        self.words = len(levels[0][1])
+        self.order = len(counts)
+        per = []  # training count of every numbered k-gram
+        for k, ((_, gram_hash), c) in enumerate(zip(levels, counts), 1):
+            m = len(gram_hash) - (k == 1)
+            own = np.zeros(len(gram_hash))
+            own[np.argsort(gram_hash[:m])] = c
+            if k == 1:
+                own[m] = train_docs  # the start mark as a history
+            per.append(own)
+        self.known = per[0] > 0
+        base = 1 + np.cumsum([0, *map(len, per)])  # number of each level's first state
+        p = (per[0] + 1) / (n + v + 1)
+        self.root_weight = np.log10(p)
+        self.root_to = np.where(self.known & (self.order > 1), base[0] + np.arange(self.words), 0)
+        self.start = int(base[0]) + self.words - 1 if train_docs and self.order > 1 else 0
+        fails, seen_counts = [np.zeros(1, np.int64), np.zeros(self.words, np.int64)], [np.zeros(1), per[0]]
+        keys, weights, targets = [], [], []
+        for k in range(2, self.order + 1):
+            number, gram_hash = levels[k - 1]
+            ends = np.flatnonzero(number >= 0)
+            at = np.empty(len(gram_hash), np.int64)
+            at[number[ends]] = ends  # one place of each n-gram
+            below = levels[k - 2][0]
+            suffix, history = below[at], below[at - 1]
+            if k == 2:
+                first = np.zeros(len(below), bool)
+                first[firsts] = True
+                history = np.where(first[at], self.words - 1, history)
+            token = levels[0][0][at]
+            p = (per[k - 1] + prior * p[suffix]) / (per[k - 2][history] + prior)
+            seen = per[k - 1] > 0
+            keys.append(((base[k - 2] + history) * self.words + token)[seen])
+            weights.append(np.log10(p[seen]))
+            targets.append((base[k - 1] + np.arange(len(p)) if k < self.order else base[k - 2] + suffix)[seen])
+            if k < self.order:
+                fails.append(base[k - 2] + suffix)
+                seen_counts.append(per[k - 1])
+        self.fail = np.concatenate(fails)
+        self.fail_weight = np.log10(prior / (np.concatenate(seen_counts) + prior))
+        key = np.concatenate([np.empty(0, np.int64), *keys])
+        by = np.argsort(key)
+        self.arc = np.append(key[by], np.int64(-1))  # the last entry stands for 'none'
+        self.weight = np.concatenate([np.empty(0), *weights])[by]
+        self.to = np.concatenate([np.empty(0, np.int64), *targets])[by]
+
+    def step(self, state: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(weight taken, next state) of each lane: its arc, or the failure arcs down to a state that has one."""
+        taken, out = np.zeros(len(state)), np.zeros(len(state), np.int64)
+        lane = np.arange(len(state))
+        for _ in range(self.order - 1):
+            inner = state > 0
+            if not inner.any():
+                break
+            key = state * self.words + token
+            i = np.searchsorted(self.arc[:-1], key)
+            hit = inner & (self.arc[i] == key)
+            taken[lane[hit]] += self.weight[i[hit]]
+            out[lane[hit]] = self.to[i[hit]]
+            lane, state, token = lane[~hit], state[~hit], token[~hit]
+            taken[lane] += self.fail_weight[state]
+            state = self.fail[state]
+        taken[lane] += self.root_weight[token]
+        out[lane] = self.root_to[token]
+        return taken, out
+
+
 def traverse(tokens: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, counts: list[np.ndarray],
              train_docs: int, n: int, v: int, prior: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Step 3: (known tokens, base score, score) of each document of a block.
 
     ``counts[k-1]`` are the training counts of the block's k-grams in hash
-    order.  The automaton's state at a position is the longest history there;
-    its number at level k is that of the k-gram ending one position earlier."""
+    order.  The block's tokens are read in lanes of equal length, side by side.
+    Each lane carries its state from token to token; a document's first token
+    sets it to the start mark's.  A lane that begins inside a document first
+    reads the order - 1 tokens before it from the root, which lead to the state
+    that the whole text before it leads to."""
     firsts = np.cumsum(sizes) - sizes
-    levels = _levels(tokens, firsts, hashes, len(counts))
-    known = np.zeros(len(tokens))
-    p = below = None
-    for k, ((number, gram_hash), c) in enumerate(zip(levels, counts), 1):
-        m = len(gram_hash) - (k == 1)
-        arcs = np.zeros(max(1, len(gram_hash)))
-        arcs[np.argsort(gram_hash[:m])] = c
-        if k == 1:
-            arcs[m] = train_docs  # the start mark as a history
-            known = arcs[tokens] > 0
-            p = (arcs[tokens] + 1) / (n + v + 1)
-            base = np.log10(p)
-        else:
-            state = np.empty(len(tokens))
-            state[1:] = below[:-1]
-            if k == 2:
-                state[firsts] = train_docs
-            ok = number >= 0
-            # a seen n-gram's arc, or the failure arc of its state times the shorter history's weight
-            p[ok] = (arcs[number[ok]] + prior * p[ok]) / (state[ok] + prior)
-        below = arcs[number]
+    order = len(counts)
+    machine = Automaton(_levels(tokens, firsts, hashes, order), counts, firsts, train_docs, n, v, prior)
+    length = max(LANE, math.isqrt(len(tokens)))
+    begin = np.arange(0, len(tokens), length)
+    is_first = np.zeros(len(tokens), bool)
+    is_first[firsts] = True
+    state, logp = np.zeros(len(begin), np.int64), np.empty(len(tokens))
+    for i in range(1 - order, length):
+        at = begin + i
+        live = (at >= 0) & (at < len(tokens))
+        at = at[live]
+        taken, state[live] = machine.step(np.where(is_first[at], machine.start, state[live]), tokens[at])
+        if i >= 0:
+            logp[at] = taken
     add = np.add.reduceat
-    return add(known.astype(np.int64), firsts), add(base, firsts), add(np.log10(p), firsts)
+    return (add(machine.known[tokens].astype(np.int64), firsts), add(machine.root_weight[tokens], firsts),
+            add(logp, firsts))
 
 
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER,
