@@ -17,7 +17,8 @@ an earlier line is near to it; then all its occurrences go.
 3. The other lines emit their deletion variants as hashed keys: for each word p
    of the half that may differ, the line without p, once together with p and the
    length (two equally long lines that share it differ in word p alone) and once
-   by itself, to meet a shorter line as it is.  All members of such a key are
+   by itself, to meet a shorter line as it is.  The keys are cut from prefix
+   hashes, so a deletion costs the same in lines of any length.  All members of such a key are
    within one edit by construction, so the earliest one is found by ``min`` in an
    aggregate - the members of a large group never meet as pairs.
 4. Each line's earliest near line is checked on the words of both (edit distance
@@ -108,8 +109,31 @@ def _lines(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.Rec
                 ["did", "th", "line", "h1", "h2", "keys"])
 
 
+_PRIME = (1 << 61) - 1
+_BASE = 0x1A2B3C4D5E6F7081
+_BACK = pow(_BASE, -1, _PRIME)
+
+
+def prefix_hashes(words: list[bytes]) -> list[int]:
+    """Polynomial hashes of the first 0, 1, .. words, modulo a Mersenne prime."""
+    import xxhash
+
+    out, value, power = [0], 0, 1
+    for w in words:
+        value = (value + (xxhash.xxh64_intdigest(w) % (_PRIME - 1) + 1) * power) % _PRIME
+        power = power * _BASE % _PRIME
+        out.append(value)
+    return out
+
+
+def without(prefix: list[int], p: int) -> int:
+    """Hash of the words of ``prefix`` without word p."""
+    return (prefix[p] + (prefix[-1] - prefix[p + 1]) * _BACK) % _PRIME
+
+
 def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(h1, h2, n, halves, as_shorter, words) -> keyed rows of step 3."""
+    """(h1, h2, n, halves, as_shorter, words) -> keyed rows of step 3.  A word's
+    deletion costs the same whatever the length of the line."""
     import xxhash
 
     h64 = xxhash.xxh64_intdigest
@@ -120,15 +144,14 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for r, (line, halves, shorter) in enumerate(zip(part.column("words").to_pylist(),
                                                             part.column("halves").to_pylist(),
                                                             part.column("as_shorter").to_pylist())):
-                w = line.encode("utf-8", "surrogatepass")
-                n = w.count(b" ") + 1
-                end = [*accumulate(map(len, w.split(b" ")))]
+                w = line.encode("utf-8", "surrogatepass").split(b" ")
+                n = len(w)
+                prefix = prefix_hashes(w)
                 half = n // 2
                 places = range(half if halves == 1 else 0, half if halves == 2 else n) if halves else ()
                 got = set()
                 for p in places:
-                    a = end[p - 1] + p if p else 0
-                    v = h64(w[:a] + w[end[p] + p + 1:] if p < n - 1 else w[:max(0, a - 1)], 1)
+                    v = without(prefix, p)
                     row.append(r)
                     role.append(0)
                     key.append(h64(v.to_bytes(8, "little") + n.to_bytes(8, "little") + p.to_bytes(8, "little"), 2))
@@ -136,11 +159,11 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         got.add(v)
                         row.append(r)
                         role.append(1)
-                        key.append(v)
+                        key.append(h64(v.to_bytes(8, "little"), 1))
                 if shorter:
                     row.append(r)
                     role.append(2)
-                    key.append(h64(w, 1))
+                    key.append(h64(prefix[-1].to_bytes(8, "little"), 1))
             at = pa.array(row, pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [_signed(key), pa.array(role, pa.int8()), part.column("h1").take(at), part.column("h2").take(at),

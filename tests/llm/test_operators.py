@@ -523,6 +523,26 @@ def test_line_dedup_equals_brute_force(spark):
     assert got == brute_lines(rows) and len(got) > 100
 
 
+def test_line_hashes_of_deletions():
+    rng = random.Random(3)
+    for _ in range(300):
+        w = [rng.choice([b"a", b"b", b"ab"]) for _ in range(rng.randint(1, 8))]
+        prefix = line_dedup.prefix_hashes(w)
+        for p in range(len(w)):
+            assert line_dedup.without(prefix, p) == line_dedup.prefix_hashes(w[:p] + w[p + 1:])[-1]
+    # different short sequences have different hashes
+    many = {(x, y, z) for x in (b"a", b"b", b"ab", b"") for y in (b"a", b"b", b"ab", b"") for z in (b"a", b"", b"b")}
+    assert len({line_dedup.prefix_hashes(list(w))[-1] for w in many}) == len(many)
+
+
+def test_near_lines_of_20000_words(spark):
+    w = [f"w{i}" for i in range(20_000)]
+    rows = [(1, " ".join(w)), (2, " ".join([*w[:9_000], "new", *w[9_001:]])), (3, " ".join(w[:-1])),
+            (4, " ".join([*w[:5], "x", "y", *w[7:]]))]
+    got = line_dedup.repeated_lines(spark.createDataFrame(rows, DOC)).collect()
+    assert sorted((r["doc_id"], r["kept_doc_id"], r["distance"]) for r in got) == [(2, 1, 1), (3, 1, 1)]
+
+
 def test_lines_go_and_documents_left_empty_too(spark, edges, empty):
     rows = [(1, "a b c d e f\nx\n\nz"), (2, "a b c d e g\nown line"), (3, "x"), (4, ""), (5, None), (6, "x\n\nkept")]
     got = {r["doc_id"]: r["text"] for r in line_dedup.drop_repeated_lines(spark.createDataFrame(rows, DOC)).collect()}
