@@ -65,10 +65,16 @@ _END, _START = b" ", b"\n"  # no word holds white space
 def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """64-bit hash of a pair of 64-bit hashes (splitmix64 finaliser)."""
     with np.errstate(over="ignore"):
-        x = a * np.uint64(0x9E3779B97F4A7C15) + (b ^ (b >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return x ^ (x >> np.uint64(31))
+        x = b >> np.uint64(29)
+        x ^= b
+        x *= np.uint64(0xD6E8FEB86659FD93)
+        x += a * np.uint64(0x9E3779B97F4A7C15)
+        x ^= x >> np.uint64(30)
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        x ^= x >> np.uint64(27)
+        x *= np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+        return x
 
 
 def _pack(a: np.ndarray) -> bytes:
@@ -102,23 +108,27 @@ def _levels(tokens: np.ndarray, firsts: np.ndarray, hashes: np.ndarray, order: i
     Returns per level k = 1.. (number of the k-gram ending at each position, or
     -1 where the history is too short; hash of each numbered k-gram).
     """
-    place = np.arange(len(tokens)) - np.repeat(firsts, np.diff(np.append(firsts, len(tokens))))
+    tokens = tokens.astype(np.int32)
+    place = np.arange(len(tokens), dtype=np.int32)
+    place -= np.repeat(firsts, np.diff(np.append(firsts, len(tokens)))).astype(np.int32)
     out = [(tokens, hashes)]
     for k in range(2, order + 1):
         below, below_hash = out[-1]
-        history = np.empty(len(tokens), np.int64)
-        history[1:] = below[:-1]
+        key = np.empty(len(tokens), np.int64)  # number of the history, then of the token
+        key[1:] = below[:-1]
         if k == 2:
-            history[firsts] = len(hashes) - 1
-            ok = np.ones(len(tokens), bool)
-        else:
-            ok = place >= k - 2
-        key = history * np.int64(len(hashes)) + tokens
+            key[firsts] = len(hashes) - 1
+        key *= len(hashes)
+        key += tokens
+        ok = place >= k - 2
         u, inverse = np.unique(key[ok], return_inverse=True)
-        number = np.full(len(tokens), -1, np.int64)
+        del key
+        number = np.full(len(tokens), -1, np.int32)
         number[ok] = inverse
-        h, w = np.divmod(u, np.int64(len(hashes)))
-        out.append((number, _mix(below_hash[h], hashes[w])))
+        del inverse
+        h = u // len(hashes)
+        u -= h * len(hashes)
+        out.append((number, _mix(below_hash[h], hashes[u])))
     return out
 
 
@@ -246,35 +256,41 @@ class Automaton:
         self.root_weight = np.log10(p)
         self.root_to = np.where(self.known & (self.order > 1), base[0] + np.arange(self.words), 0)
         self.start = int(base[0]) + self.words - 1 if train_docs and self.order > 1 else 0
-        fails, seen_counts = [np.zeros(1, np.int64), np.zeros(self.words, np.int64)], [np.zeros(1), per[0]]
-        keys, weights, targets = [], [], []
+        fails, fail_weights = [np.zeros(1 + self.words, np.int32)], [np.zeros(1), np.log10(prior / (per[0] + prior))]
+        arcs, weights, targets = [], [], []  # a level's states come after those of the shorter histories
         for k in range(2, self.order + 1):
-            number, gram_hash = levels[k - 1]
+            number = levels[k - 1][0]
+            at = np.empty(len(per[k - 1]), np.int32)
             ends = np.flatnonzero(number >= 0)
-            at = np.empty(len(gram_hash), np.int64)
             at[number[ends]] = ends  # one place of each n-gram
+            del ends
             below = levels[k - 2][0]
             suffix, history = below[at], below[at - 1]
             if k == 2:
                 first = np.zeros(len(below), bool)
                 first[firsts] = True
-                history = np.where(first[at], self.words - 1, history)
-            token = levels[0][0][at]
+                history[first[at]] = self.words - 1
             p = (per[k - 1] + prior * p[suffix]) / (per[k - 2][history] + prior)
-            seen = per[k - 1] > 0
-            keys.append(((base[k - 2] + history) * self.words + token)[seen])
+            key = base[k - 2] + history.astype(np.int64)
+            key *= self.words
+            key += levels[0][0][at]
+            del at, history
+            seen = np.flatnonzero(per[k - 1])
+            seen = seen[np.argsort(key[seen])]
+            arcs.append(key[seen])
+            del key
             weights.append(np.log10(p[seen]))
-            targets.append((base[k - 1] + np.arange(len(p)) if k < self.order else base[k - 2] + suffix)[seen])
+            targets.append((base[k - 1] + seen if k < self.order else base[k - 2] + suffix[seen]).astype(np.int32))
             if k < self.order:
-                fails.append(base[k - 2] + suffix)
-                seen_counts.append(per[k - 1])
-        self.fail = np.concatenate(fails)
-        self.fail_weight = np.log10(prior / (np.concatenate(seen_counts) + prior))
-        key = np.concatenate([np.empty(0, np.int64), *keys])
-        by = np.argsort(key)
-        self.arc = np.append(key[by], np.int64(-1))  # the last entry stands for 'none'
-        self.weight = np.concatenate([np.empty(0), *weights])[by]
-        self.to = np.concatenate([np.empty(0, np.int64), *targets])[by]
+                fails.append((base[k - 2] + suffix).astype(np.int32))
+                fail_weights.append(np.log10(prior / (per[k - 1] + prior)))
+        del per, p
+        self.fail, self.fail_weight = np.concatenate(fails), np.concatenate(fail_weights)
+        self.arc = np.concatenate([*arcs, np.full(1, -1)])  # the last entry stands for 'none'
+        del arcs
+        self.weight = np.concatenate([*weights, np.empty(0)])
+        del weights
+        self.to = np.concatenate([*targets, np.empty(0, np.int32)])
 
     def step(self, state: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(weight taken, next state) of each lane: its arc, or the failure arcs down to a state that has one."""
