@@ -161,14 +161,25 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     def count_words(raw):
         return let(normalise(raw), lambda n: F.when(n == "", 0).otherwise(F.size(F.split(n, " "))))
 
-    def place(x):
-        """First and last word of a matched line or paragraph, in the whole text."""
-        parts = F.when(x["unit"] == "line", F.split(t, "\n")).otherwise(F.split(t, BREAK))
-        before = let(parts, lambda p: F.aggregate(
-            F.slice(p, F.lit(1), x["at"]), F.lit(0), lambda n, raw: n + count_words(raw)))
-        own = count_words(F.get(parts, x["at"]))
-        return let(before, lambda n: F.struct(n.alias("first"), (n + own - 1).alias("last"),
-                                              x["best"]["common"].alias("common")))
+    def starts_of(parts):
+        """Words of the whole text before each part, and in the end all words: a mark
+        per part among its words, whose places are counted in one pass."""
+        marks = F.flatten(F.transform(F.concat(parts, F.array(F.lit(""))), lambda raw: F.concat(
+            F.array(F.lit(True)), F.array_repeat(F.lit(False), count_words(raw)))))
+        at = F.filter(F.transform(marks, lambda mark, j: F.when(mark, j)), lambda j: j.isNotNull())
+        return F.transform(at, lambda j, i: j - i)
+
+    def places(held):
+        """First and last word of every matched line or paragraph, in the whole text."""
+        def place(x, lines, blocks):
+            def bound(i):
+                return F.when(x["unit"] == "line", F.get(lines, i)).otherwise(F.get(blocks, i))
+
+            return F.struct(bound(x["at"]).alias("first"), (bound(x["at"] + 1) - 1).alias("last"),
+                            x["best"]["common"].alias("common"))
+
+        return let(starts_of(F.split(t, "\n")), lambda lines: let(starts_of(F.split(t, BREAK)), lambda blocks: (
+            F.transform(held, lambda x: place(x, lines, blocks)))))
 
     def windows(b):
         """The best window of every template from each of its starts (see module text)."""
@@ -229,7 +240,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
         F.transform(parts, segment_match), lambda x: x["best"].isNotNull()).alias("held"))
     t = F.col("_text")
     row = row.where((F.size("found") > 0) | (F.size("held") > 0)).select(
-        "doc_id", "found", "held", F.transform("held", place).alias("places"))
+        "doc_id", "found", "held", F.when(F.size("held") > 0, places(F.col("held"))).otherwise(
+            F.array().cast("array<struct<first:int,last:int,common:int>>")).alias("places"))
     rest = F.when(F.size("found") > 0, apart(F.col("found"), F.col("places")))
     out = F.concat(
         F.transform("held", lambda x: F.struct(

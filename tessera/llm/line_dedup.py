@@ -5,7 +5,7 @@ words does not count; blank lines take no part and stay).  Two lines are equal,
 or near when one word is replaced, inserted or deleted and both have at least
 ``MIN_WORDS`` words (so at least 0.8 of the longer one agrees).  Occurrences are
 ordered by (doc_id, line number).  A line stays at its first occurrence, unless
-an earlier line is near to it; then all its occurrences go.
+an earlier line that stays is near to it; then all its occurrences go.
 
 1. One pass cuts the texts into lines: 128-bit hash, position, and four prefilter
    keys.  With one edit the first or the second half of a line is untouched; cut
@@ -21,8 +21,13 @@ an earlier line is near to it; then all its occurrences go.
    hashes, so a deletion costs the same in lines of any length.  All members of such a key are
    within one edit by construction, so the earliest one is found by ``min`` in an
    aggregate - the members of a large group never meet as pairs.
-4. Each line's earliest near line is checked on the words of both (edit distance
-   exactly one).
+4. Lines without an earlier near line stay.  A line goes if its earliest near line
+   is one of these.  The others (in a chain A, B, C line B goes, so C is near to no
+   line that stays) are decided in rounds, each written: a line goes once a near
+   earlier line stays, and stays once all its near earlier lines go.  Their number
+   is that of the longest chain of such lines; a round reads these lines' groups only.
+5. Each line's earliest near line that stays is checked on the words of both (edit
+   distance exactly one).
 
 Joins read written tables, so AQE can split the rows of a frequent line.
 
@@ -173,9 +178,62 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _POS = "struct<did:bigint,th:bigint,line:int>"
 
 
+def _least(rows: DataFrame, which: dict[str, Column]) -> DataFrame:
+    """Per key its rows ``n`` and, for each named condition, the first position of a
+    line of the same length, of a longer and of a shorter one."""
+    roles = {"same": 0, "longer": 1, "shorter": 2}
+    return rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *[
+        F.min(F.when((F.col("role") == role) & cond, F.col("first"))).alias(name + tag)
+        for tag, cond in which.items() for name, role in roles.items()])
+
+
+def _partner(tag: str) -> Column:
+    """Of a row's key, the first line that is near in the row's role."""
+    return (F.when(F.col("role") == 0, F.col("same" + tag)).when(F.col("role") == 1, F.col("shorter" + tag))
+            .otherwise(F.col("longer" + tag)))
+
+
+def _against_kept(best: DataFrame, rows: DataFrame) -> DataFrame:
+    """``(h1, h2, to)`` of the lines that go, ``to`` the earliest near line that stays
+    (step 4).  ``best`` holds every line with an earlier near line and the earliest one."""
+    line = ["h1", "h2"]
+    going = best.select(F.col("first").alias("to"), F.lit(True).alias("goes"))
+    best = materialize(best.join(going.hint("merge"), "to", "left")
+                       .withColumn("open", F.coalesce("goes", F.lit(False))).drop("goes"), "lines-best-open")
+    done = best.where(~F.col("open")).select(*line, "to")
+    state = best.where("open").select(*line, F.lit("open").alias("state"))
+    if state.isEmpty():
+        return done
+    # all rows that share a key with an open line; lines that are not in ``best`` stay
+    keys = rows.join(state.hint("merge"), line).select("key").distinct()
+    near = materialize(
+        rows.join(keys.hint("merge"), "key")
+        .join(best.select(*line, F.when(F.col("open"), "open").otherwise("goes").alias("was")).hint("merge"),
+              line, "left").withColumn("was", F.coalesce("was", F.lit("stays"))), "lines-chains")
+    mine = materialize(near.where("was = 'open'").drop("was"), "lines-open-rows")
+
+    def partners(state: DataFrame) -> DataFrame:
+        """Of each open line the first earlier near line that stays, and that is undecided."""
+        now = (near.join(state.hint("merge"), line, "left")
+               .withColumn("state", F.coalesce("state", "was")))
+        least = materialize(_least(now, {"_kept": F.col("state") == "stays", "_open": F.col("state") == "open"}),
+                            "lines-chain-groups")
+        return (mine.join(least, "key")
+                .select(*line, *[F.when(_partner(tag) < F.col("first"), _partner(tag)).alias(tag)
+                                 for tag in ("_kept", "_open")])
+                .groupBy(*line).agg(F.min("_kept").alias("kept"), F.min("_open").alias("undecided")))
+
+    while not state.where("state = 'open'").isEmpty():
+        new = (F.when(F.col("state") != "open", F.col("state")).when(F.col("kept").isNotNull(), "goes")
+               .when(F.col("undecided").isNull(), "stays").otherwise("open"))
+        state = materialize(state.join(partners(state), line).select(*line, new.alias("state")), "lines-state")
+    ends = state.where("state = 'goes'").join(partners(state), line).select(*line, F.col("kept").alias("to"))
+    return done.unionByName(ends)
+
+
 def _near(lines: DataFrame, firsts: DataFrame, texts: DataFrame) -> DataFrame:
-    """``(h1, h2, to)``: lines with an earlier near line, and the earliest one's
-    first position."""
+    """``(h1, h2, to)``: lines with an earlier near line that stays, and the earliest
+    one's first position."""
     side = F.posexplode("keys").alias("side", "key")
     keyed = lines.where(F.col("keys").isNotNull())
     shared = materialize(keyed.select("h1", side).groupBy("key")
@@ -203,17 +261,11 @@ def _near(lines: DataFrame, firsts: DataFrame, texts: DataFrame) -> DataFrame:
     rows = materialize(cand.mapInArrow(_variants, f"key bigint, role tinyint, h1 bigint, h2 bigint, first {_POS}"),
                        "lines-variants")
 
-    def least(role: int):
-        return F.min(F.when(F.col("role") == role, F.col("first")))
-
     groups = materialize(
-        rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), least(0).alias("same"), least(1).alias("longer"),
-                                least(2).alias("shorter"))
-        .where(F.col("n") > 1).select("key", "same", "longer", "shorter"), "lines-groups")
-    to = (F.when(F.col("role") == 0, F.col("same")).when(F.col("role") == 1, F.col("shorter"))
-          .otherwise(F.col("longer")))
-    best = (rows.join(groups, "key").withColumn("to", to).where(F.col("to") < F.col("first"))
-            .groupBy("h1", "h2").agg(F.min("to").alias("to")))
+        _least(rows, {"": F.lit(True)}).where(F.col("n") > 1).drop("n"), "lines-groups")
+    best = materialize(rows.join(groups, "key").withColumn("to", _partner("")).where(F.col("to") < F.col("first"))
+                       .groupBy("h1", "h2").agg(F.min("to").alias("to"), F.min("first").alias("first")), "lines-best")
+    best = _against_kept(best, rows)
     both = (best.join(cand.select("h1", "h2", "words"), ["h1", "h2"])
             .join(cand.select(F.col("first").alias("to"), F.col("words").alias("other")), "to"))
 

@@ -436,6 +436,17 @@ def test_notices_among_other_words_are_found(spark):
     assert sorted(got[7]) == [("line", 1, "MIT", 1.0), ("window", 10, "MIT", 1.0)]
 
 
+def test_places_of_matched_segments_are_counted_over_the_whole_text(spark):
+    mit, gap = licenses.TEMPLATES["MIT"], "\n \n...\n\n"
+    text = "one two" + gap + mit + gap + "three four\n" + mit + " five\n" + f"more. {mit} {mit} five six seven"
+    got = sorted(tuple(r)[1:] for r in licenses.scan(spark.createDataFrame([(1, text)], DOC)).collect())
+    at = [i for i, x in enumerate(text.split("\n"), 1) if x.startswith("Released")]
+    assert [x[:2] for x in got if x[0] == "line"] == [("line", i) for i in at]
+    # the windows of the last line alone: those over matched lines hold no more than these
+    before = len(re.sub("[^a-z0-9]+", " ", text.lower().rsplit("more", 1)[0]).split())
+    assert [x[:2] for x in got if x[0] == "window"] == [("window", before + 2), ("window", before + 7)]
+
+
 def test_license_edges(edges, empty):
     assert licenses.scan(edges).count() == 0 and licenses.scan(empty).count() == 0
     assert licenses.scan(edges, templates={"none": "word"}).count() == 0
@@ -492,8 +503,8 @@ def brute_lines(rows):
     first, gone = {}, {}
     for d, i, w in at:
         first.setdefault(w, (d, i))
-    for w in first:
-        near = [first[v] for v in first if first[v] < first[w] and min(len(v), len(w)) >= line_dedup.MIN_WORDS
+    for w in sorted(first, key=first.get):  # against the lines that stay
+        near = [first[v] for v in gone if gone[v] is None and min(len(v), len(w)) >= line_dedup.MIN_WORDS
                 and line_dedup.within_one(list(v), list(w))]
         gone[w] = min(near, default=None)
     return {(d, i, *(gone[w] or first[w]), int(gone[w] is not None)) for d, i, w in at
@@ -523,6 +534,20 @@ def test_line_dedup_equals_brute_force(spark):
     assert got == brute_lines(rows) and len(got) > 100
 
 
+def test_chains_of_near_lines_are_decided_against_kept_ones(spark):
+    chain, words = ["another line altogether"], list("abcdefgh")
+    for i in range(8):  # every line one word from the one before, two from the one before that
+        words = [*words[:i], f"n{i}", *words[i + 1:]]
+        chain.append(" ".join(words))
+    grid = [f"the {x} of a large {y} is here" for x in "pqrstu" for y in "vwxyz"]
+    rows = [(i, t) for i, t in enumerate([*chain, *grid, *grid[7:9]])]
+    got = {tuple(r) for r in line_dedup.repeated_lines(spark.createDataFrame(rows, DOC)).collect()}
+    assert got == brute_lines(rows)
+    gone = {d for d, *_ in got}
+    assert [i for i in range(1, 9) if i in gone] == [2, 4, 6, 8]
+    assert len(gone & set(range(9, 9 + len(grid)))) == len(grid) - 5
+
+
 def test_line_hashes_of_deletions():
     rng = random.Random(3)
     for _ in range(300):
