@@ -15,18 +15,18 @@ Plan shape (all pairs):
    The combination sums then factor per user:
    ``xx += s2(i1)*c(i2)``, ``yy += c(i1)*s2(i2)``, ``xy += s1(i1)*s1(i2)``,
    ``n += c(i1)*c(i2)``.
-   This table is written once to the checkpoint folder (lineage cut) and
-   read by both sides of the self-join.
-2. Self-join on the user with ``i1 < i2`` in the join condition.  A user with
+   This table is written once to the checkpoint folder (lineage cut).
+2. A user's items are put side by side, a basket ordered by item.  A user with
    ``n`` items has ``S = ceil(n / block_items)`` buckets; the items are hashed
-   into them and the join key is ``(user, bucket of i1, bucket of i2)``.  The
-   user's rows are replicated ``S`` times on each side and each pair meets in
-   exactly one key, so a hot user's pair work is spread over ``S * S`` keys;
-   an ordinary user has one bucket and is not replicated.
-3. Partial + final aggregation by (i1, i2).
+   into them and there is a basket per pair of buckets, so a hot user's pair work is
+   spread over ``S * S / 2`` baskets; an ordinary user has one.
+3. Each item goes, with the rest of the basket behind it, to the task of the
+   item, where the pairs are made and summed: what is shuffled are ratings (a few
+   bytes a pair), never rows of a pair, and no pair row is spilled.  The number of tasks
+   grows with the pairs; a hot item is dealt over several tasks by the other item.
 
 Where only pairs above a strength are wanted, items that cannot reach it leave
-before the self-join: an item's pairs have at most ``sum over its users of
+before the pairs are made: an item's pairs have at most ``sum over its users of
 c * (the user's largest c)`` combinations.
 
 For the similar items of ONE item no pair table is built: the item's
@@ -36,13 +36,17 @@ sums are aggregated per other item.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType
 
 from tessera.functions.expressions import cosine_score, other_item
 from tessera.session import materialize
 
 DEFAULT_BLOCK_ITEMS = 1024
+PAIRS_PER_TASK = 2_000_000
 
 
 def _ratings(ratings: DataFrame, user: str, item: str, rating: str) -> DataFrame:
@@ -60,42 +64,123 @@ def user_item_stats(ratings: DataFrame, user: str = "user_id", item: str = "item
         F.sum(F.col("r") * F.col("r")).alias("s2"))
 
 
+def baskets(rows: DataFrame, block_items: int = DEFAULT_BLOCK_ITEMS) -> DataFrame:
+    """The rows ``(u, i, ...)`` of every user, one per item, side by side in arrays
+    ordered by item: ``(u, k1, k2, i, b, ...)``, a row per user.  A user of more than
+    ``block_items`` items has a row per pair of its ``S`` blocks ``k1 <= k2``
+    (``b``: an item's block), so no array grows with the user."""
+    values = [c for c in rows.columns if c != "u"]
+    hot = materialize(rows.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_items)).cast("int").alias("S"))
+                      .where(F.col("S") > 1), "hot-users")
+    spread = (rows.join(hot, "u", "left").withColumn("S", F.coalesce("S", F.lit(1)))
+              .withColumn("b", F.pmod(F.xxhash64("i"), F.col("S")).cast("int"))
+              .withColumn("k", F.explode(F.sequence(F.lit(0), F.col("S") - 1)))
+              .select("u", F.least("b", "k").alias("k1"), F.greatest("b", "k").alias("k2"), "b", *values))
+    keys = ["u", "k1", "k2"]
+    # dealt before the lists are built: no two tasks hold rows of a list, so partial lists save nothing
+    lists = (spread.repartition(*keys).groupBy(*keys)
+             .agg(F.sort_array(F.collect_list(F.struct("i", "b", *[c for c in values if c != "i"]))).alias("rows")))
+    return materialize(lists.select(*keys, *[F.col(f"rows.{c}").alias(c) for c in ("i", "b", *[c for c in values if c != "i"])]),
+                       "baskets")
+
+
+def in_pairs(lists: DataFrame, values: list[str], sums: dict, usual: dict | None = None,
+             pairs_per_task: int = PAIRS_PER_TASK) -> DataFrame:
+    """``(i1, i2, <sums>)``: ``sums`` (expressions of ``<value>1`` and ``<value>2``) over
+    every pair ``i1 < i2`` of items of a basket.
+
+    An item goes to its task with the rest of the basket behind it, and the pairs
+    are made and summed there: no row of a pair is shuffled.  The tasks grow with the
+    pairs; an item with more than ``pairs_per_task`` of them is dealt over several, by
+    the other item.  ``usual``: the value that an array of a column mostly holds; it is
+    not moved where it is all there is."""
+    usual = usual or {}
+    n = F.size("i")
+    whole_items = isinstance(lists.schema["i"].dataType.elementType, (IntegerType, LongType))
+    lists = lists.where(n > 1)
+    at = lists.withColumn("p", F.explode(F.sequence(F.lit(0), n - 2)))
+    work = materialize(at.groupBy(F.get("i", F.col("p")).alias("i1")).agg(F.sum(n - 1 - F.col("p")).alias("work")),
+                       "item-work")
+    tasks = max(1, math.ceil((work.agg(F.sum("work")).collect()[0][0] or 0) / pairs_per_task))
+    hot = materialize(work.where(F.col("work") > pairs_per_task)
+                      .select("i1", F.ceil(F.col("work") / pairs_per_task).cast("int").alias("shares")), "hot-items")
+    # dealt again: a basket is small beside what it sends
+    wide = lists.repartition(max(1, tasks // 2), "u", "k1", "k2")
+    names = ["i"]
+    if whole_items:     # 16 bits and the bits above, which repeat: half the bytes once compressed
+        wide = wide.withColumns({"low": F.transform("i", lambda x: (x.bitwiseAND(F.lit(0xFFFF)) - 0x8000).cast("smallint")),
+                                 "high": F.transform("i", lambda x: F.shiftright(x, 16))})
+        names = ["low", "high"]
+    own = (wide.withColumn("p", F.explode(F.sequence(F.lit(0), n - 2))).select("*", F.get("i", F.col("p")).alias("i1"), *[F.get(v, F.col("p")).alias(f"{v}1") for v in values])
+           .join(hot, "i1", "left").withColumn("shares", F.coalesce("shares", F.lit(1)))
+           .withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))))
+    mine = F.filter(F.sequence(F.col("p") + 1, n - 1), lambda j: (
+        ((F.col("k1") == F.col("k2")) | (F.get("b", j) != F.get("b", F.col("p"))))
+        & (F.pmod(F.xxhash64(F.get("i", j)), F.col("shares")) == F.col("share"))))
+    whole = (F.col("k1") == F.col("k2")) & (F.col("shares") == 1)
+
+    def rest(v):
+        return F.when(whole, F.slice(v, F.col("p") + 2, n - 1 - F.col("p"))).otherwise(
+            F.transform(mine, lambda j: F.get(v, j)))
+
+    def moved(v):
+        """The rest of an array, or null where it says nothing new."""
+        if v == "high":     # ordered: the last is the largest
+            return F.when(F.get(v, n - 1) != F.get(v, F.col("p")), rest(v)).alias("high_rest")
+        if v not in usual:
+            return rest(v).alias(f"{v}_rest")
+        as_usual = F.array_min(rest(v)).eqNullSafe(F.lit(usual[v])) & F.array_max(rest(v)).eqNullSafe(F.lit(usual[v]))
+        return F.when(~as_usual, rest(v)).alias(f"{v}_rest")
+
+    dealt = own.select("i1", "share", *[f"{v}1" for v in values], *[moved(v) for v in [*names, *values]]) \
+        .where(F.size(f"{names[0]}_rest") > 0).repartition(tasks, "i1", "share")
+    pairs = dealt.withColumn("j", F.explode(F.sequence(F.lit(0), F.size(f"{names[0]}_rest") - 1)))
+    i2 = F.get(f"{names[0]}_rest", F.col("j"))
+    if whole_items:
+        high = F.coalesce(F.get("high_rest", F.col("j")), F.shiftright("i1", 16))
+        i2 = F.shiftleft(high, 16) + (i2.cast("int") + 0x8000)
+    pairs = pairs.select(
+        "i1", "share", i2.alias("i2"),
+        *[f"{v}1" for v in values], *[F.coalesce(F.get(f"{v}_rest", F.col("j")), F.lit(usual.get(v))).alias(f"{v}2") for v in values])
+    return (pairs.groupBy("i1", "share", "i2").agg(*[F.sum(e).alias(name) for name, e in sums.items()])
+            .select("i1", "i2", *sums))
+
+
 def pair_sums(ratings: DataFrame, user: str = "user_id", item: str = "item_id",
               rating: str = "rating", block_items: int = DEFAULT_BLOCK_ITEMS,
-              min_strength: int | None = None) -> DataFrame:
+              min_strength: int | None = None, pairs_per_task: int = PAIRS_PER_TASK) -> DataFrame:
     """(i1, i2, xx, yy, xy, n) for every pair of items rated by a common user;
     with ``min_strength``, no pair with ``n > min_strength`` is missing and
     items that have none are left out."""
-    # the stats feed the hot-user count and both join sides: write them once
-    # instead of re-running the ratings lineage for every consumer
-    ui = materialize(user_item_stats(ratings, user, item, rating), "user-item")
-    # written as well: AQE splits a hot user's rows only in a join of two plain scans
-    buckets = materialize(
-        ui.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_items)).cast("int").alias("S"),
-                            F.max("c").alias("most")), "user-buckets")
+    ui = user_item_stats(ratings, user, item, rating).where(F.col("u").isNotNull() & F.col("i").isNotNull())
+    # the square of one rating is its own: not moved
+    ui = materialize(ui.withColumn("s2", F.when(F.col("c") > 1, F.col("s2"))), "user-item")
+    lists = baskets(ui, block_items)
     if min_strength is not None:
-        able = materialize(
-            ui.join(buckets, "u").groupBy("i").agg(F.sum(F.col("c") * F.col("most")).alias("reach"))
-            .where(F.col("reach") > F.lit(min_strength)).select("i"), "able-items")
-        ui = materialize(ui.join(able, "i", "left_semi"), "user-item-able")
-    side = ["u", "i", "c", "s1", "s2"]
-    ui = ui.join(buckets, "u").withColumn("b", F.pmod(F.xxhash64("i"), F.col("S")).cast("int"))
-    fan = F.explode(F.sequence(F.lit(0), F.col("S") - 1))
-    left = ui.select(*_renamed(side, "1"), F.col("b").alias("k1"), fan.alias("k2"))
-    right = ui.select(*_renamed(side, "2"), fan.alias("k1"), F.col("b").alias("k2"))
-    keys = ["u", "k1", "k2"]
-    joined = left.join(right, keys).where(F.col("i1") < F.col("i2"))
-    return joined.groupBy("i1", "i2").agg(
-        F.sum(F.col("s2_1") * F.col("c2")).alias("xx"),
-        F.sum(F.col("c1") * F.col("s2_2")).alias("yy"),
-        F.sum(F.col("s1_1") * F.col("s1_2")).alias("xy"),
-        F.sum(F.col("c1") * F.col("c2")).alias("n"))
-
-
-def _renamed(cols: list[str], tag: str):
-    """``u`` kept, ``i`` -> ``i<tag>``, ``c``/``s1``/``s2`` -> ``c<tag>``/``s1_<tag>``/``s2_<tag>``."""
-    names = {"u": "u", "i": f"i{tag}", "c": f"c{tag}", "s1": f"s1_{tag}", "s2": f"s2_{tag}"}
-    return [F.col(c).alias(names[c]) for c in cols]
+        able = materialize(_reach(lists, block_items).where(F.col("reach") > F.lit(min_strength)).select("i"), "able-items")
+        if not lists.select(F.explode("i").alias("i")).distinct().join(able, "i", "left_anti").isEmpty():
+            lists = baskets(materialize(ui.join(able, "i", "left_semi"), "user-item-able"), block_items)
+    # sums that are small whole numbers in all of a basket move as such
+    small = F.forall("s1", lambda x: x.isNotNull() & (F.abs(x) < 0x8000) & (F.floor(x) == x))
+    lists = lists.withColumns({"w": F.when(small, F.transform("s1", lambda x: x.cast("smallint"))),
+                               "s1": F.when(~small, F.col("s1"))})
+    s1 = {k: F.coalesce(F.col(f"w{k}").cast("double"), f"s1{k}") for k in (1, 2)}
+    s2 = {k: F.coalesce(f"s2{k}", F.when(F.col(f"c{k}") == 1, s1[k] * s1[k])) for k in (1, 2)}
+    return in_pairs(lists, ["c", "w", "s1", "s2"], {
+        "xx": s2[1] * F.col("c2"), "yy": F.col("c1") * s2[2], "xy": s1[1] * s1[2], "n": F.col("c1") * F.col("c2")},
+        {"c": 1, "s2": None}, pairs_per_task)
+
+
+def _reach(lists: DataFrame, block_items: int) -> DataFrame:
+    """``(i, reach)``: what an item's pairs can add up to at most, ``sum over its users
+    of c * (the user's largest c)``."""
+    # a block stands once with itself; only users of several blocks need a look at the others
+    own = lists.where(F.col("k1") == F.col("k2"))
+    cut = materialize(own.groupBy("u").agg(F.count(F.lit(1)).alias("blocks"), F.max(F.array_max("c")).alias("all"))
+                      .where(F.col("blocks") > 1).select("u", "all"), "hot-users-most")
+    one = own.join(cut, "u", "left").withColumn("most", F.coalesce("all", F.array_max("c"))).withColumn(
+        "p", F.explode(F.sequence(F.lit(0), F.size("i") - 1)))
+    return one.groupBy(F.get("i", F.col("p")).alias("i")).agg(F.sum(F.get("c", F.col("p")) * F.col("most")).alias("reach"))
 
 
 def item_similarity(ratings: DataFrame, user: str = "user_id", item: str = "item_id",
