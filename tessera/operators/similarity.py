@@ -193,31 +193,30 @@ def item_similarity(ratings: DataFrame, user: str = "user_id", item: str = "item
                     "n")
 
 
-def candidate_pairs(ui: DataFrame, min_strength: int, block_items: int = DEFAULT_BLOCK_ITEMS) -> DataFrame:
+def candidate_pairs(ui: DataFrame, min_strength: int, block_items: int = DEFAULT_BLOCK_ITEMS,
+                    pairs_per_task: int = PAIRS_PER_TASK) -> DataFrame:
     """``(i1, i2)``: every pair of items that can have ``n > min_strength``, by
     prefix filtering.
 
     Users are ordered by rarity (few items first).  An item's pairs have at most
     ``c * most`` combinations at a user (``c`` its ratings there, ``most`` the user's
-    largest count), so the users at the end of an item's order whose bounds add up to
-    ``min_strength`` at most cannot make a pair alone: a pair above the strength has its rarest common
-    user in the prefix of both items.  Only prefixes are joined."""
+    largest count).  The users at the end of an item's order whose bounds add up to
+    half the strength at most are left out, the others are its prefix.  Of the users
+    that two items share, those outside either prefix are all left out by that of the two
+    items whose prefix is shorter, so they hold at most half the strength: a
+    pair above the strength has more than the other half at users in both prefixes."""
     users = materialize(ui.groupBy("u").agg(F.count(F.lit(1)).alias("items"), F.max("c").alias("most")), "user-rarity")
-    rarity = materialize(ui.join(users, "u").select("u", "i", "items", (F.col("c") * F.col("most")).alias("bound")),
-                         "item-bounds")
+    rarity = materialize(ui.where(F.col("i").isNotNull()).join(users, "u")
+                         .select("u", "i", "c", "items", (F.col("c") * F.col("most")).alias("bound")), "item-bounds")
     # per item and number of items of a user: what all users at least as frequent add up to
     steps = rarity.groupBy("i", "items").agg(F.sum("bound").alias("bound"))
     behind = Window.partitionBy("i").orderBy(F.desc("items")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # whole steps only: a step is in the prefix unless it and all behind it stay within the strength
-    keep = steps.withColumn("rest", F.sum("bound").over(behind)).where(F.col("rest") > min_strength).select("i", "items")
-    prefix = materialize(rarity.join(keep, ["i", "items"]).select("u", "i"), "item-prefixes")
-    blocks = materialize(prefix.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_items)).cast("int").alias("S")),
-                         "prefix-blocks")
-    rows = prefix.join(blocks, "u").withColumn("b", F.pmod(F.xxhash64("i"), F.col("S")).cast("int"))
-    fan = F.explode(F.sequence(F.lit(0), F.col("S") - 1))
-    left = rows.select("u", F.col("i").alias("i1"), F.col("b").alias("k1"), fan.alias("k2"))
-    right = rows.select("u", F.col("i").alias("i2"), fan.alias("k1"), F.col("b").alias("k2"))
-    return (left.join(right, ["u", "k1", "k2"]).where(F.col("i1") < F.col("i2")).select("i1", "i2").distinct())
+    # whole steps only: a step is in the prefix unless it and all behind it stay within half the strength
+    half = min_strength // 2
+    keep = steps.withColumn("rest", F.sum("bound").over(behind)).where(F.col("rest") > half).select("i", "items")
+    prefix = materialize(rarity.join(keep, ["i", "items"]).select("u", "i", "c"), "item-prefixes")
+    shared = in_pairs(baskets(prefix, block_items), ["c"], {"n": F.col("c1") * F.col("c2")}, {"c": 1}, pairs_per_task)
+    return shared.where(F.col("n") > F.lit(min_strength - half)).select("i1", "i2")
 
 
 def sums_of(pairs: DataFrame, ui: DataFrame) -> DataFrame:

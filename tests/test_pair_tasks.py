@@ -53,3 +53,15 @@ def test_no_row_of_a_pair_is_shuffled(spark):
     dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning(i1" in line]
     assert len(dealt) == 1 and "share" in dealt[0] and "i2" not in dealt[0]
     assert "_rest" in plan and "Join [u" not in plan
+
+
+def test_few_candidates_where_few_pairs_reach_the_strength(spark):
+    rng = random.Random(3)
+    rows = [(u, rng.randrange(300), float(rng.randrange(1, 9))) for u in range(200) for _ in range(12)]
+    brute = brute_pairs(rows)
+    ui = sim.user_item_stats(spark.createDataFrame(rows, "user_id int, item_id int, rating double"))
+    found = {tuple(r) for r in sim.candidate_pairs(ui, 3).collect()}
+    above = {p for p, (_, n) in brute.items() if n > 3}
+    assert above <= found <= set(brute)
+    # looked up one by one, so only those that are near the strength may come
+    assert len(found) < len(brute) / 10
