@@ -261,8 +261,10 @@ def similar_items_each(pairs: DataFrame, k: int = 10) -> DataFrame:
 
     A rank per item with a bound is planned as a group limit: every task keeps
     ``k`` rows an item before the shuffle."""
-    both = pairs.select(F.col("i1").alias("item"), F.col("i2").alias("other"), "score", "n").unionAll(
-        pairs.select(F.col("i2").alias("item"), F.col("i1").alias("other"), "score", "n"))
+    sides = F.array(F.struct(F.col("i1").alias("item"), F.col("i2").alias("other")),
+                    F.struct(F.col("i2").alias("item"), F.col("i1").alias("other")))
+    # both sides of a pair from one pass: the pair table is not computed twice
+    both = pairs.select(F.explode(sides).alias("side"), "score", "n").select("side.*", "score", "n")
     best = Window.partitionBy("item").orderBy(F.desc("score"), F.desc("n"), F.desc("other"))
     return (both.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("item", "rank", "other", "score", "n"))

@@ -53,6 +53,8 @@ def test_no_row_of_a_pair_is_shuffled(spark):
     dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning(i1" in line]
     assert len(dealt) == 1 and "share" in dealt[0] and "i2" not in dealt[0]
     assert "_rest" in plan and "Join [u" not in plan
+    pairs = sim.similar_pairs(df, 0.1, 1)
+    assert "Union" not in plan_of(sim.similar_items_each(pairs, 3))
 
 
 def test_few_candidates_where_few_pairs_reach_the_strength(spark):
