@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import merkle, periodic_runs, phrases
+from tessera.session import scratch_scope
 from tests.conftest import SF_SMALL
 from tests.llm.test_operators import CLASH, DOC, edge_rows, long_text
 
@@ -174,6 +175,31 @@ def test_phrases_of_few_words_overlap_and_split(spark, monkeypatch):
         assert got == want
 
 
+def test_phrase_bytes_do_not_grow_with_the_number_of_frequent_phrases(spark):
+    """Of 8 words all pairs are frequent in either table, longer phrases (up to 4 words) in the larger one
+    only: it writes as much per word, not more for every level that its positions reach."""
+    def written(n):
+        rng = random.Random(n)
+        rows = [(i, " ".join(rng.choices("abcdefgh", k=1000)), "en") for i in range(n // 1000)]
+        table = spark.createDataFrame(rows, LANG).coalesce(1)
+        with scratch_scope(spark) as created:
+            want = brute_phrases([(t, lang) for _, t, lang in rows], min_count=20)
+            got = {tuple(r) for r in phrases.top(phrases.collocations(table, min_count=20, block_words=2000)).collect()}
+            assert got == want
+            size = 0
+            for path in created:
+                if "/phrase-" in path:      # tables of blocks and occurrences; those of the phrases found are "phrases-"
+                    t = spark.read.parquet(path)
+                    binary = [c for c, kind in t.dtypes if kind == "binary"]
+                    if binary:
+                        size += t.agg(sum((F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in binary), F.lit(0))).collect()[0][0]
+        return size / n, max(len(x[2].split()) for x in want)
+
+    (small, short), (large, long_) = written(4_000), written(160_000)
+    assert short == 2 and long_ == 4
+    assert large < 1.15 * small
+
+
 def test_phrase_products_beyond_64_bits(spark):
     row = [(10**12, 10**13, [10**6], [10**6])]
     d = spark.createDataFrame(row, "a bigint, n bigint, firsts array<bigint>, rests array<bigint>")
