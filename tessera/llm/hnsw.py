@@ -10,12 +10,15 @@ of a shard are one node that lists its ids (smallest first).  The graph is
 written to the checkpoint folder as one row per shard: ids, vectors, levels and
 a (nodes x links) int32 array per level.
 
-Search: queries are put into blocks of ``QUERY_BLOCK`` rows and every block meets
-every shard once in an equi-join on the shard number; a task holds one shard and
-one block.  Each query walks the shard's graph with a beam of ``EF_SEARCH``; the
-candidates are scored exactly - cosine in double precision on the original
-vectors - and the shard returns its ``k`` best (plus the query itself).  The
-``k`` best over all shards are kept, ties to the smaller id.
+Search: queries are put into blocks of ``QUERY_BLOCK`` rows, written to the
+checkpoint folder, and every block meets every shard once: a task reads some
+files of the index and some of the blocks and pairs their rows, so no block or
+shard is copied by a shuffle or passes the driver.  A task holds one shard and
+the results of its queries so far.  Each query walks the shard's graph with a
+beam of ``EF_SEARCH``; the candidates are scored exactly - cosine in double
+precision on the original vectors - and the shard gives its ``k`` best (without
+the query itself).  The ``k`` best over a task's shards leave the task, the ``k``
+best over all tasks are kept, ties to the smaller id.
 
 Vectors that are null, zero, of another dimension than most vectors, or that hold null or non-finite components take no part; neither do null ids.
 Repeated rows of one id with the same vector count once; different vectors under
@@ -242,6 +245,28 @@ _INDEX_TYPES = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa
                 pa.list_(pa.binary()), pa.int32()]
 
 
+_Near = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def _nothing(n: int, k: int) -> _Near:
+    """Room for ``k`` candidates of each of ``n`` queries: ids, scores, and which places are taken."""
+    return np.zeros((n, k), np.int64), np.zeros((n, k)), np.zeros((n, k), bool)
+
+
+def _merged(a: _Near, b: _Near, k: int) -> _Near:
+    """Each query's ``k`` best of two sets (ties to the smaller id), an id once with its better score."""
+    x, s, has = (np.concatenate(c, axis=1) for c in zip(a, b))
+
+    def ordered(*keys: np.ndarray) -> _Near:
+        order = np.lexsort((*keys, ~has), axis=1)
+        return tuple(np.take_along_axis(c, order, axis=1) for c in (x, s, has))
+
+    x, s, has = ordered(-s, x)
+    has[:, 1:] &= x[:, 1:] != x[:, :-1]
+    x, s, has = ordered(x, -s)
+    return x[:, :k], s[:, :k], has[:, :k]
+
+
 def search(index: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k: int = K,
            ef: int = EF_SEARCH, query_block: int = QUERY_BLOCK) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` nearest of each query, the
@@ -251,40 +276,45 @@ def search(index: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_col
     q = materialize(_vectors(queries, id_col, vec_col).where(F.size("v") == dim), "hnsw-queries")
     blocks = max(1, -(-q.count() // query_block))
     put = q.select(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(blocks)).alias("block"), "id", "v")
-    packed = (put.groupBy("block").agg(F.collect_list(F.struct("id", "v")).alias("q"))
-              .select("q", F.explode(F.sequence(F.lit(0), F.lit(shape["last"] or 0))).alias("shard")))
+    packed = materialize(put.groupBy("block").agg(F.collect_list(F.struct("id", "v")).alias("q")), "hnsw-blocks")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, best = None, {}                                 # the shard at hand; by block: query ids, best so far
         for b in batches:
             for r in range(b.num_rows):
-                row = b.slice(r, 1)
-                get = lambda c: row.column(c)[0].as_py()
-                ids, starts = np.frombuffer(get("ids"), np.int64), np.frombuffer(get("id_starts"), np.int64)
-                vec = np.frombuffer(get("vectors"), np.float64).reshape(-1, dim)
-                n = len(vec)
-                norm = np.linalg.norm(vec, axis=1)
-                g = Graph((vec / norm[:, None]).astype(np.float32), np.frombuffer(get("levels"), np.int64),
-                          [np.frombuffer(x, np.int32).reshape(n, -1) for x in get("links")], get("entry"))
-                asked = row.column("q")[0].values
+                get = lambda c: b.column(c)[r].as_py()  # noqa: E731, B023
+                if get("shard") != now:                      # a shard's rows come one after the other
+                    now = get("shard")
+                    ids, starts = np.frombuffer(get("ids"), np.int64), np.frombuffer(get("id_starts"), np.int64)
+                    vec = np.frombuffer(get("vectors"), np.float64).reshape(-1, dim)
+                    n = len(vec)
+                    norm = np.linalg.norm(vec, axis=1)
+                    g = Graph((vec / norm[:, None]).astype(np.float32), np.frombuffer(get("levels"), np.int64),
+                              [np.frombuffer(x, np.int32).reshape(n, -1) for x in get("links")], get("entry"))
+                asked = b.column("q")[r].values
                 qid = asked.field("id").to_numpy(zero_copy_only=False)
-                qv = _matrix(asked.field("v"))
-                out: list[list] = [[], [], []]
-                for i, v in zip(qid.tolist(), qv):
+                near = _nothing(len(qid), k)
+                for at, (i, v) in enumerate(zip(qid.tolist(), _matrix(asked.field("v")))):
                     length = np.linalg.norm(v)
                     found = np.array(g.search((v / length).astype(np.float32), ef))
                     score = (vec[found] @ v) / (norm[found] * length)
                     # a node lists its ids in ascending order: k + 1 of them suffice
-                    best = sorted((-s, int(x)) for s, f in zip(score.tolist(), found.tolist())
-                                  for x in ids[starts[f]:starts[f + 1]][:k + 1] if x != i)[:k]
-                    for s, x in best:
-                        for col, value in zip(out, (i, x, -s)):
-                            col.append(value)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.float64()))],
-                    ["query_id", "vec_id", "score"])
-
-    near = packed.join(index, "shard").select("q", "ids", "id_starts", "vectors", "levels", "links", "entry") \
-        .mapInArrow(run, "query_id bigint, vec_id bigint, score double")
+                    for j, (s, x) in enumerate(sorted(
+                            (-s, int(x)) for s, f in zip(score.tolist(), found.tolist())
+                            for x in ids[starts[f]:starts[f + 1]][:k + 1] if x != i)[:k]):
+                        for col, value in zip(near, (x, -s, True)):
+                            col[at, j] = value
+                block = get("block")
+                best[block] = qid, _merged(best[block][1], near, k) if block in best else near
+        for qid, (x, s, has) in best.values():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(qid, has.sum(axis=1)), pa.int64()), pa.array(x[has], pa.int64()),
+                 pa.array(s[has], pa.float64())], ["query_id", "vec_id", "score"])
+
+    # by name: broadcasting either side would send every block or every shard through the driver
+    near = (index.hint("shuffle_replicate_nl").crossJoin(packed)
+            .select("shard", "ids", "id_starts", "vectors", "levels", "links", "entry", "block", "q")
+            .mapInArrow(run, "query_id bigint, vec_id bigint, score double"))
     # one row per (query, id): an id with several vectors, or a repeated query, counts once
     best = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

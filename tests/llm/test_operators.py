@@ -197,6 +197,45 @@ def test_hnsw_small_and_empty(spark):
     assert hnsw.search(hnsw.build_index(none), none).count() == 0
 
 
+def test_hnsw_pairs_blocks_and_shards_without_a_broadcast(spark):
+    """Blocks times shards grow with the square of the table: they must not pass the driver, however small the tables."""
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(600)]
+    rows += [(50, rows[7][1]), (7, rows[50][1]), (100, rows[100][1])]  # two vectors of one id, a repeated query
+    table = spark.createDataFrame([(i, v, "a", "b") for i, v in rows], VEC)
+    found = hnsw.search(hnsw.build_index(table, shard_rows=100), table.where("vec_id % 50 = 0"), query_block=3)
+    got = collections.defaultdict(list)
+    for r in found.collect():
+        got[r["query_id"]].append((-r["score"], r["vec_id"]))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Broadcast" not in plan
+    want = collections.defaultdict(dict)
+    for i, v in rows:
+        for j, u in rows:
+            if i % 50 == 0 and j != i:
+                s = float(np.dot(u, v) / (np.linalg.norm(u) * np.linalg.norm(v)))
+                want[i][j] = max(s, want[i].get(j, -1.0))
+    assert set(got) == set(want)
+    for i, near in want.items():  # a beam of 120 over shards of about 100 finds all
+        best = sorted((-s, j) for j, s in near.items())[:5]
+        assert [j for _, j in sorted(got[i])] == [j for _, j in best]
+        assert np.allclose(sorted(s for s, _ in got[i]), [s for s, _ in best], rtol=0, atol=1e-12)
+
+
+def test_hnsw_merged_keeps_the_best_of_an_id():
+    def near(*rows):
+        out = hnsw._nothing(len(rows), 3)
+        for q, row in enumerate(rows):
+            for j, (x, s) in enumerate(row):
+                for col, value in zip(out, (x, s, True)):
+                    col[q, j] = value
+        return out
+
+    x, s, has = hnsw._merged(near([(4, .9), (0, .5), (8, .1)], []), near([(0, .7), (3, .5), (2, .5)], [(0, -1.0)]), 3)
+    assert [list(zip(x[q][has[q]].tolist(), s[q][has[q]].tolist())) for q in range(2)] == [
+        [(4, .9), (0, .7), (2, .5)], [(0, -1.0)]]
+
+
 # -------------------------------------------------------------------- 3 PII
 
 def py_feistel(key, kind, left, right, a, b):
